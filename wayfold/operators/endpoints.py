@@ -15,27 +15,29 @@ def route_endpoints(trips: DataFrame, stop_times: DataFrame, stops: DataFrame) -
     """First stop of the first trip and last stop of the last trip of every route.
 
     Trips are ordered by id, stops of a trip by sequence, then stop id. A route whose trip has no
-    stops keeps null coordinates. Stop times are folded to one row per trip before they meet
-    anything, so a trip with very many of them costs one row per task.
+    stops keeps null coordinates. Stop times are read once and folded to one row per trip before
+    the shuffle, so a trip with very many of them costs one row per task; the join on the trip then
+    finds them partitioned already.
     """
     position = F.struct("stop_sequence", "stop_id")
     ends_of_trip = stop_times.groupBy("trip_id").agg(
-        F.min(position)["stop_id"].alias("first_stop"), F.max(position)["stop_id"].alias("last_stop")
+        F.min(position)["stop_id"].alias("__first"), F.max(position)["stop_id"].alias("__last")
     )
-    spans = trips.groupBy("station_id").agg(
-        F.min("trip_id").alias("first_trip"), F.max("trip_id").alias("last_trip")
+    spans = trips.groupBy("station_id").agg(F.min("trip_id").alias("__lo"), F.max("trip_id").alias("__hi"))
+    pairs = [F.struct(F.lit(end).alias("__end"), F.col(trip).alias("trip_id"))
+             for end, trip in (("start", "__lo"), ("end", "__hi"))]
+    ends = spans.select("station_id", F.inline(F.array(*pairs))).join(ends_of_trip, "trip_id", "left")
+    ends = ends.withColumn(
+        "stop_id", F.when(F.col("__end") == "start", F.col("__first")).otherwise(F.col("__last"))
     )
-    firsts = ends_of_trip.select(F.col("trip_id").alias("first_trip"), "first_stop")
-    lasts = ends_of_trip.select(F.col("trip_id").alias("last_trip"), "last_stop")
-    placed = spans.join(firsts, "first_trip", "left").join(lasts, "last_trip", "left")
-    for end, stop in (("start", "first_stop"), ("end", "last_stop")):
-        coords = stops.select(
-            F.col("stop_id").alias(stop),
-            F.col("stop_lat").cast("double").alias(f"{end}_lat"),
-            F.col("stop_lon").cast("double").alias(f"{end}_lon"),
-        )
-        placed = join_dim(placed, coords, stop, "left")
-    return placed.select("station_id", *_COORDS)
+    placed = join_dim(ends, stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id", "left")
+
+    def coord(name: str) -> Column:
+        end, axis = name.split("_")
+        found = F.when(F.col("__end") == end, F.col(f"stop_{axis}").cast("double"))
+        return F.max(found).alias(name)
+
+    return placed.groupBy("station_id").agg(*[coord(c) for c in _COORDS])
 
 
 def update_endpoints(routes: DataFrame, endpoints: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfold.plans.joins import join_dim
+from wayfold.plans.joins import join_dim, join_stats
 
 # Decimals an anchor is rounded to, and half the width of its box in degrees.
 PREC = 3
@@ -99,7 +99,7 @@ def with_bounds(df: DataFrame, bounds: DataFrame, by: Sequence[str] = ()) -> Dat
     The one-row case is a scalar subquery: no join and no shuffle of ``df``.
     """
     if by:
-        return join_dim(df, bounds, by)
+        return join_stats(df, bounds, by)
     only = "__bounds"
     names = bounds.columns
     whole = df.withColumn(only, bounds.select(F.struct(*names)).scalar())

@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wayfold.plans.joins import join_dim
+from wayfold.plans.joins import join_stats
 from wayfold.plans.timing import micros_between, window_of
 
 # Histogram buckets and the stretch of their width.
@@ -45,6 +45,13 @@ def duration_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
     )
 
 
+def _fill_buckets(every: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Left join on group and bucket; null is a group like any other."""
+    key = "__key"
+    right = counts.select(F.struct(*by, "bucket").alias(key), "count")
+    return every.withColumn(key, F.struct(*by, "bucket")).join(right, key, "left").drop(key)
+
+
 def histogram20(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact histogram: ``bucket``, its ``breakpoint``, the ``count``, and a star ``bar``.
 
@@ -60,9 +67,15 @@ def histogram20(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         .agg(F.count("*").alias("__n"))
     )
     width = F.greatest(F.lit(1.0), (F.max(v) - F.min(v)) / F.lit(BUCKETS) * F.lit(STRETCH))
-    bounds = values.groupBy(*by).agg(F.min(v).alias("__lo"), width.alias("__w"))
+    # The row count keeps the bounds reading the same shuffled values as the counts.
+    bounds = (
+        values.groupBy(*by)
+        .agg(F.min(v).alias("__lo"), width.alias("__w"), F.sum("__n").alias("__rows"))
+        .where(F.col("__rows") > 0)
+        .drop("__rows")
+    )
     if by:
-        placed = join_dim(values, bounds, by)
+        placed = join_stats(values, bounds, by)
     else:
         only = bounds.select(F.struct("__lo", "__w")).scalar()
         placed = values.withColumn("__b", only).select("*", "__b.*").drop("__b")
@@ -70,11 +83,9 @@ def histogram20(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     bucket = F.least(step, F.lit(BUCKETS - 1)).cast("int")
     counts = placed.groupBy(*by, bucket.alias("bucket")).agg(F.sum("__n").alias("count"))
 
-    all_buckets = bounds.where(F.col("__lo").isNotNull()).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket")
-    )
+    every = bounds.select("*", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket"))
     count = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
-    filled = all_buckets.join(counts, [*by, "bucket"], "left").withColumn("count", count)
+    filled = _fill_buckets(every, counts, by).withColumn("count", count)
     highest = F.max("count").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
     stars = F.floor(F.lit(float(BAR)) * (F.col("count") / F.greatest(highest, F.lit(1)))).cast("int")
     breakpoint_ = F.col("__lo") + F.col("bucket") * F.col("__w")
@@ -134,34 +145,33 @@ def slow(df: DataFrame, value: str, limit: float = SLOW_MS) -> DataFrame:
 def abnormal(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
     k: float = ABNORMAL_SIGMAS, min_n: int = ABNORMAL_ROWS,
-    slice_width: str | timedelta = timedelta(hours=1),
+    slice_width: str | timedelta = timedelta(minutes=1),
 ) -> DataFrame:
     """Rows whose value is above mean + k sigma of the earlier values of their group.
 
     ``order`` starts with a timestamp and makes the order unique. A running frame over a whole
-    group would put a hot group in one task, so time is sliced: running sums inside a slice, plus
-    the sums of all earlier slices (one row per slice and group).
+    group would put a hot group in one task, so time is sliced. Each slice begins with one row that
+    holds the sums of all earlier slices, and the running sums go on from there.
     """
     by, v = list(by), F.col(value).cast("double")
     sliced = df.withColumn("__slice", window_of(order[0], slice_width)["start"])
-    parts = {"__n": F.count(v), "__s": F.sum(v), "__q": F.sum(v * v)}
-
-    slices = sliced.groupBy(*by, "__slice").agg(*[agg.alias(c) for c, agg in parts.items()])
+    sums = {"__n": F.count(v), "__s": F.sum(v), "__q": F.sum(v * v)}
+    slices = sliced.groupBy(*by, "__slice").agg(*[total.alias(c) for c, total in sums.items()])
     earlier = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = slices.select(
-        *by, "__slice", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in parts]
-    )
-    within = Window.partitionBy(*by, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    running = {f"{c}1": F.coalesce(agg.over(within), F.lit(0)) for c, agg in parts.items()}
-    joined = sliced.withColumns(running).join(before, [*by, "__slice"])
+    heads = slices.select(*by, "__slice", *[F.sum(c).over(earlier).alias(c) for c in sums])
+    rows = sliced.withColumns({"__n": v.isNotNull().cast("bigint"), "__s": v, "__q": v * v, "__row": F.lit(1)})
+    merged = rows.unionByName(heads.withColumn("__row", F.lit(0)), allowMissingColumns=True)
 
-    def total(c: str) -> Column:
-        return F.col(f"{c}0") + F.col(f"{c}1")
-
-    n, mean = total("__n"), total("__s") / total("__n")
-    spread = F.greatest(total("__q") - total("__s") * mean, F.lit(0.0)) / (n - F.lit(1))
+    running = (
+        Window.partitionBy(*by, "__slice").orderBy("__row", *order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    totals = merged.withColumns({f"{c}_before": F.sum(c).over(running) for c in sums})
+    n, total, squares = (F.col(f"{c}_before") for c in sums)
+    mean = total / n
+    spread = F.greatest(squares - total * mean, F.lit(0.0)) / (n - F.lit(1))
     limit = F.when(n >= F.lit(min_n), mean + F.lit(k) * F.sqrt(spread))
-    return joined.where(v > limit).select(*df.columns)
+    return totals.where((F.col("__row") == 1) & (v > limit)).select(*df.columns)
 
 
 def numeric_diff(before: DataFrame, after: DataFrame, key: str, val: str) -> DataFrame:

@@ -41,7 +41,11 @@ def _fail(*parts: str | Column) -> Column:
 
 def wild_match(value: Column, pattern: str) -> Column:
     """Case-insensitive match of a whole value: ``%`` any text, ``_`` one character, ``\\`` escape."""
-    return F.coalesce(value.ilike(re.sub(r"\\([^%_\\])", r"\1", pattern)), F.lit(False))
+    def unescaped(found: re.Match[str]) -> str:
+        return found[1] if found[1] and found[1] not in "%_\\" else "\\" + (found[1] or "\\")
+
+    plain = re.sub(r"(?s)\\(.?)", unescaped, pattern)
+    return F.coalesce(value.ilike(plain), F.lit(False))
 
 
 def zero_date(value: Column, mode: str = "error", to: str = "date") -> Column:

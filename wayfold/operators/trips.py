@@ -20,11 +20,14 @@ MIN_MINUTES = 8
 IDS_PER_INTERVAL = 3
 KEYS = ("station_id", "vehicle_id")
 
+# Width of the time slices that spread one key over many tasks.
+SLICE = timedelta(minutes=1)
+
 
 def direction_runs(
     snap: DataFrame, keys: Sequence[str] = KEYS, ts: str = "dateTime", tag: str = "dirTag",
     tie: str = "event_id", restart: str | timedelta | None = None,
-    anchor: str | datetime = EPOCH, slice_width: str | timedelta = timedelta(hours=1),
+    anchor: str | datetime = EPOCH, slice_width: str | timedelta = SLICE,
 ) -> DataFrame:
     """One row per run of records with equal direction: key, ``tag``, ``run_start``, ``run_end``,
     ``records``. With ``restart`` runs are also cut at intervals counted from ``anchor``.
@@ -46,11 +49,8 @@ def direction_runs(
     runs = (
         rows.withColumn("__changed", changed.cast("int"))
         .withColumn("__run", F.sum("__changed").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "__slice", "__run")
-        .agg(
-            F.min("__t").alias("__start"), F.max("__t").alias("__end"),
-            F.count("*").alias("__n"), F.min("__tag").alias("__tag"),
-        )
+        .groupBy(*keys, "__slice", "__run", "__tag")
+        .agg(F.min("__t").alias("__start"), F.max("__t").alias("__end"), F.count("*").alias("__n"))
     )
     at_edge = (F.col("__run") == 0) | (F.col("__run") == F.max("__run").over(in_slice))
     runs = runs.withColumn("__home", F.when(~at_edge, F.col("__slice")))
@@ -64,10 +64,10 @@ def direction_runs(
     return (
         runs.withColumn("__opens", opens.cast("int"))
         .withColumn("__id", F.sum("__opens").over(homes.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "__home", "__id")
+        .groupBy(*keys, "__home", "__id", F.col("__tag").alias("tag"))
         .agg(
-            F.min("__tag").alias("tag"), F.min("__start").alias("run_start"),
-            F.max("__end").alias("run_end"), F.sum("__n").alias("records"),
+            F.min("__start").alias("run_start"), F.max("__end").alias("run_end"),
+            F.sum("__n").alias("records"),
         )
         .drop("__home", "__id", "__part")
     )

@@ -26,3 +26,10 @@ def join_dim(
         dim.withColumn(_SPREAD, spread), [*keys, _SPREAD], how
     )
     return joined.drop(_SPREAD)
+
+
+def join_stats(fact: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Put the row of its group beside each row of ``fact``; null is a group like any other."""
+    group = "__group"
+    right = stats.withColumn(group, F.struct(*by)).drop(*by)
+    return join_dim(fact.withColumn(group, F.struct(*by)), right, group).drop(group)
