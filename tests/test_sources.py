@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from helpers import at, routes, rows
 from wayfold import schemas
-from wayfold.sources import readers, writers
+from wayfold.sources import readers, types, writers
 
 
 def test_jdbc_options():
@@ -78,3 +78,19 @@ def test_shared_dir_is_where_the_session_says(spark):
     path = writers.shared_dir(spark, "x")
     assert path != writers.shared_dir(spark, "x")
     assert root is None or path.startswith(root)
+
+
+def test_source_types(spark):
+    schema = types.source_schema(
+        [("a", "decimal", 12, 3), ("b", "TINYINT", 1), ("c", "TINYINT", 4), ("d", "BIT"), ("e", "BIT", 8),
+         ("f", "YEAR"), ("g", "DATETIME"), ("h", "time"), ("i", "SET")]
+    )
+    assert [f.dataType.simpleString() for f in schema] == [
+        "decimal(12,3)", "boolean", "tinyint", "boolean", "binary", "date", "timestamp_ntz", "bigint", "string"
+    ]
+    plain = types.source_schema([("b", "TINYINT", 1), ("f", "YEAR")], tiny_as_bool=False, year_as_date=False)
+    assert [f.dataType.simpleString() for f in plain] == ["tinyint", "smallint"]
+    with pytest.raises(ValueError):
+        types.source_type("VECTOR")
+    sets = spark.createDataFrame([("a,b",), ("",), (None,)], "s string").select(types.set_to_array(F.col("s")))
+    assert [r[0] for r in sets.collect()] == [["a", "b"], [], None]

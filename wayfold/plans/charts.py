@@ -1,4 +1,4 @@
-"""The six chart queries as one lazy DataFrame of ordered JSON rows each."""
+"""The six chart queries and the route list, each one lazy DataFrame of ordered JSON rows."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wayfold.functions.time import interval_label
 from wayfold.operators.density import dense_areas
-from wayfold.operators.rollup import frequency_top, travel_top
+from wayfold.operators.rollup import frequency_top, route_list, travel_top
 from wayfold.operators.sampling import path_sample
 from wayfold.operators.spine import clamp_range
 from wayfold.operators.trips import travel_by_hour
@@ -61,3 +61,7 @@ def path(snap: DataFrame, station: int, start: Time, end: Time, rate: float = 1.
     text = F.date_format("dateTime", "yyyy-MM-dd HH:mm:ss")
     rows = rows.withColumn("__at", F.col("dateTime")).withColumn("dateTime", text)
     return chart_json(rows, ["lat", "lon", "dateTime"], ["stratum", "__at", "event_id"])
+
+
+def routes_shown(routes: DataFrame) -> DataFrame:
+    return chart_json(route_list(routes), ["station_id", "routeName"], "station_id")

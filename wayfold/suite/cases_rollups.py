@@ -93,6 +93,17 @@ def _(spark, sf):
     return rollup.route_list(routes(spark, sf))
 
 
+@case(
+    "chart_route_list",
+    sql(
+        """SELECT '{"station_id":' || station_id || ',"routeName":"' || station_name || '"}' AS json FROM routes""",
+        "routes",
+    ),
+)
+def _(spark, sf):
+    return charts.routes_shown(routes(spark, sf))
+
+
 @case(
     "nth_row",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 1 OFFSET 123",

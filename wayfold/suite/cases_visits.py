@@ -10,7 +10,7 @@ from wayfold.sources.writers import shared_dir
 from wayfold.streaming import counts as streams
 from wayfold.suite.registry import case
 from wayfold.suite.views import (
-    END, START, routes, snap, sql, sql_box, sql_daily, sql_factor, sql_hits, sql_spine, table,
+    END, START, TABLES, routes, snap, snap_of, sql, sql_box, sql_daily, sql_factor, sql_hits, sql_spine,
 )
 
 # The box and gap under which the given records group into few, long visits.
@@ -170,17 +170,8 @@ def _(spark, sf):
 
 def _stream(spark, sf):
     """The snapshots as a stream of files of the given events."""
-    files = spark.readStream.schema(table(spark, sf, "events").schema)
-    events = files.option("pathGlobFilter", "events.parquet").parquet(sf)
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.withColumn("__k", k).select(
-        "event_id",
-        (F.col("user_id") % 25).cast("int").alias("station_id"),
-        (F.col("user_id") % 50).cast("int").alias("vehicle_id"),
-        F.col("ts").alias("dateTime"),
-        (F.lit(43.6003) + (F.col("__k") % 20) / F.lit(1000.0)).alias("lat"),
-        (F.lit(-79.3997) + (F.col("event_id") % 10) / F.lit(1000.0)).alias("lon"),
-    )
+    files = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+    return snap_of(files.parquet(sf))
 
 
 def _drained(spark, stream, times):

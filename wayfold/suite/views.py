@@ -8,14 +8,36 @@ START = "2024-01-01 00:00:00"
 END = "2024-01-31 00:00:00"
 
 
+# Columns of the given tables; declared, so that a read opens no file to find them out.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def snap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("__k")
-    events = table(spark, sf_dir, "events")
-    return events.withColumn("__k", F.get_json_object("props", "$.k").cast("int")).select(
+    return snap_of(table(spark, sf_dir, "events"))
+
+
+def snap_of(events: DataFrame) -> DataFrame:
+    """Snapshots from events. As a generator the property is parsed once a row, however many
+    columns and filters are derived from it."""
+    k = F.col("__k").cast("int")
+    return events.select("*", F.json_tuple("props", "k").alias("__k")).select(
         "event_id",
         (F.col("user_id") % 25).cast("int").alias("station_id"),
         (F.col("user_id") % 50).cast("int").alias("vehicle_id"),
