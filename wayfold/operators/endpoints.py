@@ -56,25 +56,20 @@ def apply_changes(
     """``base`` after keyed changes; ``op_col`` says ``insert``, ``update`` or ``delete``.
 
     The last change of a key in ``order`` wins. It is found with an aggregate, so many changes of
-    one key are folded before the shuffle. ``base`` is only ever the large side of a join with the
-    folded changes, so it is not shuffled while those are small enough to broadcast; a full outer
-    join would always shuffle it.
+    one key are folded before the shuffle. Keys are unique on both sides of the join then, so it
+    has no hot key; a base that is bucketed by its key is not shuffled.
     """
     missing = [k for k in keys if k not in base.columns or k not in changes.columns]
     if not keys or missing:
         raise ValueError(f"changes need the full primary key, missing: {missing or 'all'}")
-    keys = list(keys)
     values = [c for c in base.columns if c not in keys]
     newest = F.max_by(F.struct(op_col, *values), F.struct(*order))
     last = changes.groupBy(*keys).agg(newest.alias("__new"))
-    alive = F.col(f"__new.{op_col}") != "delete"
-
-    known = join_dim(base, last, keys, "left").where(F.col("__new").isNull() | alive)
-    changed = F.col("__new").isNotNull()
-    known = known.select(
-        *keys, *[F.when(changed, F.col("__new")[v]).otherwise(F.col(v)).alias(v) for v in values]
+    kept = (
+        base.select(*keys, F.struct(*values).alias("__old"))
+        .join(last, list(keys), "full")
+        .where(F.col("__new").isNull() | (F.col(f"__new.{op_col}") != "delete"))
     )
-    present = join_dim(base.select(*keys), last.select(*keys), keys, "left_semi")
-    added = last.where(alive).join(present, keys, "left_anti")
-    added = added.select(*keys, *[F.col("__new")[v].alias(v) for v in values])
-    return known.unionByName(added).select(*base.columns)
+    changed = F.col("__new").isNotNull()
+    merged = [F.when(changed, F.col("__new")[v]).otherwise(F.col("__old")[v]).alias(v) for v in values]
+    return kept.select(*keys, *merged).select(*base.columns)
