@@ -65,7 +65,7 @@ def _(spark, sf):
 def _margin_sql(level: int) -> str:
     values = ", ".join(f"{t}::DOUBLE" for t in metrics.T_TABLE[level])
     return f"""
-        SELECT user_id, day, n, round(mean, 9) AS mean, round(sd, 9) AS stdevp, round(t * sd / sqrt(n), 9) AS margin,
+        SELECT user_id, day, n, round(mean, 9) AS mean, round(sd, 9) AS stdevp, round(t * (sd / sqrt(n)), 9) AS margin,
                CASE WHEN n > 1 THEN round(0.1::DOUBLE - 2 * t * sd / sqrt(n - 1) / mean, 9) END AS confidence
         FROM (SELECT *, CASE WHEN n <= 30 THEN ([{values}])[n] END AS t FROM (
             SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS sd
