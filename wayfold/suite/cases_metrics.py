@@ -65,8 +65,8 @@ def _(spark, sf):
 def _margin_sql(level: int) -> str:
     values = ", ".join(f"{t}::DOUBLE" for t in metrics.T_TABLE[level])
     return f"""
-        SELECT user_id, day, n, round(mean, 9) AS mean, round(sd, 9) AS stdevp, round(t * (sd / sqrt(n)), 9) AS margin,
-               CASE WHEN n > 1 THEN round(0.1::DOUBLE - 2 * t * sd / sqrt(n - 1) / mean, 9) END AS confidence
+        SELECT user_id, day, n, round(mean, 7) AS mean, round(sd, 7) AS stdevp, round(t * (sd / sqrt(n)), 7) AS margin,
+               CASE WHEN n > 1 THEN round(0.1::DOUBLE - 2 * t * sd / sqrt(n - 1) / mean, 7) END AS confidence
         FROM (SELECT *, CASE WHEN n <= 30 THEN ([{values}])[n] END AS t FROM (
             SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS sd
             FROM events GROUP BY ALL))"""
@@ -75,7 +75,7 @@ def _margin_sql(level: int) -> str:
 def _margin(spark, sf, level):
     daily = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     found = metrics.margin_of_error(daily, "value", ["user_id", "day"], level)
-    return found.withColumns({c: F.round(c, 9) for c in ("mean", "stdevp", "margin", "confidence")})
+    return found.withColumns({c: F.round(c, 7) for c in ("mean", "stdevp", "margin", "confidence")})
 
 
 @case("margin_of_error_95", _margin_sql(95))
