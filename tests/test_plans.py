@@ -15,7 +15,7 @@ LAZY = [
     name for name in queries()
     if name not in {
         "write_placed", "travel_job", "load_routes", "read_json_records", "load_delimited", "append_fact",
-        "frequency_job", "stream_hourly_records", "stream_visits",
+        "frequency_job", "read_days", "stream_hourly_records", "stream_visits",
     }
 ]
 
@@ -45,6 +45,15 @@ def test_time_range_and_columns_reach_the_file(spark):
     assert "ReadSchema: struct<event_id:bigint,value:double>" in scan
 
 
+def test_days_outside_the_range_are_not_read(spark):
+    text = plan(spark, "read_days")
+    assert "day#" in text[text.index("PartitionFilters"):text.index("PushedFilters")]
+    df = queries()["read_days"](spark, sf_dir("0.001"))
+    df.collect()
+    files = {name.split("day=")[1][:10] for name in {r[0] for r in df.selectExpr("input_file_name()").collect()}}
+    assert min(files) == "2024-01-05" and max(files) == "2024-01-25"
+
+
 def test_records_are_folded_before_the_first_shuffle(spark):
     text = plan(spark, "daily_frequency")
     first_shuffle = text.rindex("Exchange hashpartitioning")

@@ -11,7 +11,7 @@ from wayfold.operators.endpoints import route_endpoints, update_endpoints
 from wayfold.operators.spine import DAY, missing_days, previous_day
 from wayfold.operators.trips import travel_by_bucket
 from wayfold.operators.visits import daily_frequency
-from wayfold.plans.timing import as_datetime
+from wayfold.sources.readers import read_days
 from wayfold.sources.writers import append_fact
 
 Time = str | datetime
@@ -38,7 +38,7 @@ def backfill(
     spark: SparkSession, path: str, start: Time, end: Time, job: Callable[[datetime, datetime], None]
 ) -> list[datetime]:
     """Run a job over each unbroken span of days the fact table lacks; returns those days."""
-    days = missing_days(spark.read.parquet(path), as_datetime(start), as_datetime(end))
+    days = missing_days(read_days(spark, path, start, end), start, end)
     todo = sorted(row.startTime for row in days.collect())
     spans: list[list[datetime]] = []
     for day in todo:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wayfold import schemas
-from wayfold.plans.timing import ts_literal
+from wayfold.plans.timing import as_datetime, ts_literal
 
 
 def scan_range(
@@ -24,6 +24,20 @@ def scan_range(
     return kept if key_col is None else kept.where(F.col(key_col) == F.lit(key))
 
 
+def read_days(
+    spark: SparkSession,
+    path: str,
+    start: str | datetime,
+    end: str | datetime,
+    ts: str = "startTime",
+    day: str = "day",
+) -> DataFrame:
+    """Half-open range of a table partitioned by day; only the folders of its days are listed."""
+    first, last = (F.lit(as_datetime(t).date()) for t in (start, end))
+    days = spark.read.parquet(path).where(F.col(day).between(first, last))
+    return scan_range(days, ts, start, end).drop(day)
+
+
 def scan_points(
     df: DataFrame, start: str | datetime, end: str | datetime, ts: str = "dateTime"
 ) -> DataFrame:

@@ -16,7 +16,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def append_fact(df: DataFrame, path: str, ts: str = "startTime", day: str = "day") -> None:
-    """Write facts by day; writing a day again replaces it, other days stay.
+    """Write facts (or snapshots) by day; writing a day again replaces it, other days stay.
 
     The rebalance hint gives few files per day and splits a day that is too large for one task.
     """

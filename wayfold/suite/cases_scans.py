@@ -74,6 +74,14 @@ def _(spark, sf):
     return spark.read.parquet(path).select("station_id", "startTime", "freq")
 
 
+@case("read_days", sql(f"SELECT * FROM snap WHERE {RANGE_SQL}", "snap"))
+def _(spark, sf):
+    """Snapshots kept by day, and a range of them read back."""
+    path = writers.shared_dir(spark, "snapshots")
+    writers.append_fact(snap(spark, sf), path, "dateTime")
+    return readers.read_days(spark, path, FROM, TO, "dateTime")
+
+
 @case(
     "frequency_job",
     sql(
