@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from wayfold.functions import named, time
 from wayfold.operators import endpoints, quality
+from wayfold.plans.timing import micros_between, window_of
 
 
 def one(spark, value, column, dtype="string"):
@@ -38,6 +39,9 @@ def test_numbers(spark):
     assert one(spark, " 12.5 ", quality.to_number) == 12.5
     assert one(spark, "", quality.to_number) == 0.0
     assert one(spark, "abc", quality.to_number) is None
+    for text, whole in (("12.7", 12), ("-12.7", -12), ("1e3", 1000), ("42", 42), ("3e9", None)):
+        assert one(spark, text, lambda c: quality.to_number(c, to="int")) == whole
+    assert one(spark, "9007199254740993", lambda c: quality.to_number(c, to="bigint")) == 9007199254740993
     assert one(spark, None, quality.to_number) is None
     with pytest.raises(Exception, match="empty text"):
         one(spark, " ", lambda c: quality.to_number(c, empty_as_zero=False))
@@ -86,6 +90,9 @@ def test_regex_guard(spark):
         quality.regex_guard(frame, r"\d+").collect()
     with pytest.raises(ValueError):
         quality.regex_guard(frame, r"\d+", "other")
+    assert rows(quality.regex_report(frame, "[23]", ["id"], cols=["id"])) == [(2, "id"), (3, "id")]
+    with pytest.raises(Exception, match="value disallowed in column id"):
+        quality.regex_guard(frame, "3", cols=["id"]).collect()
 
 
 def test_convert(spark):
@@ -162,6 +169,22 @@ def test_named_functions(spark, column, expected):
     assert spark.range(1).select(column()).first()[0] == expected
 
 
+def test_times_do_not_pass_through_the_session_zone(spark):
+    """02:30 does not exist on that day in that zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ts = F.lit("2024-03-10 02:30:15.5").cast("timestamp_ntz")
+        found = spark.range(1).select(
+            time.interval_label(ts, "1 hour"), time.time_text(ts), time.hour_start(ts), time.hour_bucket(ts, 2),
+            micros_between(ts, ts + F.expr("INTERVAL 1 DAY")), window_of(ts, "1 hour")["start"],
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    hour = datetime(2024, 3, 10, 2)
+    assert tuple(found) == ("02:30 - 03:30", "2024-03-10 02:30:15", hour, 2, 86_400_000_000, hour)
+
+
 def test_clock_functions(spark):
     text, stamp = spark.range(1).select(named.curtime(), named.sysdate()).first()
     assert len(text) == 8 and isinstance(stamp, datetime)

@@ -8,9 +8,6 @@ from pyspark.sql import Column, functions as F
 
 from wayfold.plans.timing import as_delta
 
-# Fixed value: the text form of a time.
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 
 def parse_ts(text: Column, strict: bool = False) -> Column:
     """Text to timestamp without zone; text in another form gives null, or an error if strict."""
@@ -24,7 +21,12 @@ def parse_ts(text: Column, strict: bool = False) -> Column:
 def interval_label(start: Column, width: str | timedelta) -> Column:
     """``"HH:MM - HH:MM"``."""
     end = start + F.lit(as_delta(width))
-    return F.concat_ws(" - ", F.date_format(start, "HH:mm"), F.date_format(end, "HH:mm"))
+    return F.concat_ws(" - ", *[F.substring(t.cast("string"), 12, 5) for t in (start, end)])
+
+
+def time_text(ts: Column) -> Column:
+    """``"yyyy-MM-dd HH:mm:ss"``, cut to whole seconds."""
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def hour_bucket(ts: Column, hours: int = 4) -> Column:
@@ -32,9 +34,14 @@ def hour_bucket(ts: Column, hours: int = 4) -> Column:
     return (F.floor(F.hour(ts) / F.lit(hours)) * F.lit(hours)).cast("int")
 
 
+def hour_slot(ts: Column, hours: int) -> Column:
+    """Start of the slot of ``hours`` clock hours that holds ``ts``; slots restart at midnight."""
+    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour_bucket(ts, hours))
+
+
 def hour_start(ts: Column) -> Column:
     """The full hour at or before ``ts``."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    return hour_slot(ts, 1)
 
 
 def padded_hour(ts: Column) -> Column:

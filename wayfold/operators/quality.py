@@ -77,10 +77,14 @@ def year_column(value: Column, as_date: bool = True, two_digit: bool = False) ->
 
 
 def to_number(value: Column, empty_as_zero: bool = True, to: str = "double") -> Column:
-    """Text to number; what is no number becomes null, empty text 0 or an error."""
+    """Text to number; what is no number or does not fit becomes null, empty text 0 or an error.
+
+    A whole-number type takes ``12.7`` and ``1e3`` as well, cut to whole numbers.
+    """
     text = F.trim(value)
     empty = F.lit(0).cast(to) if empty_as_zero else _fail("empty text is no number").cast(to)
-    return F.when(text == "", empty).otherwise(text.try_cast(to))
+    number = F.coalesce(text.try_cast(to), text.try_cast("double").try_cast(to))
+    return F.when(text == "", empty).otherwise(number)
 
 
 def checked_cast(value: Column, to: str, on_error: str = "fail") -> Column:
@@ -102,18 +106,23 @@ def shift_tz(ts: Column, from_tz: str, to_tz: str) -> Column:
     return F.convert_timezone(F.lit(from_tz), F.lit(to_tz), ts)
 
 
-def _forbidden(df: DataFrame, pattern: str) -> dict[str, Column]:
+def _forbidden(df: DataFrame, pattern: str, cols: Sequence[str] | None) -> dict[str, Column]:
     whole = rf"\A(?:{pattern})\z"
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return {n: F.coalesce(F.col(n).rlike(whole), F.lit(False)) for n in names}
+    if cols is None:
+        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return {n: F.coalesce(F.col(n).cast("string").rlike(whole), F.lit(False)) for n in cols}
 
 
-def regex_guard(df: DataFrame, pattern: str, mode: str = "fail", flag: str = "disallowed") -> DataFrame:
-    """Watch all text columns for values that fully match a forbidden pattern.
+def regex_guard(
+    df: DataFrame, pattern: str, mode: str = "fail", flag: str = "disallowed",
+    cols: Sequence[str] | None = None,
+) -> DataFrame:
+    """Watch columns for values that fully match a forbidden pattern.
 
-    ``fail`` stops the job, ``drop`` leaves such rows out, ``flag`` adds the names of the columns.
+    All text columns unless ``cols`` names them; others are matched as text. ``fail`` stops the
+    job, ``drop`` leaves such rows out, ``flag`` adds the names of the columns.
     """
-    hits = _forbidden(df, pattern)
+    hits = _forbidden(df, pattern, cols)
     if not hits:
         return df.withColumn(flag, F.array().cast("array<string>")) if mode == "flag" else df
     if mode == "flag":
@@ -124,15 +133,18 @@ def regex_guard(df: DataFrame, pattern: str, mode: str = "fail", flag: str = "di
     if mode != "fail":
         raise ValueError(f"unknown mode {mode}")
     checked = {
-        name: F.when(hit, _fail("value disallowed in column ", name).cast("string")).otherwise(F.col(name))
+        name: F.when(hit, _fail("value disallowed in column ", name).cast(df.schema[name].dataType))
+        .otherwise(F.col(name))
         for name, hit in hits.items()
     }
     return df.withColumns(checked)
 
 
-def regex_report(df: DataFrame, pattern: str, keys: Sequence[str]) -> DataFrame:
+def regex_report(
+    df: DataFrame, pattern: str, keys: Sequence[str], cols: Sequence[str] | None = None
+) -> DataFrame:
     """One row per disallowed value: the row's keys and the ``column``."""
-    flagged = regex_guard(df, pattern, "flag", "__found")
+    flagged = regex_guard(df, pattern, "flag", "__found", cols)
     return flagged.select(*keys, F.explode("__found").alias("column"))
 
 

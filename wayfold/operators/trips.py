@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wayfold.functions.time import hour_slot
 from wayfold.operators.geo import PREC, TOL, snap_in_box
 from wayfold.operators.spine import DAY, keyed_spine, zero_fill
 from wayfold.plans.joins import join_dim
@@ -84,12 +85,6 @@ def trips(snap: DataFrame, min_minutes: float = MIN_MINUTES, **runs: object) ->
     return kept.withColumn("duration_us", micros_between(F.col("run_start"), F.col("run_end")))
 
 
-def hour_slot(ts: Column, hours: int) -> Column:
-    """Start of the slot of ``hours`` clock hours that holds ``ts``; slots restart at midnight."""
-    slot = F.floor(F.hour(ts) / F.lit(hours)) * F.lit(hours)
-    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), slot.cast("int"))
-
-
 def merge_avg(
     partials: DataFrame, keys: Sequence[str], total: str, count: str
 ) -> DataFrame:

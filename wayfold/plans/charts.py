@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from wayfold.functions.time import interval_label
+from wayfold.functions.time import interval_label, time_text
 from wayfold.operators.density import dense_areas
 from wayfold.operators.rollup import frequency_top, route_list, travel_top
 from wayfold.operators.sampling import path_sample
@@ -58,8 +58,8 @@ def density(snap: DataFrame, start: Time, end: Time, rate: float = 1.0) -> DataF
 
 def path(snap: DataFrame, station: int, start: Time, end: Time, rate: float = 1.0) -> DataFrame:
     rows = path_sample(snap, start, end, station=station, rate=rate)
-    text = F.date_format("dateTime", "yyyy-MM-dd HH:mm:ss")
-    rows = rows.withColumn("__at", F.col("dateTime")).withColumn("dateTime", text)
+    rows = rows.withColumn("__at", F.col("dateTime"))
+    rows = rows.withColumn("dateTime", time_text(F.col("__at")))
     return chart_json(rows, ["lat", "lon", "dateTime"], ["stratum", "__at", "event_id"])
 
 
