@@ -11,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from wayfold.operators import density, endpoints, placement, quality, sampling, spine
+from wayfold.plans.ranking import top_per_group
 from wayfold.plans.timing import as_delta, interval_count
 
 TIMES = st.datetimes(datetime(2000, 1, 1), datetime(2030, 1, 1))
@@ -99,6 +100,22 @@ def test_dense_areas(spark):
     assert [(r.lat, r.lon, r["count"]) for r in found] == [(a / 10000, o / 10000, n) for a, o, n in areas]
 
 
+@pytest.mark.parametrize("n", [1, 40, 1500])
+def test_first_rows_of_a_hot_group(spark, n):
+    rng = random.Random(n)
+    data = [(0 if i % 3 == 0 else rng.randrange(1, 9), rng.randrange(10**6), i) for i in range(9000)]
+    frame = spark.createDataFrame(data, "g int, v int, i int").repartition(11)
+    groups = {}
+    for g, v, i in sorted(data):
+        groups.setdefault(g, []).append((g, v, i))
+    want = {row for rows in groups.values() for row in rows[:n]}
+    found = top_per_group(frame, ["g"], [F.col("v"), F.col("i")], n)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window [row_number()") == (2 if n > 1000 else 1)
+    assert ("WindowGroupLimit" in text) == (n <= 1000)
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_sample_is_the_same_everywhere(spark):
     frame = spark.range(20000)
     kept = {r.id for r in sampling.hash_sample(frame, "id", 0.3).collect()}

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.operators.geo import sigma_bounds, with_bounds
+from wayfold.plans.ranking import top_per_group
 from wayfold.sources.readers import scan_range
 
 # Fixed values of the path sample.
@@ -43,8 +44,7 @@ def path_sample(
 
     Per station, the axis with the wider mean -/+ k sigma range is cut into equal strata, the last
     closed on the right. Rows outside the range of either axis are left out; each stratum gives
-    at most ``cap / strata`` rows in reproducible random order. The rank filter is applied before
-    the shuffle as well, so a stratum sends at most that many rows per task.
+    at most ``cap / strata`` rows in reproducible random order.
     """
     chosen = () if station is None else ("station_id", station)
     rows = scan_range(snap, "dateTime", start, end, *chosen)
@@ -63,16 +63,9 @@ def path_sample(
         F.col("lon_lo"), F.col("lon_hi")
     )
     stratum = F.least(F.coalesce(step, F.lit(0)), F.lit(strata - 1)).cast("int")
-    rank = F.row_number().over(
-        Window.partitionBy("station_id", "stratum").orderBy("__order", key)
-    )
-    return (
-        placed.where(inside)
-        .select(
-            "station_id", "dateTime", "lat", "lon", key,
-            stratum.alias("stratum"), hash_order(key, seed).alias("__order"),
-        )
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= cap // strata)
-        .drop("__rank", "__order")
+    spread_out = placed.where(inside).select(
+        "station_id", "dateTime", "lat", "lon", key,
+        stratum.alias("stratum"), hash_order(key, seed).alias("__order"),
     )
+    order = [F.col("__order"), F.col(key)]
+    return top_per_group(spread_out, ["station_id", "stratum"], order, cap // strata).drop("__order")

@@ -11,6 +11,7 @@ from wayfold.functions.time import hour_slot
 from wayfold.operators.geo import PREC, TOL, snap_in_box
 from wayfold.operators.spine import DAY, keyed_spine, zero_fill
 from wayfold.plans.joins import join_dim
+from wayfold.plans.ranking import top_per_group
 from wayfold.plans.timing import (
     EPOCH, as_datetime, as_delta, interval_count, micros_between, window_of,
 )
@@ -158,8 +159,7 @@ def _ids_per_interval(
     rows = scan_range(snap, "dateTime", start, end).select(
         "station_id", window_of("dateTime", width, start)["start"].alias("startTime"), "vehicle_id"
     )
-    rank = F.row_number().over(Window.partitionBy("station_id", "startTime").orderBy(*order))
-    return rows.distinct().withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    return top_per_group(rows.distinct(), ["station_id", "startTime"], order, n)
 
 
 def first_ids(
