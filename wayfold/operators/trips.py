@@ -107,12 +107,17 @@ def _rounded(value: Column, decimals: int) -> Column:
 def travel_by_bucket(
     snap: DataFrame, start: str | datetime, end: str | datetime, width_h: int = 4,
     station: int | None = None, ids: DataFrame | None = None, min_minutes: float = MIN_MINUTES,
+    cut_days: bool = True,
 ) -> DataFrame:
-    """Mean trip minutes per route and slot of ``width_h`` hours, over complete days."""
+    """Mean trip minutes per route and slot of ``width_h`` hours, over complete days.
+
+    A trip over the end of a day is cut there, so days can be run apart; ``cut_days=False`` keeps
+    it whole, in the slot of its start.
+    """
     start = as_datetime(start)
     end = start + interval_count(start, end, DAY) * DAY
     rows = _rows(snap, start, end, station, ids)
-    found = trips(rows, min_minutes, restart=DAY, anchor=start)
+    found = trips(rows, min_minutes, restart=DAY if cut_days else None, anchor=start)
     found = found.withColumn("startTime", hour_slot(F.col("run_start"), width_h))
     means = _mean_minutes(found, ["station_id", "startTime"])
     return means.select("station_id", "startTime", _rounded(F.col("minutes"), 1).alias("travelTime"))

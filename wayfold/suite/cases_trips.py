@@ -44,6 +44,12 @@ def travel_by_bucket(spark, sf):
     return t.travel_by_bucket(snap(spark, sf), START, END)
 
 
+@case("travel_by_bucket_whole", sql(BUCKETS_SQL, "snap", runs=sql_runs()))
+def _(spark, sf):
+    """Trips over midnight are not cut."""
+    return t.travel_by_bucket(snap(spark, sf), START, END, cut_days=False)
+
+
 @case("travel_job", sql(BUCKETS_SQL, "snap", runs=sql_runs("day")))
 def _(spark, sf):
     path = shared_dir(spark, "travel")
