@@ -327,7 +327,8 @@ def _(spark, sf):
               CAST(strftime(ts, '%U') AS INT) AS week, CAST(strftime(ts, '%W') AS INT) AS week_monday,
               CAST(week(ts) AS INT) AS week_iso, CAST(year(ts) AS INT) AS year, CAST(hour(ts) AS INT) AS hour,
               CAST(minute(ts) AS INT) AS minute, CAST(second(ts) AS INT) AS second,
-              CAST(strftime(CAST(date_trunc('month', ts) AS TIMESTAMP) + INTERVAL 1 MONTH * (event_id % 40), '%Y%m') AS BIGINT) AS period_add,
+              CAST(strftime(CAST(date_trunc('month', ts) AS TIMESTAMP) + INTERVAL 1 MONTH * (event_id % 40), '%Y%m')
+                   AS BIGINT) AS period_add,
               CAST((year(ts) - 1999) * 12 + month(ts) - 5 AS BIGINT) AS period_diff,
               CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) + 719528 AS INT) AS to_days,
               strftime(ts, '%Y-%m-%d') AS from_days, strftime(ts, '%d/%m/%y %H:%M') AS date_format,

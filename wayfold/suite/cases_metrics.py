@@ -69,7 +69,8 @@ SHIFT = 1.23e-8
 def _margin_sql(level: int) -> str:
     values = ", ".join(f"{t}::DOUBLE" for t in metrics.T_TABLE[level])
     return f"""
-        SELECT user_id, day, n, round(mean + {SHIFT}, 6) AS mean, round(sd + {SHIFT}, 6) AS stdevp, round(t * (sd / sqrt(n)) + {SHIFT}, 6) AS margin,
+        SELECT user_id, day, n, round(mean + {SHIFT}, 6) AS mean, round(sd + {SHIFT}, 6) AS stdevp,
+               round(t * (sd / sqrt(n)) + {SHIFT}, 6) AS margin,
                CASE WHEN n > 1 THEN round(0.1::DOUBLE - 2 * t * sd / sqrt(n - 1) / mean + {SHIFT}, 6) END AS confidence
         FROM (SELECT *, CASE WHEN n <= 30 THEN ([{values}])[n] END AS t FROM (
             SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS sd
@@ -79,7 +80,8 @@ def _margin_sql(level: int) -> str:
 def _margin(spark, sf, level):
     daily = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     found = metrics.margin_of_error(daily, "value", ["user_id", "day"], level)
-    return found.withColumns({c: F.round(F.col(c) + F.lit(SHIFT), 6) for c in ("mean", "stdevp", "margin", "confidence")})
+    names = ("mean", "stdevp", "margin", "confidence")
+    return found.withColumns({c: F.round(F.col(c) + F.lit(SHIFT), 6) for c in names})
 
 
 @case("margin_of_error_95", _margin_sql(95))

@@ -177,6 +177,7 @@ def path_sample(spark, sf):
 
 @case("path_sample_station", path_sql("SELECT * FROM snap WHERE station_id = 3"))
 def _(spark, sf):
+    """One route: its bounds come from a scalar subquery instead of a join."""
     return sampling.path_sample(snap(spark, sf), START, END, station=3)
 
 
@@ -189,4 +190,5 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
+    """The chart shows one route."""
     return charts.path(snap(spark, sf), 3, START, END)

@@ -24,6 +24,7 @@ def _(spark, sf):
 
 @case("scan_range_key", sql(f"SELECT * FROM snap WHERE {RANGE_SQL} AND station_id = 7", "snap"))
 def _(spark, sf):
+    """The operator is the scan of one key."""
     return readers.scan_range(snap(spark, sf), "dateTime", FROM, TO, "station_id", 7)
 
 

@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from wayfold.operators import geo, rollup, trips as t
+from wayfold.operators import rollup, trips as t
 from wayfold.plans import charts
 from wayfold.plans.jobs import travel_job
 from wayfold.sources.writers import shared_dir
 from wayfold.suite.registry import case
 from wayfold.suite.views import (
-    END, MINUTES, START, TRIPS_WHERE, routes, snap, sql, sql_hits, sql_runs, sql_spine,
+    END, MINUTES, START, TRIPS_WHERE, routes, snap, sql, sql_hits, sql_runs, sql_spine, table,
 )
 
 
@@ -81,6 +81,7 @@ def travel_by_hour(spark, sf):
     ),
 )
 def _(spark, sf):
+    """The chart shows one route."""
     return charts.hourly_travel(snap(spark, sf), routes(spark, sf), 3, START, END)
 
 
@@ -200,8 +201,6 @@ def first_arrival(spark, sf):
        UNION SELECT c_mktsegment, o_orderpriority FROM customer JOIN orders ON o_custkey = c_custkey""",
 )
 def _(spark, sf):
-    from wayfold.suite.views import table
-
     nations = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.lit("").alias("note"))
     joined = table(spark, sf, "orders").join(
         table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")

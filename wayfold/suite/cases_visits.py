@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from wayfold import schemas
-from wayfold.functions.time import interval_label
 from wayfold.operators import geo, visits
 from wayfold.plans import charts
 from wayfold.sources.writers import shared_dir
@@ -165,6 +163,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
+    """The chart shows one route."""
     return charts.hourly_frequency(snap(spark, sf), routes(spark, sf), 3, START, END)
 
 
