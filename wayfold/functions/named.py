@@ -30,6 +30,16 @@ def truncate(x: Column, decimals: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) / step) * step
 
 
+def length(text: Column) -> Column:
+    """Length in bytes; Spark's counts characters."""
+    return F.octet_length(text)
+
+
+def elt(n: Column, *options: Column) -> Column:
+    """The n-th option; null outside them, where Spark's fails."""
+    return F.when(n.between(1, len(options)), F.elt(n, *options))
+
+
 def field(value: Column, *options: Column) -> Column:
     """Position of the value among the options from 1; 0 if absent or null."""
     return F.coalesce(F.array_position(F.array(*options), value), F.lit(0)).cast("int")

@@ -275,7 +275,10 @@ def _(spark, sf):
     """SELECT p_partkey, CAST(ascii(p_name) AS INT) AS ascii, bin(p_size) AS bin, CAST(8 * length(p_name) AS INT) AS bit_length,
               chr(65 + p_size % 26) AS "char", CAST(length(p_name) AS INT) AS char_length, p_name || '/' || p_brand AS concat,
               concat_ws('-', p_type, p_name) AS concat_ws, CASE p_size % 3 WHEN 1 THEN p_name WHEN 2 THEN p_brand ELSE '' END AS elt,
-              CAST(list_position(['SMALL', 'ECONOMY'], p_type) AS INT) AS field_raw,
+              CAST(length(p_name) AS INT) AS character_length, to_base(p_partkey, 16) AS conv,
+              CAST(strlen(p_name) AS INT) AS length, lower(p_brand) AS lower, CAST(strlen(p_brand) AS INT) AS octet_length,
+              upper(p_type) AS upper, CAST(position('i' IN p_name) AS INT) AS position, rtrim(p_name || '  ') AS rtrim,
+              CAST(coalesce(list_position(['SMALL', 'ECONOMY'], p_type), 0) AS INT) AS field,
               hex(p_name) AS hex, left(p_name, 2) || p_brand || substr(p_name, 6) AS "insert",
               CAST(instr(p_name, 'i') AS INT) AS instr, lower(p_type) AS lcase, left(p_name, 3) AS "left",
               CAST(position('e' IN p_name) AS INT) AS locate, lpad(p_brand, 10, '*') AS lpad, ltrim('  ' || p_name) AS ltrim,
@@ -286,12 +289,10 @@ def _(spark, sf):
               right(p_name, 3) AS "right", rpad(p_brand, 10, '*') AS rpad, repeat(' ', p_size % 4) AS space,
               CAST(CASE WHEN p_name = p_type THEN 0 WHEN p_name < p_type THEN -1 ELSE 1 END AS INT) AS strcmp,
               substr(p_name, 3) AS substring, split_part(p_name, ' ', 1) AS substring_index, trim(' ' || p_name || ' ') AS trim,
-              upper(p_name) AS ucase, CAST(CASE WHEN p_type = 'ECONOMY' THEN 2 WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS INT) AS find_in_set,
+              upper(p_name) AS ucase,
+              CAST(CASE WHEN p_type = 'ECONOMY' THEN 2 WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS INT) AS find_in_set,
               '''' || p_name || '''' AS quote
-       FROM part""".replace(
-        "CAST(list_position(['SMALL', 'ECONOMY'], p_type) AS INT) AS field_raw",
-        "CAST(coalesce(list_position(['SMALL', 'ECONOMY'], p_type), 0) AS INT) AS field",
-    ),
+       FROM part""",
 )
 def _(spark, sf):
     name, brand, kind, size = (F.col(f"p_{c}") for c in ("name", "brand", "type", "size"))
@@ -299,7 +300,9 @@ def _(spark, sf):
         "ascii": F.ascii(name), "bin": F.bin(size), "bit_length": F.bit_length(name),
         "char": F.char(F.lit(65) + size % 26), "char_length": F.char_length(name),
         "concat": F.concat(name, F.lit("/"), brand), "concat_ws": F.concat_ws("-", kind, name),
-        "elt": F.coalesce(F.when(size % 3 > 0, F.elt(F.greatest(size % 3, F.lit(1)), name, brand)), F.lit("")),
+        "character_length": F.character_length(name), "conv": F.conv(F.col("p_partkey").cast("string"), 10, 16),
+        "lower": F.lower(brand), "octet_length": F.octet_length(brand), "upper": F.upper(kind),
+        "position": F.position(F.lit("i"), name), "rtrim": F.rtrim(F.concat(name, F.lit("  "))),
         "hex": F.hex(name), "instr": F.instr(name, "i"), "lcase": F.lcase(kind), "left": F.left(name, F.lit(3)),
         "locate": F.locate("e", name), "lpad": F.lpad(brand, 10, "*"), "ltrim": F.ltrim(F.concat(F.lit("  "), name)),
         "repeat": F.repeat(kind, 2), "replace": F.replace(name, F.lit("e"), F.lit("E")), "reverse": F.reverse(name),
@@ -309,6 +312,7 @@ def _(spark, sf):
         "find_in_set": F.find_in_set(kind, F.lit("SMALL,ECONOMY")), "quote": F.quote(name),
     }
     own = {
+        "elt": F.coalesce(named.elt(size % 3, name, brand), F.lit("")), "length": named.length(name),
         "field": named.field(kind, F.lit("SMALL"), F.lit("ECONOMY")), "insert": named.insert(name, 3, 3, brand),
         "make_set": named.make_set(size, F.lit("a"), F.lit("b"), F.lit("c")),
         "export_set": named.export_set(size, "Y", "N", "|", 4), "mid": named.mid(name, 2, 4),
@@ -335,7 +339,8 @@ def _(spark, sf):
               strftime(ts, '%H.%M.%S') AS time_format, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS unix_timestamp,
               strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS from_unixtime,
               CASE WHEN event_id % 2 = 0 THEN '' ELSE '-' END
-                  || lpad(CAST((event_id * 7) // 3600 AS VARCHAR), CAST(greatest(2, length(CAST((event_id * 7) // 3600 AS VARCHAR))) AS INT), '0')
+                  || lpad(CAST((event_id * 7) // 3600 AS VARCHAR),
+                          CAST(greatest(2, length(CAST((event_id * 7) // 3600 AS VARCHAR))) AS INT), '0')
                   || ':' || lpad(CAST((event_id * 7) // 60 % 60 AS VARCHAR), 2, '0')
                   || ':' || lpad(CAST((event_id * 7) % 60 AS VARCHAR), 2, '0') AS sec_to_time,
               CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS time_to_sec
