@@ -117,6 +117,17 @@ def test_days_can_be_run_apart(spark, snap):
     assert rows(whole) == sorted(sum((rows(d) for d in trip_days), []), key=repr)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_keys_of_two_integer_types_meet(spark, how):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    dim = spark.createDataFrame([(1, 10), (2**40, 20)], "k bigint, w int")
+    found = join_dim(fact, dim, "k", how)
+    assert rows(found) == rows(fact.join(dim, "k", how))
+    assert found.schema["k"].dataType == fact.schema["k"].dataType
+    with pytest.raises(ValueError, match="key k is int"):
+        join_dim(fact, dim.selectExpr("CAST(k AS STRING) AS k"), "k", how)
+
+
 def test_a_hot_key_is_split_in_a_join_beyond_the_broadcast_limit(spark):
     """Adaptive execution splits the hot partition although a grouping on the same key follows."""
     settings = {
