@@ -202,7 +202,7 @@ def _(spark, sf):
         f"""SELECT station_id, vehicle_id, min(dateTime) AS visit_start, max(dateTime) AS visit_end, count(*) AS records
             FROM (SELECT *, sum(opens) OVER (PARTITION BY station_id, vehicle_id ORDER BY dateTime, event_id) AS v
                   FROM (SELECT *, CASE WHEN coalesce(epoch_us(dateTime) - epoch_us(lag(dateTime) OVER w)
-                                                     < 900000000, false) THEN 0 ELSE 1 END AS opens
+                                                     <= 900000000, false) THEN 0 ELSE 1 END AS opens
                         FROM hits
                         WINDOW w AS (PARTITION BY station_id, vehicle_id ORDER BY dateTime, event_id)))
             GROUP BY station_id, vehicle_id, v
