@@ -154,7 +154,7 @@ SQL = {
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS last FROM p)
         SELECT page_id, payload_bytes,
-               array_to_string(list_transform(generate_series(0, 31), i ->
+               array_to_string(list_transform(generate_series(0, 31), lambda i:
                    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                           CAST((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS INT) + 1, 1)), '') AS payload_digest,
                CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,

@@ -85,9 +85,9 @@ def rates() -> dict[str, Column]:
     return {
         "word_length": F.col("word_chars") / n,
         "symbol_rate": F.col("n_symbols") / n,
-        # Five lines more below, so that one repeated line of a short text is no high rate.
+        # A few lines and words more below, so that one repeated line of a short text is no high rate.
         "line_rate": F.col("n_dup_lines") / (F.col("n_lines") + 5).cast("double"),
-        "repeat_rate": F.col("n_repeat_words") / n,
+        "repeat_rate": F.col("n_repeat_words") / (n + 50),
     }
 
 
