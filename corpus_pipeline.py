@@ -27,9 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes and more that occur elsewhere out of every text; a character that is cut in two is dropped."""
+    """Cuts strings of 400 bytes and more that occur elsewhere out of every text; what is left of a character that is cut in two becomes U+FFFD."""
     cut = suffix_dedup.without_repeats(docs, keep=("lang", "source"))
-    text = F.try_validate_utf8(F.decode("kept", F.lit("UTF-8")))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
     return cut.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("bigint").alias("n_chars"))
 
 
