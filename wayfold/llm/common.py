@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handled at a time inside a task; arrays of a task are a fixed multiple of this.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfold.llm.common import Rolling, kept, slices, text_column
+from wayfold.llm.common import Rolling, kept, mix, slices, text_column
 from wayfold.llm.sketches import frequent_slots, hit
 
 GRAM = 64
@@ -63,8 +63,9 @@ def _anchor_hashes(batch: pa.RecordBatch, span: int) -> Iterator[np.ndarray]:
     for _, _, data, offsets in slices(text_column(batch)):
         for _, _, anchors, grams in anchored(data, np.append(offsets, len(data) + span), span):
             if len(anchors):
-                # A run never ends and begins again, so each change is a new anchor.
-                yield grams[anchors[np.flatnonzero(np.diff(anchors, prepend=-1))]]
+                # A run never ends and begins again, so each change is a new anchor. Anchors are least
+                # hashes, so they are mixed again before they are dealt to slots.
+                yield mix(grams[anchors[np.flatnonzero(np.diff(anchors, prepend=-1))]])
 
 
 def runs(texts: DataFrame, span: int, bits) -> DataFrame:
@@ -87,7 +88,7 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
                 whole = data.tobytes()
                 keys: dict[int, bytes | None] = {}
                 for at, windows, anchors, grams in anchored(data, np.append(offsets, len(data) + span), span):
-                    often = hit(bits.value, grams[anchors])
+                    often = hit(bits.value, mix(grams[anchors]))
                     windows, anchors = windows[often], anchors[often]
                     if not len(windows):
                         continue
