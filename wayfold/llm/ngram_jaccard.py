@@ -84,6 +84,12 @@ def set_id(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def signature(grams: np.ndarray) -> bytes:
+    """The parities of how many shingles fall on each of SIGNATURE bits."""
+    odd = np.bincount((grams >> np.uint64(5)).astype(np.int64) & (SIGNATURE - 1), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def least_overlap(n: int, percent: int) -> int:
     """The smallest overlap that any link of a set of n needs."""
     return -(-percent * n // 100)
@@ -102,19 +108,20 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tu
 
 
 def profiles(documents: DataFrame, id_col: str, width: int) -> DataFrame:
-    """(id, n_shingles, set_id) of every row."""
+    """(id, n_shingles, set_id, signature) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, signs = [], [], []
             for _, grams in shingle_sets(batch, width):
                 sizes.append(len(grams))
                 keys.append(set_id(grams) if len(grams) else None)
-            ids = batch.column(0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], ["id", "n", "set_id"])
+                signs.append(signature(grams) if len(grams) else None)
+            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "n", "set_id", "signature"])
 
     rows = documents.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n bigint, set_id bigint")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n bigint, set_id bigint, signature binary")
 
 
 def prefixes(texts: DataFrame, width: int, percent: int, bits) -> DataFrame:
@@ -185,39 +192,38 @@ def stars(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "shingle bigint, p_id bigint, p_n bigint, p_pos bigint, set_id bigint, n bigint, pos bigint")
 
 
-def segments(texts: DataFrame, width: int, bits, wanted) -> DataFrame:
-    """Sets cut into fragments of the global order: (set_id, fragment, its hashes, the set's signature)."""
+def segments(texts: DataFrame, width: int, bits, pairs: DataFrame) -> DataFrame:
+    """The sets of the pairs cut into fragments of the global order: (set_id, fragment, its hashes).
+
+    Their ids go to the tasks as a sketch of fixed size, which saves most of the others; the join after it is exact."""
+    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    wanted = texts.sparkSession.sparkContext.broadcast(frequent_slots(ids, lambda b: iter([mix(b.column(0).to_numpy().view(np.uint64))]), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fragments, blobs, signs, held = [], [], [], [], 0
+        keys, fragments, blobs, held = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(fragments, pa.int32()), pa.array(blobs, pa.binary()), pa.array(signs, pa.binary())],
-                ["set_id", "fragment", "grams", "signature"],
-            )
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(fragments, pa.int32()), pa.array(blobs, pa.binary())], ["set_id", "fragment", "grams"])
 
         for key, grams in _distinct_sets(batches, width):
             if not hit(wanted.value, mix(np.array([key], np.int64).view(np.uint64)))[0]:
                 continue
-            odd = np.bincount((grams >> np.uint64(5)).astype(np.int64) & (SIGNATURE - 1), minlength=SIGNATURE) & 1
-            signature = np.packbits(odd.astype(np.uint8)).tobytes()
             place = (grams >> np.uint64(62)).astype(np.int32) + CUTS * hit(bits.value, grams)
             for f in range(2 * CUTS):
                 part = grams[place == f]
-                if len(part) or not f:
+                if len(part):
                     keys.append(key)
                     fragments.append(f)
                     blobs.append(part.tobytes())
-                    signs.append(None if f else signature)
                     held += part.nbytes
             if held >= 4_000_000:
                 yield out()
-                keys, fragments, blobs, signs, held = [], [], [], [], 0
+                keys, fragments, blobs, held = [], [], [], 0
         if keys:
             yield out()
 
-    return texts.mapInArrow(run, "set_id bigint, fragment int, grams binary, signature binary")
+    found = texts.mapInArrow(run, "set_id bigint, fragment int, grams binary")
+    return kept(found.join(ids, "set_id", "left_semi").dropDuplicates(["set_id", "fragment"]), "segments")
 
 
 def _may_link(xor: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -284,6 +290,12 @@ def across(members: DataFrame, percent: int) -> DataFrame:
     return x.join(y.withColumnRenamed("shingle", "same"), (F.col("shingle") == F.col("same")) & where).select("a", "b", "na", "nb").distinct()
 
 
+def _links(pairs: DataFrame, signs: DataFrame, texts: DataFrame, width: int, bits, percent: int) -> DataFrame:
+    """Those of the candidate pairs that link."""
+    left = kept(signed(pairs, signs, percent), "pairs")
+    return kept(linked(left, segments(texts, width, bits, left), percent), "links") if not left.isEmpty() else left.select("a", "b")
+
+
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``documents``; see the module's text.
 
@@ -300,10 +312,8 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", width: int
     bits = sc.broadcast(frequent_slots(texts, lambda b: (g for _, g in shingle_sets(b, width)), least))
     buckets = kept(stars(prefixes(texts, width, percent, bits)), "buckets")
     ids = buckets.select(F.col("p_id").alias("set_id")).union(buckets.select("set_id")).distinct()
-    wanted = sc.broadcast(frequent_slots(ids, lambda b: iter([mix(b.column(0).to_numpy().view(np.uint64))]), 1))
-    cut = segments(texts, width, bits, wanted).join(ids, "set_id", "left_semi").dropDuplicates(["set_id", "fragment"])
-    cut = kept(cut, "segments")
-    signs = cut.where("fragment = 0").select("set_id", "signature")
+    signs = rows.select("set_id", "signature").join(ids, "set_id", "left_semi").dropDuplicates(["set_id"])
+    signs = kept(signs, "signatures")
 
     first = buckets.where(100 * F.least("p_n", "n") >= percent * F.greatest("p_n", "n"))
     less = F.col("p_id") < F.col("set_id")
@@ -311,13 +321,14 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", width: int
         F.least("p_id", "set_id").alias("a"), F.greatest("p_id", "set_id").alias("b"),
         F.when(less, F.col("p_n")).otherwise(F.col("n")).alias("na"), F.when(less, F.col("n")).otherwise(F.col("p_n")).alias("nb"),
     ).distinct()
-    links = kept(linked(signed(pairs, signs, percent), cut, percent), "links")
+    links = _links(pairs, signs, texts, width, bits, percent)
     labels = kept(components(links), "labels")
 
     member = ["shingle", "set_id", "n", "pos"]
-    members = buckets.select(member).union(buckets.select("shingle", F.col("p_id").alias("set_id"), F.col("p_n").alias("n"), F.col("p_pos").alias("pos")).distinct())
-    members = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    more = kept(linked(signed(across(members, percent), signs, percent), cut, percent), "more")
+    heads = buckets.select("shingle", F.col("p_id").alias("set_id"), F.col("p_n").alias("n"), F.col("p_pos").alias("pos")).distinct()
+    members = buckets.select(member).union(heads).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    members = members.withColumn("component", F.coalesce("component", "set_id"))
+    more = _links(across(members, percent), signs, texts, width, bits, percent)
     labels = kept(components(links.union(more)), "labels") if not more.isEmpty() else labels
 
     tied = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("component", "set_id"))
