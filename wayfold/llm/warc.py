@@ -5,7 +5,7 @@ first part is the record itself (WARC-Segment-Number 1), the rest are ``continua
 name it in WARC-Segment-Origin-ID; the last one gives WARC-Segment-Total-Length. Of rows with equal
 payloads the largest id is the ``response``, the others are ``revisit`` records without payload.
 
-Files are written by Spark's text sink, one record a row, and closed after FILE_RECORDS records, so that a file
+Files are written by Spark's text sink, one record a row, compressed, and closed after FILE_RECORDS records, so that a file
 stays under FILE_RECORDS * (SEGMENT + a few kB) and can be read as one binary value. Reading parses
 records one after the other; whole responses are decoded on the spot, and only segments are shuffled:
 grouped by origin, ordered by number, checked against the total length, then decoded.
@@ -20,6 +20,7 @@ missing segments or a wrong length or digest comes back with ``intact`` false; e
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -132,7 +133,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["value"])
 
     out = joined.mapInArrow(run, "value string")
-    out.write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    out.write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -179,7 +180,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 def out() -> pa.RecordBatch:
                     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
 
-                for head, block in parse(content.as_py()):
+                for head, block in parse(gzip.decompress(content.as_py())):
                     digest = head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
                     number = int(head["WARC-Segment-Number"]) if "WARC-Segment-Number" in head else None
                     kind, own = head["WARC-Type"], head["WARC-Record-ID"]
@@ -213,7 +214,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array(sizes, pa.int64()), pa.array(fine, pa.bool_())], ["id", "url", "record", "times", "digest", "size", "intact"])
 
     # Written once, since the parts below read it several times; it has no payloads but those of segments.
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
     found = kept(files.mapInArrow(run, _PARSED), "records")
     # Repeated rows have equal segments: one of each number is taken, and the first's count gives the rows back.
     segments = found.where("number IS NOT NULL").groupBy("origin", "number", "block").agg(
