@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfold.llm.common import Rolling, mix, slices, text_column
+from wayfold.llm.common import Rolling, mix, slices, small_batches, text_column
 
 BUCKETS_BITS = 18
 DIMENSIONS = 8
@@ -147,6 +147,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_c
 
 def score(documents: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``keep`` and ``score`` of every row, from its text alone."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(*(F.col(c).alias(f"__{c}") for c in keep), F.col("text").cast("string").alias("text"))
     width = len(keep)

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handled at a time inside a task; arrays of a task are a fixed multiple of this.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Rows in a batch between Spark and Python: texts are long, and several batches of each task are held at once.
+BATCH_ROWS = 1000
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -28,6 +30,13 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the memory of operators that hand whole texts to Python; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: it cuts the lineage and outlives lost executors."""
     spark = df.sparkSession

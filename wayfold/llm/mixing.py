@@ -68,13 +68,12 @@ def rake(cells: DataFrame, marginals: Sequence[str], budget: float, temper: floa
         whole = raised.agg(F.sum("w")).first()[0] or 0.0
         targets[m] = kept(raised.select(m, (F.col("w") / F.lit(whole or 1.0) * F.lit(total * budget)).alias("target")), f"target-{m}")
     now = cells.withColumn("p", F.lit(float(budget)))
-    for done in range(rounds):
+    for _ in range(rounds):
         for m in marginals:
             have = now.groupBy(m).agg(F.sum(F.col("tokens") * F.col("p")).alias("have"))
             step = targets[m].join(have, m).select(m, F.when(F.col("have") > 0, F.col("target") / F.col("have")).otherwise(1.0).alias("f"))
-            now = now.join(step, m).withColumn("p", F.least(F.lit(1.0), F.col("p") * F.col("f"))).drop("f")
-        if done % 2 or done == rounds - 1:
-            now = kept(now, "raked")
+            # Each step reads the last one twice, so it is written, or the plan would double every time.
+            now = kept(now.join(step, m).withColumn("p", F.least(F.lit(1.0), F.col("p") * F.col("f"))).drop("f"), "raked")
     return now
 
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfold.llm.common import Rolling, kept, mix, slices, text_column
+from wayfold.llm.common import Rolling, kept, mix, slices, small_batches, text_column
 from wayfold.llm.components import components
 from wayfold.llm.sketches import frequent_slots, hit
 
@@ -303,6 +303,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", width: int
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be between 50 and 100")
+    small_batches(documents.sparkSession)
     spark = documents.sparkSession
     sc = spark.sparkContext
     texts = documents.select(F.col("text").cast("string").alias("text"))

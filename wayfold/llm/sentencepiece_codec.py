@@ -22,18 +22,21 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from wayfold.llm.common import small_batches
+
 MARK = "▁"
 #: Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM, BPE = 1, 2
 NONE = np.int32(-1)
 WORST = np.int64(1 << 40)
-GROUP = 1 << 19  # characters of words encoded together
+GROUP = 1 << 20  # characters of words encoded together
 LONG = 256  # words over this many characters are merged with a heap
 CACHE = 1_500_000  # words kept in a task
 
@@ -333,12 +336,12 @@ class Encoder:
             self.reset()
         find = self.v.words.findall
         split = [find(self.v.marked(t)) for t in texts]
-        new = dict.fromkeys(w for words in split for w in words)
+        new = dict.fromkeys(chain.from_iterable(split))
         fresh = [w for w in new if w not in self.known]
         if fresh:
             self.learn(fresh)
         total = sum(map(len, split))
-        which = np.fromiter(map(self.known.__getitem__, (w for words in split for w in words)), np.int64, total)
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, total)
         if len(self.ids) > 1:
             self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
         if not total:
@@ -376,6 +379,7 @@ def _texts(column: pa.Array, each: int = 4_000_000) -> Iterator[tuple[int, list[
 def encode_documents(documents: DataFrame, model_path: str, id_col: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
     """(id, the columns ``keep``, ids array, n_tokens, round_trip) of every row. ``round_trip`` tells whether decoding
     the ids gives the text back; word marks in a text, which decode to spaces, are the one case where it is not so."""
+    small_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(read_model(model_path))
     rows = documents.select(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__{c}") for c in keep), F.col("text").cast("string").alias("text"))
     width = len(keep) + 1

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 SLOT_BITS = 26
 RANGE_BITS = 18  # slots in one reduced range
 RANGES = 1 << (SLOT_BITS - RANGE_BITS)
-FLUSH = 4_000_000  # hashes gathered in a task before they are packed
+FLUSH = 1_000_000  # hashes gathered in a task before they are packed
 
 
 def slots(hashes: np.ndarray) -> np.ndarray:

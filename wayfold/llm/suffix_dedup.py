@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfold.llm.common import Rolling, kept, mix, slices, text_column
+from wayfold.llm.common import Rolling, kept, mix, slices, small_batches, text_column
 from wayfold.llm.sketches import frequent_slots, hit
 
 GRAM = 64
@@ -234,6 +234,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 40
     """(id, the columns ``keep``, kept binary, n_bytes, n_removed, n_spans) of every row; see the module's text."""
     if span < GRAM + 16:
         raise ValueError(f"span must be {GRAM + 16} at least")
+    small_batches(documents.sparkSession)
     sc = documents.sparkSession.sparkContext
     texts = documents.select(F.col("text").cast("string").alias("text"))
     bits = sc.broadcast(frequent_slots(texts, lambda b: _anchor_hashes(b, span), 2))

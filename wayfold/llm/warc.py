@@ -28,7 +28,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfold.llm.common import kept
+from wayfold.llm.common import kept, small_batches
 
 SEGMENT = 1 << 15
 CHUNK = 1 << 13
@@ -111,6 +111,7 @@ def records(page_id: int | None, url: str | None, html: str, first_id: int | Non
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+    small_batches(pages.sparkSession)
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("html"),
