@@ -6,7 +6,8 @@ window's bytes alone, so equal windows have their anchors at the same place, and
 
 1. Anchors are counted in a sketch over all documents; windows whose anchor occurs once are done.
 2. For the rest, neighbouring windows with one anchor form a run: the bytes that they cover (the
-   context) and its digest. Equal runs of one task are sent once, with a row per occurrence.
+   context) and its digest. Equal runs of one task are sent once, with a row per text that holds
+   them: a text of one repeated line has one row with many places.
 3. Sampled splitters deal the runs in ranges of the anchored suffixes' leading bytes. Suffixes with
    equal leading bytes are never parted, so there is nothing left to compare across a boundary. In a
    bucket the anchored suffixes are sorted by multikey quicksort, eight bytes a key. Suffixes that
@@ -69,7 +70,7 @@ def _anchor_hashes(batch: pa.RecordBatch, span: int) -> Iterator[np.ndarray]:
 
 
 def runs(texts: DataFrame, span: int, bits) -> DataFrame:
-    """A row per occurrence of a run of windows whose anchor may be repeated. Of one text, a task
+    """A row per text and run of windows whose anchor may be repeated, with all its places. Of one text, a task
     reports two copies at most: more copies say no more than that it is repeated."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +81,7 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             names = ["key", "at", "digest", "lead0", "lead1", "anchor", "context"]
-            types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            types = [pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
         for batch in batches:
@@ -96,6 +97,7 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
                     first = np.concatenate([[0], breaks])
                     last = np.concatenate([breaks, [len(windows)]]) - 1
                     doc = np.searchsorted(offsets, windows[first] + at, side="right") - 1
+                    own: dict[tuple[int, bytes], list[int]] = {}
                     for d, p, q, a in zip(doc.tolist(), windows[first].tolist(), windows[last].tolist(), anchors[first].tolist(), strict=True):
                         if d not in keys:
                             if len(copies) >= 500_000:
@@ -107,6 +109,11 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
                             continue
                         context = whole[at + p : at + q + span]
                         digest = hashlib.blake2b(context, digest_size=16).digest()
+                        if (places := own.get((d, digest))) is not None:
+                            places.append(at + p - int(offsets[d]))
+                            held += 8
+                            continue
+                        own[d, digest] = places = [at + p - int(offsets[d])]
                         lead = np.frombuffer(context, ">i8", 2, a - p)
                         new = digest not in sent
                         if new:
@@ -115,7 +122,7 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
                             sent.add(digest)
                             held += len(context)
                         held += 80
-                        rows.append((keys[d], at + p - int(offsets[d]), digest, int(lead[0]), int(lead[1]), a - p, context if new else None))
+                        rows.append((keys[d], places, digest, int(lead[0]), int(lead[1]), a - p, context if new else None))
                     if held >= 4_000_000:
                         yield out()
                         rows.clear()
@@ -123,7 +130,7 @@ def runs(texts: DataFrame, span: int, bits) -> DataFrame:
         if rows:
             yield out()
 
-    return texts.mapInArrow(task, "key binary, at bigint, digest binary, lead0 bigint, lead1 bigint, anchor int, context binary")
+    return texts.mapInArrow(task, "key binary, at array<bigint>, digest binary, lead0 bigint, lead1 bigint, anchor int, context binary")
 
 
 def multikey_groups(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -220,9 +227,9 @@ def repeated_ranges(found: DataFrame, span: int) -> DataFrame:
         if rows:
             yield out()
 
-    # Occurrences without a context are counted map side; each task's first one carries it.
-    bare = found.where("context IS NULL").groupBy("digest", "lead0", "lead1", "anchor").agg(F.count("*").alias("times"))
-    full = found.where("context IS NOT NULL").withColumn("times", F.lit(1).cast("bigint"))
+    # Rows without a context are counted map side; each task's first one carries it.
+    bare = found.where("context IS NULL").groupBy("digest", "lead0", "lead1", "anchor").agg(F.sum(F.size("at")).alias("times"))
+    full = found.where("context IS NOT NULL").withColumn("times", F.size("at").cast("bigint"))
     names = ["digest", "lead0", "lead1", "anchor", "context", "times"]
     rows = full.select(names).unionByName(bare.withColumn("context", F.lit(None).cast("binary")).select(names))
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -242,7 +249,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 40
     ranges = kept(repeated_ranges(found, span), "ranges")
     spans = (
         found.select("key", "at", "digest").join(ranges, "digest")
-        .groupBy("key").agg(F.collect_set(F.struct((F.col("at") + F.col("first")).alias("s"), (F.col("at") + F.col("last") + span).alias("e"))).alias("spans"))
+        .groupBy("key").agg(F.collect_set(F.struct("at", "first", "last")).alias("spans"))
     )
     rows = documents.select(
         F.col(id_col).alias("__id"), *(F.col(c).alias(f"__{c}") for c in keep), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -255,7 +262,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 40
             for text, marks in zip(batch.column(len(keep) + 1).to_pylist(), batch.column(len(keep) + 2).to_pylist(), strict=True):
                 data = text.encode()
                 at, rest, n = 0, [], 0
-                for s, e in sorted((m["s"], m["e"]) for m in marks or ()):
+                for s, e in sorted((a + m["first"], a + m["last"] + span) for m in marks or () for a in m["at"]):
                     if s > at or not n:
                         rest.append(data[at:s])
                         n += 1
