@@ -135,6 +135,8 @@ def test_endpoints_of_a_route_whose_trip_has_no_stops(spark):
     [
         (lambda: named.truncate(F.lit(1.999), 2), 1.99), (lambda: named.truncate(F.lit(-1.999), 0), -1.0),
         (lambda: named.truncate(F.lit(129.0), -1), 120.0),
+        (lambda: named.truncate(F.lit(0.29), 2), 0.29), (lambda: named.truncate(F.lit(-4.35), 2), -4.35),
+        (lambda: named.truncate(F.lit(1e19), 0), 1e19), (lambda: named.truncate(F.lit(1e22), 3), 1e22),
         (lambda: named.length(F.lit("é")), 2), (lambda: named.elt(F.lit(2), F.lit("a"), F.lit("b")), "b"),
         (lambda: named.elt(F.lit(3), F.lit("a"), F.lit("b")), None),
         (lambda: named.field(F.lit("c"), F.lit("a"), F.lit("c")), 2), (lambda: named.field(F.lit("z"), F.lit("a")), 0),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import LOOP, ROUTE, at, routes, rows, snapshots
-from wayfold.operators import density, geo, metrics, rollup, sampling, spine, trips, visits
+from wayfold.operators import placement, density, geo, metrics, rollup, sampling, spine, trips, visits
 
 START, END = "2024-01-01", "2024-01-02"
 
@@ -212,6 +212,24 @@ def test_strata_are_limited_and_one_place_is_one_stratum(spark):
     assert {r.stratum for r in found.select("stratum").collect()} == {0}
 
 
+def test_a_cap_that_strata_do_not_divide_is_used_up(spark):
+    snap = snapshots(spark, [("00:00", {"lat": lat / 100, "lon": 0.0}) for lat in range(100)])
+    assert sampling.path_sample(snap, START, END, station=1, k=2.0, cap=15).count() == 15
+    with pytest.raises(ValueError):
+        sampling.path_sample(snap, START, END, station=1, cap=5)
+
+
+def test_small_magnitudes_stay_within_sigma(spark):
+    frame = spark.createDataFrame([(i * 9e-10, 0.0) for i in range(100)], "lat double, lon double")
+    assert geo.within_sigma(frame, k=2.0).count() == 100
+
+
+def test_placement_needs_a_bound(spark):
+    for place in (placement.range_group, placement.hash_group):
+        with pytest.raises(ValueError):
+            place(F.lit(1), [])
+
+
 def test_top_ten_breaks_ties_by_station(spark):
     facts = spark.createDataFrame([(s, at("00:00"), 5 if s < 12 else 9) for s in range(13)], "station_id int, startTime timestamp_ntz, freq bigint")
     top = rollup.frequency_top(facts, routes(spark), START, END)
@@ -274,7 +292,10 @@ def test_margin_of_error(spark):
     assert found["a"].margin == pytest.approx(4.303 / 2**0.5)
     assert found["a"].confidence == pytest.approx(0.1 - 2 * 4.303 * 1.0 / 2.0)
     assert (found["b"].margin, found["b"].confidence) == (0.0, None)
-    assert (found["c"].n, found["c"].margin) == (31, None)
+    assert (found["c"].n, found["c"].margin) == (31, 0.0)
+    wide = spark.createDataFrame([(float(i % 2),) for i in range(40)], "v double")
+    for level, t in ((95, 2.021), (99, 2.704)):
+        assert metrics.margin_of_error(wide, "v", level=level).first().margin == pytest.approx(t * 0.5 / 40**0.5, abs=1e-4)
     with pytest.raises(ValueError):
         metrics.margin_of_error(frame, "v", ["g"], level=90)
 

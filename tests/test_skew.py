@@ -3,7 +3,7 @@ when the input is split or shuffled."""
 
 import random
 from collections import defaultdict
-from datetime import timedelta
+from datetime import datetime, timedelta
 from statistics import mean, stdev
 
 import pytest
@@ -92,6 +92,17 @@ def test_abnormal(snap, records, width):
     assert sorted(r.event_id for r in found.collect()) == sorted(want)
 
 
+def test_abnormal_far_from_zero(spark):
+    rng = random.Random(3)
+    values = [1e9 + rng.gauss(0, 1) + (60 if i % 50 == 49 else 0) for i in range(400)]
+    begun = datetime(2024, 1, 1)
+    frame = spark.createDataFrame([(1, begun + timedelta(seconds=7 * i), i, v) for i, v in enumerate(values)], "k int, t timestamp_ntz, e long, v double")
+    shifted = [v - 1e9 for v in values]
+    want = [i for i, v in enumerate(shifted) if i >= 15 and v > mean(shifted[:i]) + 3 * stdev(shifted[:i])]
+    found = metrics.abnormal(frame, ["k"], ["t", "e"], "v", k=3.0)
+    assert sorted(r.e for r in found.collect()) == want
+
+
 @pytest.mark.parametrize(
     "operator",
     [

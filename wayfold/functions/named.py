@@ -23,11 +23,11 @@ FORMAT_CODES = {
 
 def truncate(x: Column, decimals: int) -> Column:
     """Cut, not rounded, to a number of decimals; negative counts cut whole digits."""
-    if decimals >= 0:
-        step = F.lit(float(10**decimals))
-        return F.signum(x) * F.floor(F.abs(x) * step) / step
-    step = F.lit(float(10**-decimals))
-    return F.signum(x) * F.floor(F.abs(x) / step) * step
+    # The digits of the number as it is written; a double of 0.29 is a little less than that.
+    written = F.abs(x).try_cast("decimal(38,18)")
+    cut = F.signum(x) * F.floor(written, F.lit(decimals)).cast("double")
+    # Numbers of 1e20 and more have no decimals.
+    return F.coalesce(cut, x.cast("double") if decimals >= 0 else x - x % F.lit(float(10**-decimals)))
 
 
 def length(text: Column) -> Column:

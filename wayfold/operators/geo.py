@@ -83,11 +83,13 @@ def coord_stats(df: DataFrame, cols: Sequence[str] = ("lat", "lon"), by: Sequenc
 
 
 def sigma_bounds(
-    df: DataFrame, cols: Sequence[str] = ("lat", "lon"), k: float = 2.0, by: Sequence[str] = ()
+    df: DataFrame, cols: Sequence[str] = ("lat", "lon"), k: float = 2.0, by: Sequence[str] = (),
+    digits: int | None = 6,
 ) -> DataFrame:
-    """Mean -/+ k standard deviations per coordinate, rounded to 6 decimals."""
+    """Mean -/+ k standard deviations per coordinate, rounded to ``digits`` decimals, if any."""
     def edge(c: str, sign: int) -> Column:
-        return F.round(F.col(f"{c}_mean") + F.lit(sign * k) * F.col(f"{c}_sd"), 6)
+        exact = F.col(f"{c}_mean") + F.lit(sign * k) * F.col(f"{c}_sd")
+        return exact if digits is None else F.round(exact, digits)
 
     edges = [edge(c, sign).alias(f"{c}_{name}") for c in cols for name, sign in (("lo", -1), ("hi", 1))]
     return coord_stats(df, cols, by).select(*by, *edges)
@@ -110,7 +112,7 @@ def within_sigma(
     df: DataFrame, cols: Sequence[str] = ("lat", "lon"), k: float = 2.0, by: Sequence[str] = ()
 ) -> DataFrame:
     """Rows whose coordinates all lie within mean -/+ k standard deviations."""
-    inside = with_bounds(df, sigma_bounds(df, cols, k, by), by)
+    inside = with_bounds(df, sigma_bounds(df, cols, k, by, digits=None), by)
     for c in cols:
         inside = inside.where(F.col(c).between(F.col(f"{c}_lo"), F.col(f"{c}_hi")))
     return inside.select(*df.columns)

@@ -20,6 +20,9 @@ SLOW_MS = 2000
 ABNORMAL_SIGMAS = 5.0
 ABNORMAL_ROWS = 15
 
+# Two-sided quantiles of the normal distribution.
+NORMAL = {95: 1.959963984540054, 99: 2.5758293035489004}
+
 # Two-sided Student t, indexed by number of runs minus one, and the interval width.
 T_TABLE = {
     95: (
@@ -98,15 +101,18 @@ def margin_of_error(
     df: DataFrame, value: str, by: Sequence[str] = (), level: int = 95,
     interval_width: float = INTERVAL_WIDTH,
 ) -> DataFrame:
-    """Mean, population sigma, margin of error and confidence value per group of up to 30 runs.
+    """Mean, population sigma, margin of error and confidence value per group of runs.
 
-    Larger groups get no margin, as the table ends there.
+    Beyond the table, which ends at 30 runs, the quantile is its expansion round the normal one.
     """
     if level not in T_TABLE:
         raise ValueError("level must be 95 or 99")
     table = F.array(*[F.lit(t) for t in T_TABLE[level]])
     n = F.col("n")
-    t = F.when(n <= F.lit(len(T_TABLE[level])), F.element_at(table, n.cast("int")))
+    z, free = NORMAL[level], n.cast("double")
+    beyond = F.lit(z) + F.lit((z**3 + z) / 4) / free + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / (free * free)
+    size = F.lit(len(T_TABLE[level]))
+    t = F.when(n <= size, F.element_at(table, F.least(n, size).cast("int"))).otherwise(beyond)
     stats = df.groupBy(*by).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("stdevp")
     )
@@ -151,27 +157,38 @@ def abnormal(
 
     ``order`` starts with a timestamp and makes the order unique. A running frame over a whole
     group would put a hot group in one task, so time is sliced. Each slice begins with one row that
-    holds the sums of all earlier slices, and the running sums go on from there.
+    holds the sums of all earlier slices, and the running sums go on from there. All sums are of
+    distances from the mean of the group's first slice, so that large values lose no digits.
     """
     by, v = list(by), F.col(value).cast("double")
     sliced = df.withColumn("__slice", window_of(order[0], slice_width)["start"])
-    sums = {"__n": F.count(v), "__s": F.sum(v), "__q": F.sum(v * v)}
-    slices = sliced.groupBy(*by, "__slice").agg(*[total.alias(c) for c, total in sums.items()])
-    earlier = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    heads = slices.select(*by, "__slice", *[F.sum(c).over(earlier).alias(c) for c in sums])
-    rows = sliced.withColumns({"__n": v.isNotNull().cast("bigint"), "__s": v, "__q": v * v, "__row": F.lit(1)})
-    merged = rows.unionByName(heads.withColumn("__row", F.lit(0)), allowMissingColumns=True)
-
-    running = (
-        Window.partitionBy(*by, "__slice").orderBy("__row", *order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    moments = sliced.groupBy(*by, "__slice").agg(
+        F.count(v).alias("__n"), F.avg(v).alias("__m"), (F.var_pop(v) * F.count(v)).alias("__m2")
+    )
+    in_time = Window.partitionBy(*by).orderBy("__slice")
+    whole = in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    off = F.col("__m") - F.col("__c")
+    slices = moments.withColumn("__c", F.first("__m", ignorenulls=True).over(whole)).select(
+        *by, "__slice", "__c", "__n", (F.col("__n") * off).alias("__s"), (F.col("__m2") + F.col("__n") * off * off).alias("__q")
     )
-    totals = merged.withColumns({f"{c}_before": F.sum(c).over(running) for c in sums})
+    sums = ("__n", "__s", "__q")
+    earlier = in_time.rowsBetween(Window.unboundedPreceding, -1)
+    heads = slices.select(*by, "__slice", "__c", *[F.sum(c).over(earlier).alias(c) for c in sums])
+    merged = sliced.withColumn("__row", F.lit(1)).unionByName(heads.withColumn("__row", F.lit(0)), allowMissingColumns=True)
+
+    in_slice = Window.partitionBy(*by, "__slice").orderBy("__row", *order)
+    running = in_slice.rowsBetween(Window.unboundedPreceding, -1)
+    far = v - F.first("__c", ignorenulls=True).over(in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = merged.withColumn("__v", F.when(F.col("__row") == 1, far)).withColumns({
+        "__n": F.when(F.col("__row") == 1, F.col("__v").isNotNull().cast("bigint")).otherwise(F.col("__n")),
+        "__s": F.coalesce("__v", "__s"), "__q": F.coalesce(F.col("__v") * F.col("__v"), "__q"),
+    })
+    totals = own.withColumns({f"{c}_before": F.sum(c).over(running) for c in sums})
     n, total, squares = (F.col(f"{c}_before") for c in sums)
     mean = total / n
     spread = F.greatest(squares - total * mean, F.lit(0.0)) / (n - F.lit(1))
     limit = F.when(n >= F.lit(min_n), mean + F.lit(k) * F.sqrt(spread))
-    return totals.where((F.col("__row") == 1) & (v > limit)).select(*df.columns)
+    return totals.where((F.col("__row") == 1) & (F.col("__v") > limit)).select(*df.columns)
 
 
 def numeric_diff(before: DataFrame, after: DataFrame, key: str, val: str) -> DataFrame:

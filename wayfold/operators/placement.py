@@ -25,6 +25,8 @@ def _highest_not_above(value: Column, bounds: Sequence[Bound], below: Column) ->
 
 def range_group(key: Column, bounds: Sequence[Bound]) -> Column:
     """Group by lower bounds of a whole-number key; null for keys under the lowest bound."""
+    if not bounds:
+        raise ValueError("placement needs a bound at least")
     ordered = sorted(((int(b), g) for b, g in bounds), key=lambda pair: pair[0])
     inside = _highest_not_above(key, ordered, F.lit(None).cast("string"))
     return F.when(key.isNotNull(), inside)
@@ -32,6 +34,8 @@ def range_group(key: Column, bounds: Sequence[Bound]) -> Column:
 
 def hash_group(key: Column, bounds: Sequence[Bound]) -> Column:
     """Group by lower bounds of the upper-case hex MD5 of the key; below the lowest it wraps."""
+    if not bounds:
+        raise ValueError("placement needs a bound at least")
     ordered = sorted(((str(b), g) for b, g in bounds), key=lambda pair: pair[0])
     text = key.cast("string")
     inside = _highest_not_above(F.upper(F.md5(text)), ordered, F.lit(ordered[-1][1]))

@@ -44,8 +44,11 @@ def path_sample(
 
     Per station, the axis with the wider mean -/+ k sigma range is cut into equal strata, the last
     closed on the right. Rows outside the range of either axis are left out; each stratum gives
-    at most ``cap / strata`` rows in reproducible random order.
+    at most ``cap / strata`` rows in reproducible random order, the first ones one more if that
+    leaves a remainder.
     """
+    if not 0 < strata <= cap:
+        raise ValueError("cap must be the number of strata at least")
     chosen = () if station is None else ("station_id", station)
     rows = scan_range(snap, "dateTime", start, end, *chosen)
     rows = hash_sample(rows.select("station_id", "dateTime", "lat", "lon", key), key, rate, seed)
@@ -68,4 +71,9 @@ def path_sample(
         stratum.alias("stratum"), hash_order(key, seed).alias("__order"),
     )
     order = [F.col("__order"), F.col(key)]
-    return top_per_group(spread_out, ["station_id", "stratum"], order, cap // strata).drop("__order")
+    group, (each, more) = ["station_id", "stratum"], divmod(cap, strata)
+    if not more:
+        return top_per_group(spread_out, group, order, each).drop("__order")
+    first = top_per_group(spread_out.where(F.col("stratum") < more), group, order, each + 1)
+    rest = top_per_group(spread_out.where(F.col("stratum") >= more), group, order, each)
+    return first.unionByName(rest).drop("__order")

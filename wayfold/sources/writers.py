@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,8 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a temporary one only if that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wayfold-")
+    """A fresh folder under ``spark.checkpoint.dir``. Only a local session, which has one machine, may leave that unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file:///tmp/checkpoints"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

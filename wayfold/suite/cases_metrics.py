@@ -94,6 +94,21 @@ def _(spark, sf):
     return _margin(spark, sf, 99)
 
 
+_Z = metrics.NORMAL[95]
+
+
+@case(
+    "margin_of_error_large",
+    f"""SELECT event_type, n, round(mean, 6) AS mean, round(sd, 6) AS stdevp,
+               round(({_Z} + ({_Z}::DOUBLE ** 3 + {_Z}) / (4 * n) + (5 * {_Z}::DOUBLE ** 5 + 16 * {_Z}::DOUBLE ** 3 + 3 * {_Z}) / (96.0 * n * n)) * sd / sqrt(n), 6) AS margin
+        FROM (SELECT event_type, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS sd FROM events GROUP BY ALL)""",
+)
+def _(spark, sf):
+    """Groups of far more runs than the table has."""
+    found = metrics.margin_of_error(table(spark, sf, "events"), "value", ["event_type"])
+    return _rounded(found, "mean", "stdevp", "margin").drop("confidence")
+
+
 @case(
     "throughput",
     """SELECT event_type, count(*) AS queries, CAST(sum(k) AS BIGINT) AS rows,
