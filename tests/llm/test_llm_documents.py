@@ -95,11 +95,12 @@ def cut_out(texts, span):
     return out
 
 
-@pytest.mark.parametrize("span", [400, 90])
-def test_repeats_are_cut(docs, span):
+@pytest.mark.parametrize(("span", "crowd"), [(400, suffix_dedup.CROWD), (90, suffix_dedup.CROWD), (400, 3000), (90, 200), (90, 0)])
+def test_repeats_are_cut(docs, span, crowd):
+    """With a small ``crowd``, runs of the shared passage are compared window by window."""
     rows = corpus()
     want = Counter((r[0], *c) for r, c in zip(rows, cut_out([r[1] for r in rows], span), strict=True))
-    got = suffix_dedup.without_repeats(docs, span=span).collect()
+    got = suffix_dedup.without_repeats(docs, span=span, crowd=crowd).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == want
 
 

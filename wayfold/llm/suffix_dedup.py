@@ -12,7 +12,9 @@ window's bytes alone, so equal windows have their anchors at the same place, and
    equal leading bytes are never parted, so there is nothing left to compare across a boundary. In a
    bucket the anchored suffixes are sorted by multikey quicksort, eight bytes a key. Suffixes that
    agree on the whole gram are neighbours; a run that occurs twice is repeated as a whole, and of
-   the others all windows of the neighbours are compared.
+   the others all windows of the neighbours are compared. Where over CROWD bytes of runs have the
+   same leading bytes (a passage at whose edges very many texts differ), their windows are dealt by
+   their own hashes instead, so that no task gets them all.
 4. Repeated ranges go back to their texts and are cut out.
 
 Matches never cross documents; strings are judged on the input. Defined cases: a null or short text
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wayfold.llm.common import Rolling, kept, mix, slices, small_batches, text_column
 from wayfold.llm.sketches import frequent_slots, hit
@@ -37,6 +39,8 @@ GRAM = 64
 PLACE = np.uint64((1 << 24) - 1)  # low bits of a packed minimum: the place; above: the hash
 PIECE = 1 << 22  # windows handled at a time
 CHUNK = 16 << 20  # bytes of contexts compared at a time
+CROWD = 4 << 20  # bytes of contexts with the same leading bytes that are compared in one task
+SALTS = 16
 _rolling = Rolling()
 
 
@@ -164,6 +168,17 @@ def multikey_groups(data: np.ndarray, starts: np.ndarray, length: int) -> np.nda
     return out
 
 
+def window_hashes(contexts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of windows of each context, and of all windows in a row: places in their contexts, hashes)."""
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    base = np.cumsum(sizes) - sizes
+    counts = sizes - span + 1
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    starts = place + np.repeat(base, counts)
+    sums = _rolling.sums(np.frombuffer(b"".join(contexts), np.uint8))
+    return counts, place, _rolling.ranges(sums, starts, starts + span)
+
+
 def _repeats(rows: list[tuple[bytes, int, int, bytes]], span: int) -> Iterator[tuple[bytes, int, int]]:
     """(digest, first window, last window) repeated, of distinct runs (digest, times, anchor, context)."""
     for digest, times, _, context in rows:
@@ -175,21 +190,16 @@ def _repeats(rows: list[tuple[bytes, int, int, bytes]], span: int) -> Iterator[t
     base = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
     group = multikey_groups(data, base + np.array([r[2] for r in rows]), GRAM)
-    near = np.flatnonzero(np.bincount(group)[group] > 1)
-    if not len(near):
+    near = np.flatnonzero(np.bincount(group)[group] > 1).tolist()
+    if not near:
         return
-    sums = _rolling.sums(data)
-    counts = sizes[near] - span + 1
-    ahead = np.cumsum(counts) - counts
-    place = np.arange(counts.sum()) - np.repeat(ahead, counts)
-    starts = place + np.repeat(base[near], counts)
-    hashes = _rolling.ranges(sums, starts, starts + span)
+    counts, _, hashes = window_hashes([rows[k][3] for k in near], span)
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     same = np.concatenate([[False], ordered[1:] == ordered[:-1], [False]])
     twice = np.zeros(len(hashes), bool)
     twice[order] = same[:-1] | same[1:]
-    for k, at, count in zip(near.tolist(), ahead.tolist(), counts.tolist(), strict=True):
+    for k, at, count in zip(near, (np.cumsum(counts) - counts).tolist(), counts.tolist(), strict=True):
         digest, times, _, _ = rows[k]
         if times > 1:
             continue
@@ -198,7 +208,30 @@ def _repeats(rows: list[tuple[bytes, int, int, bytes]], span: int) -> Iterator[t
             yield digest, first, end - 1
 
 
-def repeated_ranges(found: DataFrame, span: int) -> DataFrame:
+def crowded_ranges(rows: DataFrame, span: int) -> DataFrame:
+    """(digest, first, last) as below, of runs whose leading bytes very many runs have: every window is a row
+    and dealt by its own hash, counted map side. Equal windows have equal leading bytes, so none of them is elsewhere."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counts, place, hashes = window_hashes(batch.column(3).to_pylist(), span)
+            own = batch.select([0, 1, 2]).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(place, pa.int32()), pa.array(hashes.view(np.int64))], ["digest", "lead0", "times", "at", "hash"])
+
+    distinct = rows.groupBy("digest", "lead0").agg(F.sum("times").alias("times"), F.max("context").alias("context"))
+    windows = kept(distinct.mapInArrow(task, "digest binary, lead0 bigint, times bigint, at int, hash bigint"), "windows")
+    # A window inside the passage is in all of the runs: its rows are dealt to SALTS groups.
+    twice = windows.groupBy("hash", "lead0").agg(F.sum("times").alias("n")).where("n > 1")
+    twice = twice.select("hash", "lead0", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    met = windows.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS))).join(twice, ["hash", "lead0", "salt"], "left_semi")
+    # At most span windows a run; unbroken places differ from their ranks by the same number.
+    ranked = met.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("digest").orderBy("at")))
+    return ranked.groupBy("digest", "run").agg(F.min("at").alias("first"), F.max("at").alias("last")).select("digest", "first", "last")
+
+
+def repeated_ranges(found: DataFrame, span: int, crowd: int) -> DataFrame:
     """(digest, first, last): the windows of each distinct run that occur anywhere else."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +265,19 @@ def repeated_ranges(found: DataFrame, span: int) -> DataFrame:
     full = found.where("context IS NOT NULL").withColumn("times", F.size("at").cast("bigint"))
     names = ["digest", "lead0", "lead1", "anchor", "context", "times"]
     rows = full.select(names).unionByName(bare.withColumn("context", F.lit(None).cast("binary")).select(names))
+    lead = ["lead0", "lead1"]
+    sizes = found.where("context IS NOT NULL").groupBy(*lead).agg(F.sum(F.octet_length("context")).alias("bytes"))
+    crowds = kept(sizes.where(F.col("bytes") > crowd).select(*lead), "crowds")
+    some = not crowds.isEmpty()
+    if some:
+        crowded, rows = rows.join(crowds, lead, "left_semi"), rows.join(crowds, lead, "left_anti").select(names)
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, "lead0", "lead1").sortWithinPartitions("lead0", "lead1", "digest")
-    return dealt.mapInArrow(task, "digest binary, first int, last int")
+    ranges = dealt.mapInArrow(task, "digest binary, first int, last int")
+    return ranges.unionByName(crowded_ranges(crowded, span)) if some else ranges
 
 
-def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 400, keep: tuple[str, ...] = ()) -> DataFrame:
+def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 400, keep: tuple[str, ...] = (), crowd: int = CROWD) -> DataFrame:
     """(id, the columns ``keep``, kept binary, n_bytes, n_removed, n_spans) of every row; see the module's text."""
     if span < GRAM + 16:
         raise ValueError(f"span must be {GRAM + 16} at least")
@@ -246,7 +286,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 40
     texts = documents.select(F.col("text").cast("string").alias("text"))
     bits = sc.broadcast(frequent_slots(texts, lambda b: _anchor_hashes(b, span), 2))
     found = kept(runs(texts, span, bits), "runs")
-    ranges = kept(repeated_ranges(found, span), "ranges")
+    ranges = kept(repeated_ranges(found, span, crowd), "ranges")
     spans = (
         found.select("key", "at", "digest").join(ranges, "digest")
         .groupBy("key").agg(F.collect_set(F.struct("at", "first", "last")).alias("spans"))
