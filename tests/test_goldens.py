@@ -1,5 +1,9 @@
 """Placement and EXISTS cases with known answers."""
 
+import bisect
+import hashlib
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +28,25 @@ def test_keys_under_the_lowest_bound_have_no_group(spark):
     assert found == {0: None, -999: None, None: None, 2**40: "shard_group_1"}
 
 
+def test_many_bounds(spark):
+    """10,000 bounds are planned at once and give what a search by hand gives."""
+    by_range = [(7 * i, f"g{i}") for i in range(10_000)]
+    by_hash = [(f"{i * 0x10000000:032X}", f"g{i}") for i in range(1, 10_000)]
+    keys = spark.createDataFrame([(k,) for k in (-1, 0, 6, 7, 69_992, 69_993, 10**9, None)], "key bigint")
+    begun = time.perf_counter()
+    both = keys.select("key", placement.range_group(F.col("key"), by_range).alias("r"), placement.hash_group(F.col("key"), by_hash).alias("h"))
+    both._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - begun < 5
+    names = [b for b, _ in by_hash]
+    for key, r, h in both.collect():
+        if key is None:
+            assert r is h is None
+            continue
+        assert r == (None if key < 0 else f"g{min(key // 7, 9_999)}")
+        at = bisect.bisect_right(names, hashlib.md5(str(key).encode()).hexdigest().upper())
+        assert h == by_hash[at - 1][1]
+
+
 def test_hash_groups(spark):
     golden = {"Jess": 2, "x": 1, "X": 3, "Y": 2, "g": 0, "168": 3}
     keys = spark.createDataFrame([(k,) for k in golden], "key string")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import at, routes, rows, snapshots
 from wayfold.operators import geo, visits
 from wayfold.plans import jobs
+from wayfold.sources import writers
 from wayfold.streaming import counts
 
 
@@ -27,6 +28,31 @@ def test_backfill_runs_only_missing_days(spark, tmp_path):
     assert rows(found) == [(1, at(f"{d} 00:00"), 1) for d in range(6)]
 
 
+def test_backfill_begins_without_a_table_and_ends(spark, tmp_path):
+    """A day without trips is run once, not for ever."""
+    path = str(tmp_path / "travel")
+    moves = [(f"{d} 10:{m:02d}", {"dirTag": tag}) for d in (0, 2) for m, tag in ((0, "out"), (10, "out"), (20, "in"), (30, "in"))]
+    snap = snapshots(spark, moves)
+
+    def job(start, end):
+        jobs.travel_job(snap, start, end, path)
+
+    assert jobs.backfill(spark, path, "2024-01-01", "2024-01-04", job) == [at(f"{d} 00:00") for d in (0, 1, 2)]
+    assert jobs.backfill(spark, path, "2024-01-01", "2024-01-04", job) == []
+    found = spark.read.parquet(path)
+    assert {r.startTime.day for r in found.collect()} == {1, 3}
+
+
+def test_a_day_that_turns_out_empty_loses_its_rows(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows_of = lambda *days: snapshots(spark, [(f"{d} 10:00", {}) for d in days])
+    writers.append_fact(rows_of(0, 1, 2), path, "dateTime")
+    writers.append_fact(rows_of(2), path, "dateTime", within=("2024-01-02", "2024-01-04"))
+    assert sorted(r.dateTime.day for r in spark.read.parquet(path).collect()) == [1, 3]
+    writers.append_fact(rows_of(), path, "dateTime", within=("2024-01-01", "2024-01-02"))
+    assert sorted(r.dateTime.day for r in spark.read.parquet(path).collect()) == [3]
+
+
 def test_yesterday():
     ran = []
     jobs.yesterday(lambda start, end: ran.append((start, end)), "2024-01-03 05:00:00")

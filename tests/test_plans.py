@@ -2,8 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from oracle import sf_dir
+from wayfold.suite.registry import load
+
+
+def queries():
+    """Those of the library proper; the training-data queries have tests of their own."""
+    return {name: case.query for name, case in load().items()}
 
 
 def plan(spark, name):
@@ -73,3 +78,8 @@ def test_top_rows_are_not_fully_sorted(spark, name):
 
 def test_stop_times_are_read_once(spark):
     assert plan(spark, "route_endpoints").count("lineitem.parquet") == 1
+
+
+def test_a_histogram_shuffles_no_values(spark):
+    text = plan(spark, "histogram")
+    assert "hashpartitioning(__v" not in text and "hashpartitioning(bucket" in text

@@ -45,7 +45,12 @@ def test_daily_visits_restart_at_the_day(spark):
 
 def test_only_complete_days(spark):
     snap = snapshots(spark, [("10:00", {}), ("1 10:00", {})])
-    assert visits.daily_frequency(snap, routes(spark), START, "2024-01-02 23:00:00").count() == 1
+    cut = "2024-01-02 23:00:00"
+    with pytest.raises(ValueError, match="whole days"):
+        visits.daily_frequency(snap, routes(spark), START, cut)
+    with pytest.raises(ValueError, match="whole days"):
+        trips.travel_by_bucket(snap, START, cut)
+    assert visits.daily_frequency(snap, routes(spark), START, cut, partial=True).count() == 2
 
 
 def test_loop_route_halves_and_rounds_down(spark):

@@ -122,6 +122,18 @@ def from_days(number: Column) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), (number - F.lit(EPOCH_DAYS)).cast("int"))
 
 
+def unix_timestamp(ts: Column) -> Column:
+    """Whole seconds since 1970, of a clock without zone: the session zone plays no part."""
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + seconds
+
+
+def from_unixtime(seconds: Column) -> Column:
+    """The inverse, as ``yyyy-MM-dd HH:mm:ss``."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")), "yyyy-MM-dd HH:mm:ss")
+
+
 def dayname(day: Column) -> Column:
     """Full name of the weekday."""
     return F.date_format(day, "EEEE")

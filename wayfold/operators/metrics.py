@@ -59,16 +59,16 @@ def histogram20(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact histogram: ``bucket``, its ``breakpoint``, the ``count``, and a star ``bar``.
 
     Breakpoints begin at the minimum, 1.25/20 of the range apart but at least 1; a value falls in
-    the first bucket whose breakpoint is not below it. Equal values are counted before anything is
-    shuffled or joined, and both passes share that work.
+    the first bucket whose breakpoint is not below it. Of a whole table the bounds are one row, a
+    scalar subquery, and each task counts its own values per bucket: only 20 rows a task are shuffled.
+    With groups, whose number is not known, equal values are counted before the join with the bounds,
+    and both passes share that work.
     """
     by = list(by)
     v = F.col("__v")
-    values = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("__v"))
-        .agg(F.count("*").alias("__n"))
-    )
+    values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"), F.lit(1).cast("bigint").alias("__n"))
+    if by:
+        values = values.groupBy(*by, "__v").agg(F.sum("__n").alias("__n"))
     width = F.greatest(F.lit(1.0), (F.max(v) - F.min(v)) / F.lit(BUCKETS) * F.lit(STRETCH))
     # The row count keeps the bounds reading the same shuffled values as the counts.
     bounds = (

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 Bound = tuple[object, str]
+#: Up to so many bounds are one CASE; the code of more would not be compiled.
+FEW = 64
 
 
 def _highest_not_above(value: Column, bounds: Sequence[Bound], below: Column) -> Column:
@@ -23,12 +26,27 @@ def _highest_not_above(value: Column, bounds: Sequence[Bound], below: Column) ->
     ).otherwise(_highest_not_above(value, bounds[:middle], below))
 
 
+def _search(value: Column, bounds: Sequence[Bound], below: Column, kind: str) -> Column:
+    """The same by binary search in a literal array: the plan has one literal, however many bounds."""
+    if len(bounds) <= FEW:
+        return _highest_not_above(value, bounds, below)
+    keys, groups = (F.from_json(F.lit(json.dumps([b[i] for b in bounds])), f"array<{t}>") for i, t in enumerate((kind, "string")))
+    powers = F.array(*(F.lit(1 << p) for p in reversed(range(len(bounds).bit_length()))))
+
+    def not_above(v: Column) -> Column:
+        return F.aggregate(powers, F.lit(0), lambda lo, step: F.when(F.get(keys, lo + step - 1) <= v, lo + step).otherwise(lo))
+
+    # The array of one makes the key a variable, so that it is worked out once a row.
+    count = F.get(F.transform(F.array(value), not_above), F.lit(0))
+    return F.when(count == 0, below).otherwise(F.get(groups, count - 1))
+
+
 def range_group(key: Column, bounds: Sequence[Bound]) -> Column:
     """Group by lower bounds of a whole-number key; null for keys under the lowest bound."""
     if not bounds:
         raise ValueError("placement needs a bound at least")
     ordered = sorted(((int(b), g) for b, g in bounds), key=lambda pair: pair[0])
-    inside = _highest_not_above(key, ordered, F.lit(None).cast("string"))
+    inside = _search(key, ordered, F.lit(None).cast("string"), "bigint")
     return F.when(key.isNotNull(), inside)
 
 
@@ -38,7 +56,7 @@ def hash_group(key: Column, bounds: Sequence[Bound]) -> Column:
         raise ValueError("placement needs a bound at least")
     ordered = sorted(((str(b), g) for b, g in bounds), key=lambda pair: pair[0])
     text = key.cast("string")
-    inside = _highest_not_above(F.upper(F.md5(text)), ordered, F.lit(ordered[-1][1]))
+    inside = _search(F.upper(F.md5(text)), ordered, F.lit(ordered[-1][1]), "string")
     return F.when(text.isNotNull(), inside)
 
 

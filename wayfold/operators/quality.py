@@ -151,10 +151,24 @@ def regex_report(
 
 
 def convert(value: Column, type_name: str, strict: bool = True) -> Column:
-    """Conversion by SQL type name, with or without ``SQL_`` in front; TIME gives seconds."""
+    """Conversion by SQL type name, with or without ``SQL_`` in front; TIME gives seconds.
+
+    DECIMAL may be given its precision and scale, as in ``DECIMAL(38,18)``. Numbers become plain
+    text, without an exponent where 20 digits before the point are enough.
+    """
     name = type_name.strip().upper().removeprefix("SQL_")
+    if re.fullmatch(r"DECIMAL\(\d+, *\d+\)", name):
+        return value.cast(name) if strict else value.try_cast(name)
     if name == "TIME":
         return time_to_sec(value.cast("string"))
     if name not in SQL_TYPES:
         raise ValueError(f"unsupported conversion type {type_name!r}")
+    if SQL_TYPES[name] == "string":
+        return _plain_text(value)
     return value.cast(SQL_TYPES[name]) if strict else value.try_cast(SQL_TYPES[name])
+
+
+def _plain_text(value: Column) -> Column:
+    text = value.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.typeof(value).isin("double", "float") & text.contains("E"), F.coalesce(plain, text)).otherwise(text)

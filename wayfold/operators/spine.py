@@ -39,6 +39,14 @@ def keyed_spine(
     return numbered.withColumn("startTime", _nth_start(start, step, F.col("__n"))).drop("__n")
 
 
+def whole_days(start: str | datetime, end: str | datetime, partial: bool = False) -> tuple[datetime, datetime]:
+    """The range, if it is one of whole days; ``partial`` allows a cut last one."""
+    start, end = as_datetime(start), as_datetime(end)
+    if not partial and end > start and (end - start) % DAY:
+        raise ValueError("the range must be whole days, or partial=True counts a cut last one")
+    return start, end
+
+
 def previous_day(now: str | datetime) -> tuple[datetime, datetime]:
     """The calendar day before ``now`` as a half-open range."""
     today = as_datetime(now).replace(hour=0, minute=0, second=0, microsecond=0)

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfold.functions.time import hour_slot
 from wayfold.operators.geo import PREC, TOL, snap_in_box
-from wayfold.operators.spine import DAY, keyed_spine, zero_fill
+from wayfold.operators.spine import DAY, keyed_spine, whole_days, zero_fill
 from wayfold.plans.joins import join_dim
 from wayfold.plans.ranking import top_per_group
 from wayfold.plans.timing import (
-    EPOCH, as_datetime, as_delta, interval_count, micros_between, window_of,
+    EPOCH, as_datetime, as_delta, micros_between, window_of,
 )
 from wayfold.sources.readers import scan_range
 
@@ -107,15 +107,15 @@ def _rounded(value: Column, decimals: int) -> Column:
 def travel_by_bucket(
     snap: DataFrame, start: str | datetime, end: str | datetime, width_h: int = 4,
     station: int | None = None, ids: DataFrame | None = None, min_minutes: float = MIN_MINUTES,
-    cut_days: bool = True,
+    cut_days: bool = True, partial: bool = False,
 ) -> DataFrame:
-    """Mean trip minutes per route and slot of ``width_h`` hours, over complete days.
+    """Mean trip minutes per route and slot of ``width_h`` hours. The range must be whole days;
+    ``partial`` also takes a cut last one.
 
     A trip over the end of a day is cut there, so days can be run apart; ``cut_days=False`` keeps
     it whole, in the slot of its start.
     """
-    start = as_datetime(start)
-    end = start + interval_count(start, end, DAY) * DAY
+    start, end = whole_days(start, end, partial)
     rows = _rows(snap, start, end, station, ids)
     found = trips(rows, min_minutes, restart=DAY if cut_days else None, anchor=start)
     found = found.withColumn("startTime", hour_slot(F.col("run_start"), width_h))

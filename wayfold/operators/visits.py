@@ -15,8 +15,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wayfold.operators.geo import PREC, TOL, scaled, snap_in_box
-from wayfold.operators.spine import DAY, keyed_spine, trailing_range, zero_fill
-from wayfold.plans.timing import MICRO, as_datetime, as_delta, interval_count, window_of
+from wayfold.operators.spine import DAY, keyed_spine, trailing_range, whole_days, zero_fill
+from wayfold.plans.timing import MICRO, as_datetime, as_delta, window_of
 from wayfold.sources.readers import scan_range
 
 # A visit ends after this gap; an hourly visit needs this spacing.
@@ -88,14 +88,13 @@ def _stations(routes: DataFrame, station: int | None) -> DataFrame:
 def daily_frequency(
     snap: DataFrame, routes: DataFrame, start: str | datetime, end: str | datetime,
     gap: str | timedelta = VISIT_GAP, prec: int = PREC, tol: float = TOL,
-    station: int | None = None, scale: bool = True, keep_empty: bool = False,
+    station: int | None = None, scale: bool = True, keep_empty: bool = False, partial: bool = False,
 ) -> DataFrame:
-    """Visits in the start box per route and complete day, divided by the loop factor.
+    """Visits in the start box per route and day, divided by the loop factor.
 
-    ``keep_empty`` adds a zero row for each route and day without visits.
+    The range must be whole days; ``partial`` also counts a cut last one. ``keep_empty`` adds a zero row for each route and day without visits.
     """
-    start = as_datetime(start)
-    end = start + interval_count(start, end, DAY) * DAY
+    start, end = whole_days(start, end, partial)
     hits = _hits(snap, routes, start, end, DAY, station, prec, tol)
     counts = visit_counts(hits, ["station_id", "factor", "startTime"], ["vehicle_id"], "dateTime", gap)
     freq = scaled(F.col("visits"), F.col("factor")) if scale else F.col("visits")

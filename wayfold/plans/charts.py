@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,10 +10,10 @@ from wayfold.functions.time import interval_label, time_text
 from wayfold.operators.density import dense_areas
 from wayfold.operators.rollup import frequency_top, route_list, travel_top
 from wayfold.operators.sampling import path_sample
-from wayfold.operators.spine import clamp_range
 from wayfold.operators.trips import travel_by_hour
 from wayfold.operators.visits import HOUR, hourly_records
 from wayfold.sources.readers import scan_range
+from wayfold.plans.timing import as_datetime, as_delta
 from wayfold.sources.writers import chart_json
 
 Time = str | datetime
@@ -50,9 +50,14 @@ def mean_travel(travel: DataFrame, routes: DataFrame, start: Time, end: Time) ->
     )
 
 
-def density(snap: DataFrame, start: Time, end: Time, rate: float = 1.0) -> DataFrame:
-    """Dense areas of at most one day."""
-    rows = scan_range(snap, "dateTime", *clamp_range(start, end)).select("lat", "lon", "event_id")
+def density(
+    snap: DataFrame, start: Time, end: Time, rate: float = 1.0, longest: str | timedelta | None = None
+) -> DataFrame:
+    """Dense areas of the whole range. A range over ``longest``, if given, is an error; the helper
+    ``clamp_range`` cuts one for callers who want that."""
+    if longest is not None and as_datetime(end) - as_datetime(start) > as_delta(longest):
+        raise ValueError(f"the range is longer than {longest}")
+    rows = scan_range(snap, "dateTime", start, end).select("lat", "lon", "event_id")
     return chart_json(dense_areas(rows, rate=rate), ["lat", "lon", "count"], ["count", "lat", "lon"])
 
 

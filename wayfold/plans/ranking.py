@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark limits ranks before the shuffle up to this many rows a group
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-EARLY_LIMIT = 1000
+# Setting: up to how many rows a group Spark limits ranks before the shuffle.
+EARLY_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 SPREAD = 256
 
 
@@ -17,10 +16,10 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group in ascending order.
 
-    Up to 1000 rows a group, each task keeps only its own first ``n`` before the shuffle. Beyond
-    that Spark does not, so a group is first ranked in 256 parts, and then the first of each part.
+    Up to a setting of Spark, each task keeps only its own first ``n`` before the shuffle. Beyond
+    that it does not, so a group is first ranked in 256 parts, and then the first of each part.
     """
-    if n > EARLY_LIMIT:
+    if n > int(df.sparkSession.conf.get(EARLY_LIMIT)):
         part = F.pmod(F.xxhash64(*order), F.lit(SPREAD))
         df = _ranked(df.withColumn("__part", part), [*keys, "__part"], order, n).drop("__part")
     return _ranked(df, keys, order, n)

@@ -32,7 +32,7 @@ def read_days(
     ts: str = "startTime",
     day: str = "day",
 ) -> DataFrame:
-    """Half-open range of a table partitioned by day; only the folders of its days are listed."""
+    """Half-open range of a table partitioned by day; only files of its days are read."""
     first, last = (F.lit(as_datetime(t).date()) for t in (start, end))
     days = spark.read.parquet(path).where(F.col(day).between(first, last))
     return scan_range(days, ts, start, end).drop(day)

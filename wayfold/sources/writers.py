@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wayfold.plans.timing import as_datetime
+
+Time = str | datetime
+#: Folder inside a table, unseen by its readers, with an empty file for every day that a backfill has run.
+DONE = "_days_done"
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``. Only a local session, which has one machine, may leave that unset."""
@@ -18,11 +25,54 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def append_fact(df: DataFrame, path: str, ts: str = "startTime", day: str = "day") -> None:
+def days_of(start: Time, end: Time) -> list[date]:
+    """The days that [start, end) touches."""
+    first, last = as_datetime(start), as_datetime(end)
+    if last <= first:
+        return []
+    return [first.date() + timedelta(days=n) for n in range((last - timedelta(microseconds=1)).date().toordinal() - first.toordinal() + 1)]
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def mark_done(spark: SparkSession, path: str, days: Sequence[date]) -> None:
+    """Notes days as run, whether or not they have rows."""
+    for d in days:
+        file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DONE}/{d.isoformat()}")
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
+def days_present(spark: SparkSession, path: str, day: str = "day") -> set[date]:
+    """Days of a table that have a partition or are noted as run; none if the table is not there yet.
+
+    Only names of folders are read: as many as the table has days.
+    """
+    parts = [n.removeprefix(f"{day}=") for n in _names(spark, path) if n.startswith(f"{day}=")]
+    return {date.fromisoformat(n) for n in [*parts, *_names(spark, f"{path}/{DONE}")] if n[:1].isdigit()}
+
+
+def append_fact(
+    df: DataFrame, path: str, ts: str = "startTime", day: str = "day",
+    within: tuple[Time, Time] | None = None,
+) -> None:
     """Write facts (or snapshots) by day; writing a day again replaces it, other days stay.
 
+    ``within`` is the range that was computed: a day of it that has no rows now loses those it had.
     The rebalance hint gives few files per day and splits a day that is too large for one task.
     """
+    spark = df.sparkSession
+    asked = [f"{path}/{day}={d.isoformat()}" for d in days_of(*within)] if within else []
+    before = {folder: set(_names(spark, folder)) for folder in asked}
     (
         df.withColumn(day, F.col(ts).cast("date"))
         .hint("rebalance", day)
@@ -31,6 +81,10 @@ def append_fact(df: DataFrame, path: str, ts: str = "startTime", day: str = "day
         .partitionBy(day)
         .parquet(path)
     )
+    # Files of a write have a name of their own, so a folder with the same names was not written.
+    for folder, names in before.items():
+        if names and names == set(_names(spark, folder)):
+            _remove(spark, folder)
 
 
 def chart_json(

@@ -15,6 +15,8 @@ from wayfold.operators.geo import PREC, TOL, snap_in_box
 from wayfold.operators.visits import HOUR, VISIT_GAP
 from wayfold.plans.timing import MICRO, as_delta
 
+MERGE_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def _text(width: str | timedelta) -> str:
     return f"{as_delta(width) // MICRO} microseconds"
@@ -43,9 +45,10 @@ def stream_visits(
 ) -> DataFrame:
     """Visits in the start box per route and vehicle.
 
-    Records are merged into sessions in the task that read them, before the shuffle, if
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is on.
+    Records are merged into sessions in the task that read them, before the shuffle, so a hot
+    vehicle costs a few rows per task. The setting for that is off by default and turned on here.
     """
+    stream.sparkSession.conf.set(MERGE_EARLY, "true")
     hits = _start_hits(stream, routes, delay, prec, tol)
     sessions = hits.groupBy(
         F.session_window("dateTime", _text(gap)), "station_id", "vehicle_id"

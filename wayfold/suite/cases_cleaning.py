@@ -226,7 +226,7 @@ def _(spark, sf):
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return table(spark, sf, "orders").select(
         "o_orderkey",
-        F.regexp_replace(quality.convert(F.col("o_totalprice"), "VARCHAR"), r"E.*", "").alias("as_text"),
+        quality.convert(F.col("o_totalprice"), "VARCHAR").alias("as_text"),
         quality.convert(day, "SQL_DATE").cast("string").alias("as_date"),
         quality.convert(key_text, "double").alias("as_double"),
         quality.convert(key_text, "BIGINT").alias("as_bigint"),
@@ -244,7 +244,7 @@ def _(spark, sf):
               round(degrees(y), 6) AS degrees, round(exp(y), 6) AS exp, CAST(floor(x) AS BIGINT) AS floor,
               round(ln(l_quantity), 6) AS log, round(log10(l_quantity), 6) AS log10, l_partkey % 7 AS mod,
               round(pi(), 6) AS pi, round(pow(l_quantity, 2), 6) AS pow, round(power(y, 3), 6) AS power,
-              round(radians(l_quantity), 6) AS radians, floor(x * 10 + 0.5::DOUBLE) / 10 AS rounded, round(sin(x), 6) AS sin,
+              round(radians(l_quantity), 6) AS radians, floor(x * 10 + 0.5::DOUBLE) / 10 AS rounded, round(x, 1) AS round, round(sin(x), 6) AS sin,
               round(sqrt(l_quantity), 6) AS sqrt, round(tan(y), 6) AS tan, sign(x) * floor(abs(x) * 10::DOUBLE) / 10::DOUBLE AS truncate,
               sign(x) * floor(abs(x) / 10::DOUBLE) * 10::DOUBLE AS truncate_tens
        FROM (SELECT *, l_quantity - 25.25::DOUBLE AS x, l_discount - l_tax AS y FROM lineitem)""",
@@ -264,7 +264,7 @@ def _(spark, sf):
         "l_orderkey", "l_linenumber", "l_suppkey", F.abs(x).alias("abs"),
         F.bit_count("l_suppkey").alias("bit_count"), F.ceiling(x).alias("ceiling"), F.floor(x).alias("floor"),
         F.round(F.cot(q), 4).alias("cot"), (F.col("l_partkey") % 7).alias("mod"),
-        (F.floor(x * 10 + F.lit(0.5)) / 10).alias("rounded"),
+        (F.floor(x * 10 + F.lit(0.5)) / 10).alias("rounded"), F.round(x, 1).alias("round"),
         named.truncate(x, 1).alias("truncate"), named.truncate(x, -1).alias("truncate_tens"),
         *[F.round(value, 6).alias(name) for name, value in six.items()],
     )
@@ -291,7 +291,9 @@ def _(spark, sf):
               substr(p_name, 3) AS substring, split_part(p_name, ' ', 1) AS substring_index, trim(' ' || p_name || ' ') AS trim,
               upper(p_name) AS ucase,
               CAST(CASE WHEN p_type = 'ECONOMY' THEN 2 WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS INT) AS find_in_set,
-              '''' || p_name || '''' AS quote
+              '''' || p_name || '''' AS quote,
+              CASE p_type WHEN 'ECONOMY' THEN 'E255' WHEN 'LARGE' THEN 'L620' WHEN 'MEDIUM' THEN 'M350' WHEN 'PROMO' THEN 'P650'
+                          WHEN 'SMALL' THEN 'S540' WHEN 'STANDARD' THEN 'S353' END AS soundex
        FROM part""",
 )
 def _(spark, sf):
@@ -310,6 +312,7 @@ def _(spark, sf):
         "substring": F.expr("substring(p_name, 3)"), "substring_index": F.substring_index(name, " ", 1),
         "trim": F.trim(F.concat(F.lit(" "), name, F.lit(" "))), "ucase": F.ucase(name),
         "find_in_set": F.find_in_set(kind, F.lit("SMALL,ECONOMY")), "quote": F.quote(name),
+        "soundex": F.soundex(kind),
     }
     own = {
         "elt": F.coalesce(named.elt(size % 3, name, brand), F.lit("")), "length": named.length(name),
@@ -351,9 +354,6 @@ def _(spark, sf):
     period = F.date_format(ts, "yyyyMM").cast("int")
     seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     signed = F.col("event_id") * 7 * F.when(F.col("event_id") % 2 == 0, 1).otherwise(-1)
-    # A clock without zone, so that the epoch does not depend on the session zone.
-    epoch = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + seconds
-    shown = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=epoch.cast("decimal(18,6)"))
     fields = {
         "dayofweek": F.dayofweek(ts), "weekday": F.weekday(ts), "dayofmonth": F.dayofmonth(ts),
         "dayofyear": F.dayofyear(ts), "month": F.month(ts), "dayname": named.dayname(ts),
@@ -364,8 +364,8 @@ def _(spark, sf):
         "period_diff": named.period_diff(period, F.lit(9905)),
         "to_days": named.to_days(day), "from_days": named.from_days(named.to_days(day)).cast("string"),
         "date_format": named.percent_format(ts, "%d/%m/%y %H:%i"),
-        "time_format": named.time_format(seconds, "%H.%i.%s"), "unix_timestamp": epoch,
-        "from_unixtime": F.date_format(shown, "yyyy-MM-dd HH:mm:ss"),
+        "time_format": named.time_format(seconds, "%H.%i.%s"), "unix_timestamp": named.unix_timestamp(ts),
+        "from_unixtime": named.from_unixtime(named.unix_timestamp(ts)),
         "sec_to_time": F.when(signed == 0, "00:00:00").otherwise(named.sec_to_time(signed)),
         "time_to_sec": named.time_to_sec(F.date_format(ts, "HH:mm:ss")),
     }

@@ -88,11 +88,10 @@ def _(spark, sf):
     "chart_density",
     sql(
         """SELECT '{"lat":' || lat || ',"lon":' || lon || ',"count":' || count || '}' AS json FROM areas""",
-        areas=_areas("SELECT * FROM snap WHERE dateTime < TIMESTAMP '2024-01-02'"),
+        areas=_areas(f"SELECT * FROM snap WHERE dateTime >= TIMESTAMP '{START}' AND dateTime < TIMESTAMP '{END}'"),
     ),
 )
 def _(spark, sf):
-    """One day, as the asked range is cut to that."""
     return charts.density(snap(spark, sf), START, END)
 
 
