@@ -138,12 +138,14 @@ def test_url_lists(spark):
     log = [
         ("bad.org", "add", d(3)), ("bad.org", "add", d(4)), ("bad.org", "remove", d(6)), ("bad.org", "add", d(9)), ("bad.org", "add", d(9)),
         ("x.org/a/", "add", d(1)), ("same.org", "add", d(2)), ("same.org", "remove", d(2)), (None, "add", d(1)), ("n.org", None, d(1)), ("sub.bad.org", "add", d(5)),
+        ("deep.org/" + "p/" * 12, "add", d(1)),
     ]
     shots = [
         (1, "http://bad.org/", d(2), 0), (2, "https://user@Sub.BAD.org:80/x?q", d(3), 1), (3, "http://bad.org", d(6), 0), (4, "http://bad.org./", d(9), 1),
         (5, "http://notbad.org/", d(5), 0), (6, "http://x.org/a/b/c", d(1), 1), (7, "http://x.org/ab", d(1), 0), (8, "http://same.org/", d(2), 0),
         (9, None, d(5), 0), (10, "", d(5), 0), (11, "ftp://bad.org/", d(5), 0), (12, "http://bad.org/", None, 0), (13, "http://sub.bad.org/", d(5), 2),
         (None, "http://bad.org/", d(5), 1), (14, "http://bad.org/", d(5), 1), (14, "http://bad.org/", d(5), 1),
+        (15, "http://deep.org/" + "p/" * 12 + "x", d(5), 1), (16, "http://deep.org/" + "p/" * 11 + "x", d(5), 0),
     ]
     captures = spark.createDataFrame([(*s[:3], "p") for s in shots], "page_id long, url string, fetched date, pattern string")
     frame = spark.createDataFrame([(*e, "u") for e in log], LOG)

@@ -3,10 +3,10 @@
 A list is a log of dated entries (pattern, action 'add' or 'remove', at). Per pattern the log becomes
 validity intervals [from, to): an add opens one, the next remove closes it; entries that change
 nothing are passed over. A pattern is a host ('a.example.com', which holds its subdomains too) or a
-host and the start of a path up to a '/' ('a.example.com/x/').
+host and the start of a path up to a '/' ('a.example.com/x/'), of any depth.
 
 Every capture is cut to the few keys that could match it: its host and parent domains, and its host
-with each leading part of the path. The as-of join meets keys and intervals by equality of the
+with each leading part of the path, as deep as the list's deepest pattern. The as-of join meets keys and intervals by equality of the
 pattern and keeps those open at the fetch time. Captures of a hot host are salted: their keys are dealt to
 SALTS groups and the (much smaller) list is repeated in each, so no task gets all of a host.
 
@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 SALTS = 16
-PATHS = 8  # leading parts of a path that a list may name; a pattern with more is an error of the list
 
 
 def host(url: Column) -> Column:
@@ -32,14 +31,19 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_replace(bare, r"\.$", ""))
 
 
-def keys(url: Column) -> Column:
-    """Every pattern that matches the URL."""
+def depth_of(log: DataFrame) -> int:
+    """The most leading parts of a path that any pattern of the list names."""
+    return max(0, log.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0)
+
+
+def keys(url: Column, deepest: int) -> Column:
+    """Every pattern of at most ``deepest`` leading parts of a path that matches the URL."""
     name = host(url)
     labels = F.split(name, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?i:https?)://[^/?#]*(/[^?#]*)", 1)
     parts = F.split(path, "/")
-    depth = F.least(F.size(parts) - 1, F.lit(PATHS))
+    depth = F.least(F.size(parts) - 1, F.lit(deepest))
     paths = F.when(depth < 1, F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda i: F.concat(name, F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
     )
@@ -60,10 +64,11 @@ def judge(captures: DataFrame, log: DataFrame, id_col: str = "page_id", url_col:
     """(id, url, fetched, n_entries, pattern, blocked) of every capture: the number of entries active at
     its fetch time that match, and the longest of them (the first in order, if several are as long)."""
     salt = F.lit(SALTS)
+    deepest = depth_of(log)
     shots = captures.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(time_col).alias("__at"))
     own = ["__id", "__url", "__at", "__times"]
     shots = shots.groupBy("__id", "__url", "__at").agg(F.count("*").cast("int").alias("__times"))
-    offered = shots.withColumn("pattern", F.explode_outer(keys(F.col("__url")))).withColumn("salt", F.pmod(F.xxhash64(*own[:3]), salt))
+    offered = shots.withColumn("pattern", F.explode_outer(keys(F.col("__url"), deepest))).withColumn("salt", F.pmod(F.xxhash64(*own[:3]), salt))
     entries = intervals(log).withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), (salt - 1).cast("bigint"))))
     entries = entries.withColumnRenamed("pattern", "listed")
     active = (
