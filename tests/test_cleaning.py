@@ -9,6 +9,7 @@ from helpers import rows
 from wayfold.functions import named, time
 from wayfold.operators import endpoints, quality
 from wayfold.plans.timing import micros_between, window_of
+from wayfold.plans import charts
 
 
 def one(spark, value, column, dtype="string"):
@@ -197,3 +198,19 @@ def test_clock_functions(spark):
 def test_strict_parse(spark):
     with pytest.raises(Exception, match="not a time"):
         one(spark, "yesterday", lambda c: time.parse_ts(c, strict=True))
+
+
+def test_numbers_become_plain_text(spark):
+    frame = spark.createDataFrame([(12345678.9, "1E7"), (0.0001, "x"), (10.5, None), (None, "")], "v double, t string")
+    found = frame.select(quality.convert(F.col("v"), "VARCHAR").alias("v"), quality.convert(F.col("t"), "CHAR").alias("t"))
+    assert [tuple(r) for r in found.collect()] == [("12345678.9", "1E7"), ("0.0001", "x"), ("10.5", None), (None, "")]
+
+
+def test_decimals_keep_the_digits_asked_for(spark):
+    frame = spark.createDataFrame([("0.123456789012",)], "t string")
+    assert str(frame.select(quality.convert(F.col("t"), "DECIMAL(20,12)")).first()[0]) == "0.123456789012"
+
+
+def test_a_density_chart_over_its_limit_is_an_error(spark):
+    with pytest.raises(ValueError, match="longer"):
+        charts.density(spark.range(0), "2024-01-01", "2024-01-03", longest="1 day")
