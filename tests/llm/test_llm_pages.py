@@ -118,6 +118,27 @@ def test_main_text(page, text):
     assert extraction.main_text(page) == text
 
 
+PROSE = "A paragraph of some length, with commas, and with words that go on for a while. "
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div><div class=top><h1>T</h1></div><div class=content>long text, one<br>two</div></div>", "T long text, one two"),
+        (f"<body>Bare text, {PROSE}<br>more<div><p>Inner, words.</p></div>and the end</body>", f"Bare text, {PROSE}more Inner, words. and the end"),
+        ("<div>see <a href=x>this</a> long sentence with words, and more<p>P</p>tail</div>", "see this long sentence with words, and more P tail"),
+        (f"<div><div>{f'<p>{PROSE}</p>' * 20}</div><ul><li>short list<li>two</ul><section><p>One short.</p></section><ul><li><a href=x>Menu</a></ul></div>", PROSE * 20 + "short list two One short."),
+        (f"<div><div><div>{f'<p>{PROSE}</p>' * 3}</div></div><div><div><p>{PROSE}</p></div></div><div><div><p><a href=x>{PROSE}</a></p></div></div></div>", PROSE * 4),
+        (f"<article><p>{PROSE}</p></article><article><p>Second, part.</p></article><table><tr><td>cell</table><div><a href=x>Next</a></div>", f"{PROSE}Second, part. cell"),
+        (f"<main><article><p>{PROSE}</p></article><section><p>Notes.</p></section></main>", f"{PROSE}Notes."),
+        ("<h1>Only</h1><h2>headings</h2>", "Only headings"),
+    ],
+)
+def test_main_text_is_whole(page, text):
+    """Text outside paragraph tags, or split over containers, in articles or not."""
+    assert extraction.main_text(page) == text.strip()
+
+
 def test_deep_and_long_pages():
     assert extraction.main_text("<div>" * 20_000 + "<p>deep</p>") == "deep"
     long = " ".join(f"word{i}," for i in range(50_000))

@@ -2,17 +2,18 @@
 
 A page becomes a light element tree (implied end tags and missing ends included). Parts that are never main
 text are left out: by element (menus, headers and footers, sidebars, forms, scripts, ...) or by the
-words of their class, id or role (adverts, notices, comments, ...). Every paragraph then passes points
-to its ancestors: one, one per comma, and up to three for its length, whole to its parent, half to the
-next, less beyond, each discounted by the share of its text that stands in links. The
-container with the most points wins; if it lies in an article or main element, that element is the
-container. Siblings are kept if they have a fifth of its points, or are paragraphs with few links.
+words of their class, id or role (adverts, notices, comments, ...). Every block that holds text of its own
+then passes points to its ancestors: one, one per comma, and up to three for its length, whole to its parent
+(a container to itself), half to the next, less beyond, each discounted by the share of its text that
+stands in links; headings pass none. The container with the most points wins; if it lies in
+an article or main element, the outermost such element is the container. Beside it, whatever its tag,
+and however far out, every block or run of bare text with few links (LINKED) is kept, short or long.
 
 The text is that of the container and the kept siblings in page order: character references decoded,
 white space in a block turned into one space, blocks joined by one space. Nothing is capped.
 
-Defined cases: null, empty or textless pages give an empty text; pages without any paragraph are scored by their
-text blocks; broken or cut markup is read as far as it goes; extra columns are ignored; repeated rows
+Defined cases: null, empty or textless pages give an empty text; pages of headings only are scored by those;
+broken or cut markup is read as far as it goes; extra columns are ignored; repeated rows
 are extracted one by one.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +40,10 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
-PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p pre td th blockquote li dt dd caption figcaption summary h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Fixed value: blocks beside the container are kept if less than this share of their text is in links.
+LINKED = 0.25
 CLOSES_P = BLOCK - frozenset("body html caption tbody td tfoot th thead tr legend".split())
 ITEMS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table tr tbody thead tfoot menu select html body".split())
@@ -168,36 +173,40 @@ def blocks(node: Element) -> list[str]:
 def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
     """Elements with points, and (text length, text length in links, commas) of every element."""
     sums: dict[int, list[float]] = {}
+    # The same of the text that no block further in holds.
+    own: dict[int, list[float]] = {}
+    around: list[Element] = []
     order: list[Element] = []
     links = 0
-    own: dict[int, int] = {}
     for element, text, opens in _walk(root):
         if text is not None:
             squeezed = " ".join(text.split())
             if squeezed:
-                part = sums[id(element)]
-                part[0] += len(squeezed)
-                part[1] += len(squeezed) if links else 0
-                part[2] += squeezed.count(",")
-                own[id(element)] = own.get(id(element), 0) + len(squeezed)
+                for part in (sums[id(element)], own[id(around[-1])]):
+                    part[0] += len(squeezed)
+                    part[1] += len(squeezed) if links else 0
+                    part[2] += squeezed.count(",")
         elif opens:
             sums[id(element)] = [0, 0, 0]
-            order.append(element)
             links += element.tag == "a"
+            if element.tag in BLOCK:
+                own[id(element)] = [0, 0, 0]
+                around.append(element)
+                order.append(element)
         else:
             links -= element.tag == "a"
+            if element.tag in BLOCK:
+                around.pop()
             if element.parent is not None and id(element.parent) in sums:
                 up = sums[id(element.parent)]
                 for i, value in enumerate(sums[id(element)]):
                     up[i] += value
     scored: dict[int, Element] = {}
-    paragraphs = [e for e in order if e.tag in PARAGRAPHS] or [e for e in order if own.get(id(e))]
-    for e in paragraphs:
-        length, linked, commas = sums[id(e)]
-        if not length:
-            continue
+    filled = [e for e in order if own[id(e)][0]]
+    for e in [e for e in filled if e.tag not in HEADINGS] or filled:
+        length, linked, commas = own[id(e)]
         points = (1 + commas + min(length / 100, 3)) * (1 - linked / length)
-        parent, share, level = e.parent or e, 1.0, 0
+        parent, share, level = (e.parent or e) if e.tag in PARAGRAPHS else e, 1.0, 0
         while parent is not None and level < 4:
             parent.score += points * share
             scored[id(parent)] = parent
@@ -206,6 +215,28 @@ def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
     return list(scored.values()), sums
 
 
+def _runs(node: Element, here: Element) -> Iterator[Element]:
+    """``here`` and a node's blocks, and what stands between them as one element each."""
+    run: list[Element | str] = []
+    for child in node.children:
+        if child is here or not isinstance(child, str) and child.tag in BLOCK:
+            if run:
+                yield _between(node, run)
+                run = []
+            if not child.skipped:
+                yield child
+        elif isinstance(child, str) or not child.skipped:
+            run.append(child)
+    if run:
+        yield _between(node, run)
+
+
+def _between(node: Element, run: list[Element | str]) -> Element:
+    made = Element("span", node, False)
+    made.children = run
+    return made
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -214,28 +245,38 @@ def main_text(page: str | None) -> str:
     if not candidates:
         return ""
 
+    def lengths(e: Element) -> tuple[float, float]:
+        if id(e) in sums:
+            return sums[id(e)][0], sums[id(e)][1]
+        length = linked = 0
+        for c in e.children:
+            more = (len(" ".join(c.split())), 0) if isinstance(c, str) else lengths(c)
+            length, linked = length + more[0], linked + more[1]
+        return length, linked
+
     def density(e: Element) -> float:
-        length, linked, _ = sums[id(e)]
+        length, linked = lengths(e)
         return linked / length if length else 0.0
 
     best = max(candidates, key=lambda e: e.score * (1 - density(e)))
     walk: Element | None = best
-    while walk is not None and walk.tag not in ("article", "main"):
+    while walk is not None:
+        if walk.tag in ("article", "main"):
+            best = walk
         walk = walk.parent
-    if walk is not None:
-        best = walk
-    least = max(1.0, best.score * (1 - density(best)) / 5)
-    parts = [best]
-    if best.parent is not None and best.tag not in ("article", "main"):
-        parts = []
-        for s in best.parent.children:
-            if isinstance(s, str) or s.skipped:
+    # From the container outwards, so that an article in several containers comes back whole.
+    parts, here = deque([best]), best
+    while here.parent is not None:
+        before, after, seen = [], [], False
+        for s in _runs(here.parent, here):
+            if s is here:
+                seen = True
                 continue
-            length = sums[id(s)][0]
-            good = s.score * (1 - density(s)) >= least
-            plain = s.tag in PARAGRAPHS and length and (density(s) < 0.25 if length > 80 else density(s) == 0)
-            if s is best or good or plain:
-                parts.append(s)
+            if lengths(s)[0] and density(s) < LINKED:
+                (after if seen else before).append(s)
+        parts.extendleft(reversed(before))
+        parts.extend(after)
+        here = here.parent
     return " ".join(b for p in parts for b in blocks(p))
 
 
