@@ -139,6 +139,31 @@ def test_main_text_is_whole(page, text):
     assert extraction.main_text(page) == text.strip()
 
 
+@pytest.mark.parametrize("part", [
+    "section id=search", "h2 id='social-history'", 'div class="no-comments"', "p class=notice-period", "p class=notice", "section title='the hidden valley'",
+    'div class="overflow hidden x"', "div data-hidden=1 title='display: none'", "div title=\"class='ad'\"", "dt id=alert", "div class=content-sidebar-wrap",
+])
+def test_one_word_in_an_attribute_keeps_a_part(part):
+    assert extraction.main_text(f"<div><p>{PROSE}</p><p>{PROSE}</p><{part}>Part of it</{part.split()[0]}></div>") == f"{PROSE}{PROSE}Part of it"
+
+
+@pytest.mark.parametrize("part", [
+    "div hidden", "p HIDDEN=''", "div aria-hidden = 'true'", 'p style="color:red; display : none"', "div class='x ad'", "div id=comments", "div class=shareBar",
+    "div class=site_footer-2", "div role=alert", "section class=related-posts",
+])
+def test_names_of_parts_that_are_left_out(part):
+    assert extraction.main_text(f"<div><p>{PROSE}</p><p>{PROSE}</p><{part}>No part of it</{part.split()[0]}></div>") == f"{PROSE}{PROSE}".strip()
+
+
+def test_marked_parts_that_are_the_text():
+    page = f"<body class=no-sidebar><div id=content class='has-sidebar widget'><p>{PROSE}</p><p>{PROSE}</p><div class=ad>no</div></div><div class=sidebar><p>no</p></div>"
+    assert extraction.main_text(page) == f"{PROSE}{PROSE}".strip()
+    assert extraction.main_text(f"<head><title>t</title><body class=widget><p>{PROSE}") == PROSE.strip()
+    assert extraction.main_text(f"<div class=ad>{PROSE}</div><article><p>Short.</article>") == "Short."
+    assert extraction.main_text(f"<article><p>Short.</p><div class=widget><p>{PROSE}</p></div></article>") == f"Short. {PROSE}".strip()
+    assert extraction.main_text(f"<p>{PROSE}</p><p>{PROSE}</p><div id=social-share><h2>Social share</h2>is kept</div>") == f"{PROSE}{PROSE}Social share is kept"
+
+
 def test_deep_and_long_pages():
     assert extraction.main_text("<div>" * 20_000 + "<p>deep</p>") == "deep"
     long = " ".join(f"word{i}," for i in range(50_000))

@@ -1,8 +1,10 @@
 """HTML extraction by tree scoring.
 
 A page becomes a light element tree (implied end tags and missing ends included). Parts that are never main
-text are left out: by element (menus, headers and footers, sidebars, forms, scripts, ...) or by the
-words of their class, id or role (adverts, notices, comments, ...). Every block that holds text of its own
+text are left out: by element (menus, headers and footers, sidebars, forms, scripts, ...), by the attribute hidden
+and the like, or by a class, id or role that is as a whole the name of such a part (adverts, notices, comments, ...) or
+a known compound; class and id never mark headings or paragraphs, an id no section, cell, item or part that begins with
+a heading of that text, and no name marks what holds over half of the page's points, unless an article outside has any. Every block that holds text of its own
 then passes points to its ancestors: one, one per comma, and up to three for its length, whole to its parent
 (a container to itself), half to the next, less beyond, each discounted by the share of its text that
 stands in links; headings pass none. The container with the most points wins; if it lies in
@@ -54,28 +56,54 @@ BOILERPLATE = frozenset(
     " sharing comment comments disqus replies respond related recommended pager pagination toolbar widget widgets search login contentinfo complementary"
     " alert disclaimer outbrain taboola".split()
 )
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: Words that make a known compound with those above, as in share-bar or site-footer, and other known names.
+COMPOUND = frozenset(
+    "area bar block box bottom btn button buttons center column container form group icon icons inner item items js left link links list main"
+    " mobile outer overlay panel primary right row secondary section site slot thread top unit user wrap wrapper zone".split()
+)
+COMPOUNDS = frozenset("related-posts related-articles related-stories recommended-posts recommended-articles post-comments post-navigation".split())
+#: What class and id never mark, and where an id tells a place in the text.
+UNMARKED = HEADINGS | {"p"}
+ANCHORED = frozenset("section dt dd li td th tr pre blockquote figure span a code".split())
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
-NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-zA-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "skipped", "score")
+    __slots__ = ("tag", "parent", "children", "skipped", "score", "marked", "anchor")
 
     def __init__(self, tag: str, parent: Element | None, skipped: bool) -> None:
         self.tag, self.parent, self.skipped = tag, parent, skipped
         self.children: list[Element | str] = []
         self.score = 0.0
+        #: Marked as boilerplate by its names, or by this id.
+        self.marked, self.anchor = False, ""
 
 
-def _boilerplate(attributes: str) -> bool:
-    if not attributes or attributes.isspace():
-        return False
-    if HIDDEN.search(attributes):
+def _named(name: str) -> bool:
+    """Whether a whole name is one of the words or a known compound of them."""
+    words = [w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))]
+    if "-".join(words) in COMPOUNDS:
         return True
-    names = " ".join("".join(m) for m in NAMED.findall(attributes))
-    return bool(names) and not BOILERPLATE.isdisjoint(w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names)))
+    return not BOILERPLATE.isdisjoint(words) and all(w in BOILERPLATE or w in COMPOUND or len(w) == 1 for w in words)
+
+
+def _attributes(tag: str, written: str) -> tuple[bool, bool, str]:
+    """(whether the element is hidden, whether its role or class mark it as boilerplate, its id if that does)."""
+    if not written or written.isspace():
+        return False, False, ""
+    given: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(written):
+        given.setdefault(name.lower(), "".join(value))
+    hidden = "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true" or bool(NO_DISPLAY.search(given.get("style", "")))
+    named = any(r.lower() in BOILERPLATE for r in given.get("role", "").split())
+    if tag in UNMARKED:
+        return hidden, named, ""
+    named = named or any(map(_named, given.get("class", "").split()))
+    own = given.get("id", "") if tag not in ANCHORED else ""
+    return hidden, named, own if own and _named(own) else ""
 
 
 def tree(page: str) -> Element:
@@ -102,7 +130,7 @@ def tree(page: str) -> Element:
                 top = walk.parent
             continue
         if tag in ("html", "body"):
-            if not _boilerplate(found[3]) and tag == "body" and top.tag in ("head", "html"):
+            if tag == "body" and top.tag in ("head", "html"):
                 top = root
             continue
         if tag in CLOSES_P:
@@ -120,7 +148,9 @@ def tree(page: str) -> Element:
         if top.tag == "head" and tag not in ("meta", "title", "link", "script", "style", "base", "noscript", "template"):
             top = top.parent or root
         # A header or footer inside an article is part of the page's frame all the same.
-        made = Element(tag, top, top.skipped or tag in SKIPPED or (tag not in ("article", "main") and _boilerplate(found[3])))
+        hidden, named, own = _attributes(tag, found[3]) if tag not in ("article", "main") else (False, False, "")
+        made = Element(tag, top, top.skipped or tag in SKIPPED or hidden)
+        made.marked, made.anchor = named or bool(own), "" if named else own
         top.children.append(made)
         if tag in VOID or found[3].endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
@@ -170,8 +200,43 @@ def blocks(node: Element) -> list[str]:
     return [b for b in out if b]
 
 
-def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
-    """Elements with points, and (text length, text length in links, commas) of every element."""
+def _heading(element: Element) -> str:
+    """The text of the heading that an element begins with, as an id."""
+    for child in element.children:
+        if not isinstance(child, str):
+            return "-".join(w.lower() for w in WORDS.findall(" ".join(blocks(child)))) if child.tag in HEADINGS else ""
+        if not child.isspace():
+            break
+    return ""
+
+
+def _skip_marked(root: Element) -> None:
+    """Skips what class, id or role mark, but for parts whose id was made from their heading, and for a
+    container that holds over half of the page's points, if no article or main element outside of it has any."""
+    marked = [e for e, text, opens in _walk(root) if opens and text is None and e.marked]
+    marked = [e for e in marked if not e.anchor or "-".join(w.lower() for w in WORDS.findall(e.anchor)) != _heading(e)]
+    if not marked:
+        return
+    points = {id(e): own for e, own in _measure(root)[0]}
+    # Articles with points in an element, and those around it.
+    inside: dict[int, int] = {}
+    around: dict[int, int] = {}
+    for element, text, opens in _walk(root):
+        here, up = id(element), id(element.parent)
+        if text is None and opens:
+            around[here] = around.get(up, 0) + (element.parent is not None and element.parent.tag in ("article", "main"))
+        elif text is None:
+            inside[here] = inside.get(here, 0) + (element.tag in ("article", "main") and points.get(here, 0.0) > 0)
+            if element.parent is not None:
+                points[up] = points.get(up, 0.0) + points.get(here, 0.0)
+                inside[up] = inside.get(up, 0) + inside[here]
+    most = points.get(id(root), 0.0) / 2
+    for e in marked:
+        e.skipped = points.get(id(e), 0.0) <= most or inside[id(root)] > inside[id(e)] + around[id(e)]
+
+
+def _measure(root: Element) -> tuple[list[tuple[Element, float]], dict[int, list[float]]]:
+    """Blocks that hold text with their points, and (text length, text length in links, commas) of every element."""
     sums: dict[int, list[float]] = {}
     # The same of the text that no block further in holds.
     own: dict[int, list[float]] = {}
@@ -201,11 +266,16 @@ def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
                 up = sums[id(element.parent)]
                 for i, value in enumerate(sums[id(element)]):
                     up[i] += value
-    scored: dict[int, Element] = {}
     filled = [e for e in order if own[id(e)][0]]
-    for e in [e for e in filled if e.tag not in HEADINGS] or filled:
-        length, linked, commas = own[id(e)]
-        points = (1 + commas + min(length / 100, 3)) * (1 - linked / length)
+    filled = [e for e in filled if e.tag not in HEADINGS] or filled
+    return [(e, (1 + commas + min(length / 100, 3)) * (1 - linked / length)) for e in filled for length, linked, commas in [own[id(e)]]], sums
+
+
+def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
+    """Elements with points, and the lengths of every element."""
+    scored: dict[int, Element] = {}
+    given, sums = _measure(root)
+    for e, points in given:
         parent, share, level = (e.parent or e) if e.tag in PARAGRAPHS else e, 1.0, 0
         while parent is not None and level < 4:
             parent.score += points * share
@@ -241,6 +311,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = tree(page)
+    _skip_marked(root)
     candidates, sums = _scores(root)
     if not candidates:
         return ""
