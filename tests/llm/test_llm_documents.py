@@ -143,6 +143,19 @@ def test_quality_thresholds_follow_the_source(spark):
     assert [i for i, k in kept.items() if not k] == [5000]
 
 
+@pytest.mark.parametrize("size", [100, 150, 250, 10_000])
+def test_a_mostly_junk_source_is_judged_alike_at_every_size(spark, size):
+    """Its own upper quartile is junk; the other sources of its language are not."""
+    rng = random.Random(2)
+    pool = [f"w{rng.randrange(10**6)}" for _ in range(5000)]
+    text = lambda marks: " ".join(w + "%%%" * marks for w in rng.sample(pool, 60))
+    rows = [(i, text(i % 10 < 6), "en", "hot", 0, "", "") for i in range(size)]
+    rows += [(100_000 + i, text(0), "en", f"s{i % 3}", 0, "", "") for i in range(360)]
+    got = quality_rules.judge(spark.createDataFrame(rows, DOCS).repartition(4)).select("doc_id", "kept").collect()
+    assert len(got) == len(rows)
+    assert all(r.kept == (r.doc_id >= 100_000 or r.doc_id % 10 >= 6) for r in got)
+
+
 def library():
     sentencepiece = pytest.importorskip("sentencepiece")
     return sentencepiece.SentencePieceProcessor(model_file=cases.MODEL)

@@ -3,9 +3,12 @@
 Every document gets counts over its whole text. Documents that pass the fixed base rules feed
 mergeable quantile sketches (KLL) of four rates, one sketch per language and source. A group's fences
 are its upper quartile plus REACH times its interquartile range and a slack (and, for the word length,
-the same below), so they follow each source; a group of fewer than LEAST documents takes the merged
-sketch of its language, and a language of as few the merged sketch of all. Documents beyond a fence
-of their group are not kept.
+the same below), so they follow each source. At every size a group of n documents counts n / (n + PRIOR) in its
+quartiles and its language's typical quartiles the rest; a language is blended with all groups in the same way. Typical
+quartiles are the middle of the sources' own, in which a source has at most VOTES votes however large it is. No fence
+is further than DISTANCE slacks from that of the language, so a source that is mostly junk does not open
+its own. Documents beyond a fence of their group are not kept. Junk that fills over a quarter of most sources of a
+language is usual there, and is not told apart.
 
 The sketches are aggregated with partial results before the shuffle and have a bounded size, so a hot source
 costs no more than any other. The join brings a few numbers per group to the documents' counts.
@@ -21,13 +24,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.llm.common import kept
 
-LEAST = 200
+#: Documents that the typical quartiles count as, beside those of a group.
+PRIOR = 20
+VOTES = 20
+DISTANCE = 2.0
 REACH = 3.0
 SKETCH_K = 400
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Rates with the slack that is added to the fence.
 RATES = {"word_length": 0.5, "symbol_rate": 0.1, "line_rate": 0.3, "repeat_rate": 0.2}
+QUARTILES = [f"{r}_{q}" for r in RATES for q in ("q1", "q3")]
 
 
 def words(text: Column) -> Column:
@@ -91,30 +98,40 @@ def rates() -> dict[str, Column]:
     }
 
 
+def _typical(votes: DataFrame, *by: str) -> DataFrame:
+    """(by, m documents, the middle of the votes for each quartile)."""
+    found = votes.groupBy(*by).agg(F.sum(F.when(F.col("vote") == 1, F.col("n"))).alias("m"), *(F.kll_sketch_agg_double(q, F.lit(SKETCH_K)).alias(q) for q in QUARTILES))
+    # Two quantiles, so that of two sources neither is the middle.
+    middle = lambda q: (F.kll_sketch_get_quantile_double(q, F.lit(0.45)) + F.kll_sketch_get_quantile_double(q, F.lit(0.55))) / 2
+    return found.select(*by, "m", *(F.when(F.col("m").isNotNull(), middle(F.col(q))).alias(q) for q in QUARTILES))
+
+
+def _blend(n: Column, own: Column, typical: Column) -> Column:
+    weight = n / (n + F.lit(float(PRIOR)))
+    return F.when(own.isNull(), typical).otherwise(weight * own + (1 - weight) * typical)
+
+
 def fences(rows: DataFrame) -> DataFrame:
     """(lang, source, and per rate its low and high fence) from the documents that pass the base."""
     good = rows.where(~F.col("base_failed")).withColumns(rates())
     group = good.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATES))
-    group = kept(group, "sketches")
-    merged = lambda *by: group.groupBy(*by).agg(
-        F.sum("n").alias("m"), *(F.kll_merge_agg_double(r).alias(f"{r}_all") for r in RATES)
-    )
-    lang = merged("lang").withColumnRenamed("m", "m_lang").withColumnsRenamed({f"{r}_all": f"{r}_lang" for r in RATES})
-    every = merged().select(F.struct(*(f"{r}_all" for r in RATES)).alias("every"))
+    quartiles = (F.kll_sketch_get_quantile_double(r, F.lit(at)).alias(f"{r}_{q}") for r in RATES for q, at in (("q1", 0.25), ("q3", 0.75)))
+    group = kept(group.select("lang", "source", "n", *quartiles), "quartiles")
+    share = F.round(VOTES * F.col("n") / (F.col("n") + PRIOR)).cast("int")
+    votes = group.withColumn("vote", F.explode(F.sequence(F.lit(1), F.greatest(share, F.lit(1)))))
+    lang = _typical(votes, "lang").select("lang", F.struct("m", *QUARTILES).alias("typical"))
+    every = _typical(votes).select(F.struct(*QUARTILES).alias("every"))
     # All groups of the rows, also those in which no document passes the base.
     asked = rows.groupBy("lang", "source").agg(F.count("*").alias("asked"))
     joined = asked.join(group, ["lang", "source"], "left").join(lang, "lang", "left")
     one = every.withColumn("k", F.lit(1))
-    joined = joined.withColumn("k", F.lit(1)).join(one, "k", "left")
-    out = joined.select("lang", "source", *(
-        F.when(F.col("n") >= LEAST, F.col(r)).when(F.col("m_lang") >= LEAST, F.col(f"{r}_lang")).otherwise(F.col(f"every.{r}_all")).alias(r)
-        for r in RATES
-    ))
+    out = joined.withColumn("k", F.lit(1)).join(one, "k", "left")
+    out = out.withColumns({f"{q}_lang": _blend(F.col("typical.m"), F.col(f"typical.{q}"), F.col(f"every.{q}")) for q in QUARTILES})
+    out = out.withColumns({q: _blend(F.col("n"), F.col(q), F.col(f"{q}_lang")) for q in QUARTILES})
     for r, slack in RATES.items():
-        q1 = F.when(F.col(r).isNotNull(), F.kll_sketch_get_quantile_double(r, F.lit(0.25)))
-        q3 = F.when(F.col(r).isNotNull(), F.kll_sketch_get_quantile_double(r, F.lit(0.75)))
-        reach = REACH * (q3 - q1) + slack
-        out = out.withColumns({f"{r}_low": q1 - reach, f"{r}_high": q3 + reach})
+        for side, quartile, sign in (("low", "q1", -1.0), ("high", "q3", 1.0)):
+            own, typical = (F.col(f"{r}_{quartile}{of}") + sign * (REACH * (F.col(f"{r}_q3{of}") - F.col(f"{r}_q1{of}")) + slack) for of in ("", "_lang"))
+            out = out.withColumn(f"{r}_{side}", F.greatest(F.least(own, typical + DISTANCE * slack), typical - DISTANCE * slack))
     return out.select("lang", "source", *(f"{r}_{side}" for r in RATES for side in ("low", "high")))
 
 
