@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, routes, rows, snapshots
@@ -53,6 +54,23 @@ def test_a_day_that_turns_out_empty_loses_its_rows(spark, tmp_path):
     assert sorted(r.dateTime.day for r in spark.read.parquet(path).collect()) == [3]
 
 
+@pytest.mark.parametrize(("start", "end"), [("2024-01-01 06:00", "2024-01-02 06:00"), ("2024-01-01 06:00", "2024-01-02"), ("2024-01-01", "2024-01-01 12:00")])
+def test_a_cut_day_is_an_error_and_loses_nothing(spark, tmp_path, start, end):
+    path, snap = str(tmp_path / "fact"), snapshots(spark, [("1 05:00", {}), ("2 05:00", {})])
+    jobs.frequency_job(snap, routes(spark), "2024-01-01", "2024-01-03", path)
+    before = rows(spark.read.parquet(path))
+    ran = []
+    for job in (
+        lambda: jobs.frequency_job(snap, routes(spark), start, end, path),
+        lambda: jobs.travel_job(snap.limit(0), start, end, path, partial=True),
+        lambda: jobs.backfill(spark, path, start, end, lambda *span: ran.append(span)),
+        lambda: writers.append_fact(snap.limit(0), path, "dateTime", within=(start, end)),
+    ):
+        with pytest.raises(ValueError):
+            job()
+    assert rows(spark.read.parquet(path)) == before and not ran
+
+
 def test_yesterday():
     ran = []
     jobs.yesterday(lambda start, end: ran.append((start, end)), "2024-01-03 05:00:00")

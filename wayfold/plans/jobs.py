@@ -12,7 +12,7 @@ from wayfold.operators.spine import DAY, previous_day
 from wayfold.operators.trips import travel_by_bucket
 from wayfold.operators.visits import daily_frequency
 from wayfold.plans.timing import as_datetime, interval_count
-from wayfold.sources.writers import append_fact, days_present, mark_done
+from wayfold.sources.writers import append_fact, days_of, days_present, mark_done
 
 Time = str | datetime
 
@@ -20,12 +20,12 @@ Time = str | datetime
 def frequency_job(
     snap: DataFrame, routes: DataFrame, start: Time, end: Time, path: str, **options: object
 ) -> None:
-    """Daily frequency of every route and complete day, zero rows included."""
+    """Daily frequency of every route and day, zero rows included; the range is from midnight to midnight."""
     append_fact(daily_frequency(snap, routes, start, end, keep_empty=True, **options), path, within=(start, end))
 
 
 def travel_job(snap: DataFrame, start: Time, end: Time, path: str, **options: object) -> None:
-    """Mean trip minutes of every route and slot."""
+    """Mean trip minutes of every route and slot; the range is from midnight to midnight."""
     append_fact(travel_by_bucket(snap, start, end, **options), path, within=(start, end))
 
 
@@ -40,8 +40,9 @@ def backfill(
     """Run a job over each unbroken span of days the fact table lacks; returns those days.
 
     A table that is not there yet lacks all days. Days that were run and gave no rows are noted, so
-    they are not run for ever.
+    they are not run for ever. A range that does not begin and end at midnight is an error.
     """
+    days_of(start, end)
     first, have = as_datetime(start), days_present(spark, path)
     asked = [first + n * DAY for n in range(interval_count(start, end, DAY))]
     todo = [day for day in asked if day.date() not in have]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,11 +26,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def days_of(start: Time, end: Time) -> list[date]:
-    """The days that [start, end) touches."""
+    """The days of [start, end); an error unless both are midnights, as a cut day has rows outside the range."""
     first, last = as_datetime(start), as_datetime(end)
-    if last <= first:
-        return []
-    return [first.date() + timedelta(days=n) for n in range((last - timedelta(microseconds=1)).date().toordinal() - first.toordinal() + 1)]
+    if any(t.time() != time.min for t in (first, last)):
+        raise ValueError(f"the range of a write must begin and end at midnight, not {first} to {last}")
+    return [first.date() + timedelta(days=n) for n in range((last - first).days)]
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
@@ -67,7 +67,8 @@ def append_fact(
 ) -> None:
     """Write facts (or snapshots) by day; writing a day again replaces it, other days stay.
 
-    ``within`` is the range that was computed: a day of it that has no rows now loses those it had.
+    ``within`` is the range that was computed, from midnight to midnight: a day of it that has no rows now loses
+    those it had. Any other range is an error, raised before anything is written.
     The rebalance hint gives few files per day and splits a day that is too large for one task.
     """
     spark = df.sparkSession
