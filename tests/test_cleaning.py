@@ -214,3 +214,12 @@ def test_decimals_keep_the_digits_asked_for(spark):
 def test_a_density_chart_over_its_limit_is_an_error(spark):
     with pytest.raises(ValueError, match="longer"):
         charts.density(spark.range(0), "2024-01-01", "2024-01-03", longest="1 day")
+
+
+def test_plain_number_texts_hold_the_value(spark):
+    """No digit is lost to the places of a decimal."""
+    numbers = [1.0e-20, -1.0e-20, 1.2345e-15, 1.2345678901234567e-4, 1.5e-10, -2.5e7, 1.0e19, 1.0e300, 5e-324]
+    found = spark.createDataFrame([(x,) for x in numbers], "v double").select(quality.convert(F.col("v"), "VARCHAR")).collect()
+    assert [float(r[0]) for r in found] == numbers
+    assert [r[0] for r in found][:7] == ["1.0E-20", "-1.0E-20", "1.2345E-15", "1.2345678901234567E-4", "0.00000000015", "-25000000.0", "10000000000000000000.0"]
+    assert spark.createDataFrame([(1.0e-20,)], "v float").select(quality.convert(F.col("v"), "VARCHAR")).first()[0] == "1.0E-20"

@@ -154,7 +154,7 @@ def convert(value: Column, type_name: str, strict: bool = True) -> Column:
     """Conversion by SQL type name, with or without ``SQL_`` in front; TIME gives seconds.
 
     DECIMAL may be given its precision and scale, as in ``DECIMAL(38,18)``. Numbers become plain
-    text, without an exponent where 20 digits before the point are enough.
+    text, without an exponent where 20 digits before the point and 18 after it hold the same value.
     """
     name = type_name.strip().upper().removeprefix("SQL_")
     if re.fullmatch(r"DECIMAL\(\d+, *\d+\)", name):
@@ -171,4 +171,7 @@ def convert(value: Column, type_name: str, strict: bool = True) -> Column:
 def _plain_text(value: Column) -> Column:
     text = value.cast("string")
     plain = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.typeof(value).isin("double", "float") & text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+    number = F.typeof(value).isin("double", "float") & text.contains("E")
+    # Compared in the value's own type: a float's digits are those that give the float back.
+    same = F.when(F.typeof(value) == "float", plain.try_cast("float") == text.try_cast("float")).otherwise(plain.try_cast("double") == text.try_cast("double"))
+    return F.when(number & F.coalesce(same, F.lit(False)), plain).otherwise(text)
