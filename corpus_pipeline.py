@@ -20,10 +20,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of each group of near copies."""
-    groups = ngram_jaccard.jaccard_components(docs)
-    heads = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Keeps one row, the one with the smallest id (null last) and then hash of the row, of each group of near copies.
+
+    Rows that share an id but not a group are all kept. Equal rows count as one, but for rows without an id
+    and without shingles, which are no copies of each other.
+    """
+    parts = (F.coalesce(F.concat(F.lit("="), F.col(c).cast("string"), F.lit("\0")), F.lit("-\0")) for c in COLUMNS)
+    no_id, filled = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    rows = docs.select(*COLUMNS, F.struct(no_id.alias("no_id"), filled.alias("id"), F.md5(F.concat(*parts)).alias("hash")).alias("row"))
+    groups = ngram_jaccard.jaccard_components(rows, "row")
+    heads = groups.where("row = component_id").select("row", "n_shingles").distinct()
+    one = F.when(F.col("row.no_id") & (F.col("n_shingles") == 0), F.monotonically_increasing_id())
+    return rows.join(heads, "row").withColumn("one", one).dropDuplicates(["row", "one"]).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +42,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by the probabilities raked to source, language and topic targets."""
-    sampled = mixing.mix(docs).where("sampled").select("doc_id").distinct()
-    return docs.join(sampled, "doc_id", "left_semi").select(*COLUMNS)
+    """Samples rows, each by its own cell's probability, raked to source, language and topic targets.
+
+    A row without an id is drawn by the hash of its text, as all would share the hash of no id.
+    """
+    drawn = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    sampled = mixing.mix(docs.select(*COLUMNS, drawn.alias("drawn_by")), "drawn_by", keep=COLUMNS)
+    return sampled.where("sampled").select("kept.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,20 +78,23 @@ def rake(cells: DataFrame, marginals: Sequence[str], budget: float, temper: floa
 
 
 def mix(
-    documents: DataFrame, id_col: str = "doc_id", budget: float = 0.8, temper: float = 0.7, rounds: int = 8
+    documents: DataFrame, id_col: str = "doc_id", budget: float = 0.8, temper: float = 0.7, rounds: int = 8, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Every row's (id, source, lang, topic, n_tokens, p, sampled)."""
+    """Every row's (id, source, lang, topic, n_tokens, p, sampled), and the columns to keep as a struct ``kept``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select(
+    measures = [
         F.col(id_col).alias("__id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
         topic(text).alias("topic"), tokens(text).alias("n_tokens"),
-    )
-    rows = kept(rows, "mixed")
+    ]
+    rows = kept(documents.select(*measures), "mixed")
     by = ["source", "lang", "topic"]
     cells = kept(rows.groupBy(*by).agg(F.sum("n_tokens").alias("tokens")), "cells")
     raked = rake(cells, by, budget, temper, rounds).select(*by, "p")
+    if keep:
+        # Texts are read again instead of being written beside the measures.
+        rows = documents.select(*measures, F.struct(*keep).alias("kept"))
     out = rows.join(raked, by).withColumn("sampled", unit_hash(F.col("__id")) < F.col("p"))
-    return out.select(F.col("__id").alias(id_col), *by, "n_tokens", F.round("p", 6).alias("p"), "sampled")
+    return out.select(F.col("__id").alias(id_col), *by, "n_tokens", F.round("p", 6).alias("p"), "sampled", *(["kept"] if keep else []))
 
 
 def mix_sql(budget: float = 0.8, temper: float = 0.7, rounds: int = 8) -> str:
