@@ -85,6 +85,14 @@ def test_warc_notices_what_is_missing(spark):
         assert [r.intact for r in warc.read_archives(spark, path).collect()] == [name == "whole"]
 
 
+def test_warc_returns_a_record_without_its_first_segment(spark):
+    texts = list(warc.records(1, "http://a/", "q" * (3 * warc.SEGMENT), None, None))[1:] + list(warc.records(2, "http://b/", "whole", None, None))
+    path = fresh(spark, "warc-first")
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").repartition(3)
+    frame.write.option("lineSep", warc.END).option("compression", "gzip").text(path)
+    assert Counter((r.id, r.intact) for r in warc.read_archives(spark, path).collect()) == Counter({(None, False): 1, (2, True): 1})
+
+
 def test_chunks():
     for text in ("", "a", "é漢\U0001f600" * 999):
         framed = warc.chunked(text.encode(), 100)

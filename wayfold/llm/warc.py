@@ -14,7 +14,8 @@ Defined cases: a null payload is empty; repeated rows (same id, URL and payload)
 record identity and come back as often as they were written; rows that share the largest id are all
 responses; a null id never makes a response of a group that has an id, and payload groups without any
 id are responses; control and non-ASCII characters of URLs are percent-encoded in the header; a record with
-missing segments or a wrong length or digest comes back with ``intact`` false; extra columns are ignored.
+missing segments or a wrong length or digest comes back with ``intact`` false, and once with a null id where its first
+segment is missing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -218,13 +219,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
     found = kept(files.mapInArrow(run, _PARSED), "records")
     # Repeated rows have equal segments: one of each number is taken, and the first's count gives the rows back.
+    # Without its first segment a record comes back once, with neither id nor URL.
     segments = found.where("number IS NOT NULL").groupBy("origin", "number", "block").agg(
         F.count("*").alias("times"), F.max("id").alias("id"), F.max("url").alias("url"), F.max("total").alias("total"), F.max("digest").alias("digest")
     )
     whole = segments.groupBy("origin").agg(
-        F.max("id").alias("id"), F.max("url").alias("url"), F.max(F.when(F.col("number") == 1, F.col("times"))).alias("times"),
+        F.max("id").alias("id"), F.max("url").alias("url"), F.coalesce(F.max(F.when(F.col("number") == 1, F.col("times"))), F.lit(1)).alias("times"),
         F.max("total").alias("total"), F.max("digest").alias("digest"), F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"),
-    ).where("times IS NOT NULL")
+    )
     built = whole.select("id", "url", F.col("origin").alias("record"), "times", "total", "digest", "parts").mapInArrow(
         joined, "id bigint, url string, record string, times bigint, digest string, size bigint, intact boolean"
     )
