@@ -185,6 +185,13 @@ def test_dense_areas_merge_against_the_anchor_and_stop_at_n(spark):
     assert rows(density.dense_areas(points, n=3)) == [(43.1, -79.0, 2), (43.1025, -79.0, 1), (43.3, -79.0, 2)]
 
 
+def test_dense_areas_count_all_candidates(spark):
+    """Cells of an area beyond the 2n largest are counted if there are candidates enough."""
+    points = spark.createDataFrame([(n, 43.1 + n / 10_000, -79.1) for n in range(6)] + [(6, 43.1, -79.1)], "event_id int, lat double, lon double")
+    assert [r["count"] for r in density.dense_areas(points, n=1).collect()] == [3]
+    assert [r["count"] for r in density.dense_areas(points, n=1, candidates=10).collect()] == [7]
+
+
 def test_dense_areas_merge_distance_is_exact(spark):
     points = spark.createDataFrame([(0, 43.6003, -79.0), (1, 43.6023, -79.0)], "event_id int, lat double, lon double")
     assert density.dense_areas(points).count() == 2

@@ -54,17 +54,17 @@ def _merge(areas: Column, cell: Column, n: int, reach: float) -> Column:
 
 def dense_areas(
     points: DataFrame, n: int = AREAS, tol: float = MERGE_TOL, prec: int = CELL_PREC,
-    rate: float = 1.0, key: str = "event_id", seed: str = "areas",
+    rate: float = 1.0, key: str = "event_id", seed: str = "areas", candidates: int | None = None,
 ) -> DataFrame:
-    """The densest areas with their counts.
+    """The densest areas with their counts, which are lower bounds: cells that are not walked are not counted.
 
-    The 2n largest cells are walked in (lat, lon) order; a cell nearer than ``tol`` to the first
+    The ``candidates`` (2n, if not given) largest cells are walked in (lat, lon) order; a cell nearer than ``tol`` to the first
     cell of the current area joins it, any other opens an area while there are fewer than ``n``.
     With ``rate`` below 1 a reproducible sample is counted and scaled back. Counting and the top
-    cells are distributed; the walk sees at most 2n rows. Distances are exact, in grid steps.
+    cells are distributed; the walk sees at most ``candidates`` rows, in one task. Distances are exact, in grid steps.
     """
     sampled = hash_sample(points, key, rate, seed)
-    top = top_cells(_cells(sampled, prec), 2 * n)
+    top = top_cells(_cells(sampled, prec), 2 * n if candidates is None else candidates)
     reach = round(tol * 10**prec, 6)
     walk = top.agg(F.array_sort(F.collect_list(F.struct("lat", "lon", "count"))).alias("cells"))
     areas = F.aggregate(

@@ -51,14 +51,15 @@ def mean_travel(travel: DataFrame, routes: DataFrame, start: Time, end: Time) ->
 
 
 def density(
-    snap: DataFrame, start: Time, end: Time, rate: float = 1.0, longest: str | timedelta | None = None
+    snap: DataFrame, start: Time, end: Time, rate: float = 1.0, longest: str | timedelta | None = None,
+    candidates: int | None = None,
 ) -> DataFrame:
-    """Dense areas of the whole range. A range over ``longest``, if given, is an error; the helper
+    """Dense areas of the whole range; their counts cover the ``candidates`` largest cells. A range over ``longest``, if given, is an error; the helper
     ``clamp_range`` cuts one for callers who want that."""
     if longest is not None and as_datetime(end) - as_datetime(start) > as_delta(longest):
         raise ValueError(f"the range is longer than {longest}")
     rows = scan_range(snap, "dateTime", start, end).select("lat", "lon", "event_id")
-    return chart_json(dense_areas(rows, rate=rate), ["lat", "lon", "count"], ["count", "lat", "lon"])
+    return chart_json(dense_areas(rows, rate=rate, candidates=candidates), ["lat", "lon", "count"], ["count", "lat", "lon"])
 
 
 def path(snap: DataFrame, station: int, start: Time, end: Time, rate: float = 1.0) -> DataFrame:
