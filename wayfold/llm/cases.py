@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with SQL where it can express them."""
+"""The operators as queries over the given tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfold.llm import classifier, common, extraction, mixing, ngram_jaccard, quality_rules, sentencepiece_codec, suffix_dedup, topk, url_filters, warc
+from wayfold.llm import (
+    chat_format, chat_repair, classifier, common, extraction, mixing, ngram_jaccard, quality_rules, sentencepiece_codec, suffix_dedup, token_align, topk,
+    url_filters, warc,
+)
 
 #: Columns of the given tables; declared, so that a read opens no file to find them out.
 TABLES = {
@@ -14,8 +17,10 @@ TABLES = {
     "embeddings": "vec_id bigint, embedding array<float>, label int",
     "pages": "page_id bigint, url string, html string",
     "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 MODEL = os.environ.get("WAYFOLD_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+BYTES = os.environ.get("WAYFOLD_BYTES", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,11 +96,29 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repaired_digests(table(spark, sf_dir, "conversations"))
+
+
+#: Holds the template's own control strings, one of them escaped already.
+HARD_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.range(2).select(F.lit(-7).cast("bigint"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(HARD_TEXT))
+    formatted = chat_format.format_chats(table(spark, sf_dir, "conversations").unionAll(hard))
+    return chat_format.digests(formatted)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_documents(table(spark, sf_dir, "documents"), BYTES, MODEL)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_topk, op3_mixing, op4_url_filters, op5_ngram_jaccard, op6_warc, op7_html_extraction, op8_quality_rules,
-        op9_suffix_dedup, op10_quality_classifier,
+        op9_suffix_dedup, op10_quality_classifier, op11_structure_repair, op12_chat_formatting, op13_token_alignment,
     )
 }
 
@@ -107,6 +130,57 @@ def _digit(at: int) -> str:
     return f"('0x' || substr(md5(pattern), {at}, 2))::INT"
 
 
+def _repair_sql() -> str:
+    """The dynamic program as a recursive query; a state is {cost, audit, repaired lines}, and structs compare in that order."""
+    lost = "{'cost': 1000000, 'audit': '', 'lines': []::VARCHAR[]}"
+    least = lambda *x: f"list_sort([{', '.join(x)}])[1]"
+    step = lambda q, cost, letter, line: f"{{'cost': {q}.cost + {cost}, 'audit': {q}.audit || '{letter}', 'lines': {f'list_append({q}.lines, {line})' if line else f'{q}.lines'}}}"
+
+    def stay(q: str, role: str) -> str:
+        kept = step(q, "more", "K", "o.role || ':' || o.text")
+        return f"CASE WHEN must THEN {lost} WHEN initial = '{role[0]}' THEN {kept} ELSE {step(q, 'more + 1', 'R', f"'{role}:' || o.text")} END"
+
+    return rf"""
+        WITH RECURSIVE k AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))),
+                4294967295) % 20 AS kind FROM conversations),
+        d AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, row_number() OVER () AS i
+            FROM k, generate_series(1, CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+        f AS (
+            SELECT *, row_number() OVER w AS n, left(role, 1) AS initial, left(lag(role) OVER w, 1) AS before,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, i) > 1 THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+            FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, i)),
+        o AS (SELECT *, fault IN ('blank', 'duplicate') AS must, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more FROM f),
+        r AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS n, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS z, {lost} AS s,
+                   {{'cost': 5, 'audit': 'I', 'lines': ['user:']}} AS u, {{'cost': 10, 'audit': 'II', 'lines': ['user:', 'assistant:']}} AS a FROM conversations
+            UNION ALL
+            SELECT conv_id, n, z, s, u, {least("a", step("u", 5, "I", "'assistant:'"))} FROM (
+                SELECT conv_id, n, z, s, {least("u", *(step(q, 5, "I", "'user:'") for q in "zsa"))} AS u, a FROM (
+                    SELECT r.conv_id, o.n, {step("z", 2, "D", "")} AS z,
+                           {least(step("s", 2, "D", ""), f"CASE WHEN NOT must AND initial = 's' THEN {step('z', 'more', 'K', "o.role || ':' || o.text")} ELSE {lost} END")} AS s,
+                           {least(step("u", 2, "D", ""), *(stay(q, "user") for q in "zsa"))} AS u,
+                           {least(step("a", 2, "D", ""), stay("u", "assistant"))} AS a
+                    FROM r JOIN o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.n = r.n + 1))),
+        e AS (SELECT conv_id, {least("z", "a")} AS best FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) AS back FROM r) WHERE back = 1),
+        c AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM f GROUP BY conv_id)
+        SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, CASE WHEN c.gaps IS NULL THEN 0 ELSE best.cost END::BIGINT AS cost,
+               CASE WHEN c.gaps IS NULL THEN '' ELSE best.audit END AS audit,
+               sha256(CASE WHEN c.gaps IS NULL THEN '' ELSE array_to_string(best.lines, chr(10)) END) AS repaired_sha256
+        FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 SQL = {
     "op2_topk": """
         WITH v AS (
@@ -160,4 +234,15 @@ SQL = {
                CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, true AS intact
         FROM d""",
+    "op11_structure_repair": _repair_sql(),
+    "op12_chat_formatting": rf"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '{HARD_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{HARD_TEXT}')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(15 + length(role) + length(text) + len(regexp_extract_all(text, '### |</turn>'))) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id""",
 }
