@@ -104,6 +104,46 @@ def test_repeats_are_cut(docs, span, crowd):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == want
 
 
+def cut_passages(texts, n):
+    """(the text if it stays whole, words cut, runs of them, words left): cut is what a string of n words covers that
+    also starts anywhere else."""
+    split = [WORD.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[k : k + n]) for w in split for k in range(len(w) - n + 1))
+    out = []
+    for t, w in zip(texts, split, strict=True):
+        gone = {k + j for k in range(len(w) - n + 1) if seen[tuple(w[k : k + n])] > 1 for j in range(n)}
+        runs = sum(k - 1 not in gone for k in gone)
+        out.append((None if gone else t or "", len(gone), runs, [x for k, x in enumerate(w) if k not in gone]))
+    return out
+
+
+@pytest.mark.parametrize(("n", "crowd"), [(50, suffix_dedup.CROWD), (12, suffix_dedup.CROWD), (12, 200)])
+def test_passages_are_cut_by_words(docs, n, crowd):
+    """Also where white space differs, words are short (50 words are 99 bytes) or long, and passages touch."""
+    rng = random.Random(8)
+    rows = corpus()
+    short = " ".join(rng.choice("abcdefghij") for _ in range(60))
+    long = " ".join("é" * 40 + str(rng.randrange(10**6)) for _ in range(55))
+    spaced = words_of(rng, 70)
+    extra = [f"{words_of(rng, 9)} {short} tail {k}" for k in range(3)] + [f"head {k} {long}" for k in range(2)] + [f"{long}\n{short}", spaced, spaced.replace(" ", " \n")]
+    rows += [(5000 + k, t, "en", "a", 0, "", "") for k, t in enumerate(extra)]
+    frame = docs.unionAll(docs.sparkSession.createDataFrame(rows[-len(extra) :], DOCS))
+    got = suffix_dedup.without_passages(frame, n, keep=("lang",), crowd=crowd).collect()
+    want = cut_passages([r[1] for r in rows], n)
+    have = Counter((r.doc_id, r.lang, r.n_removed, r.n_passages, tuple(WORD.findall(r.text))) for r in got)
+    assert have == Counter((r[0], r[2], gone, runs, tuple(left)) for r, (_, gone, runs, left) in zip(rows, want, strict=True))
+    whole = Counter((r[0], text) for r, (text, *_) in zip(rows, want, strict=True) if text is not None)
+    assert not whole - Counter((r.doc_id, r.text) for r in got)
+
+
+def test_a_passage_goes_with_the_blank_behind_it(spark):
+    passage = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, f"Before. {passage}\n After é."), (2, f"{passage}"), (3, f"x {passage} "), (4, passage[:-4])]
+    got = suffix_dedup.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_removed, r.n_passages) for r in got} == {1: ("Before. After é.", 50, 1), 2: ("", 50, 1), 3: ("x ", 50, 1), 4: (passage[:-4], 0, 0)}
+    assert suffix_dedup.without_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_multikey_groups():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 2, 3000).astype(np.uint8)

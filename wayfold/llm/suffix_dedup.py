@@ -41,6 +41,7 @@ PIECE = 1 << 22  # windows handled at a time
 CHUNK = 16 << 20  # bytes of contexts compared at a time
 CROWD = 4 << 20  # bytes of contexts with the same leading bytes that are compared in one task
 SALTS = 16
+CODE = 8  # letters of a word's code
 _rolling = Rolling()
 
 
@@ -277,20 +278,24 @@ def repeated_ranges(found: DataFrame, span: int, crowd: int) -> DataFrame:
     return ranges.unionByName(crowded_ranges(crowded, span)) if some else ranges
 
 
-def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 400, keep: tuple[str, ...] = (), crowd: int = CROWD) -> DataFrame:
-    """(id, the columns ``keep``, kept binary, n_bytes, n_removed, n_spans) of every row; see the module's text."""
-    if span < GRAM + 16:
-        raise ValueError(f"span must be {GRAM + 16} at least")
-    small_batches(documents.sparkSession)
-    sc = documents.sparkSession.sparkContext
-    texts = documents.select(F.col("text").cast("string").alias("text"))
-    bits = sc.broadcast(frequent_slots(texts, lambda b: _anchor_hashes(b, span), 2))
+def repeated_spans(texts: DataFrame, span: int, crowd: int = CROWD) -> DataFrame:
+    """(key, spans): by the SHA-256 of each text that has repeats, its runs {at, first, last}; a repeated range goes from
+    ``at + first`` to ``at + last + span``."""
+    bits = texts.sparkSession.sparkContext.broadcast(frequent_slots(texts, lambda b: _anchor_hashes(b, span), 2))
     found = kept(runs(texts, span, bits), "runs")
     ranges = kept(repeated_ranges(found, span, crowd), "ranges")
-    spans = (
+    return (
         found.select("key", "at", "digest").join(ranges, "digest")
         .groupBy("key").agg(F.collect_set(F.struct("at", "first", "last")).alias("spans"))
     )
+
+
+def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 400, keep: tuple[str, ...] = (), crowd: int = CROWD) -> DataFrame:
+    """(id, the columns ``keep``, kept binary, n_bytes, n_removed, n_spans) of every row; see the module's text."""
+    if span < GRAM + 16:
+        raise ValueError(f"span must be {GRAM + 16} at least")
+    small_batches(documents.sparkSession)
+    spans = repeated_spans(documents.select(F.col("text").cast("string").alias("text")), span, crowd)
     rows = documents.select(
         F.col(id_col).alias("__id"), *(F.col(c).alias(f"__{c}") for c in keep), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("key", F.unhex(F.sha2("text", 256)))
@@ -320,3 +325,96 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", span: int = 40
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep) + 1])
     done = joined.mapInArrow(cut, f"{own}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
     return done.select(F.col("__id").alias(id_col), *(F.col(f"__{c}").alias(c) for c in keep), "kept", "n_bytes", "n_removed", "n_spans")
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words `[^\\x20\\x09-\\x0D]+`; a word ends with its text."""
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    inside = np.concatenate([~space, [False]])
+    first = inside[:-1] & ~np.concatenate([[False], inside[:-2]]) if len(data) else inside[:0]
+    cuts = offsets[1:-1][offsets[1:-1] < len(data)]
+    first[cuts] |= inside[cuts]
+    last = inside[:-1] & ~inside[1:]
+    last[cuts[cuts > 0] - 1] |= inside[cuts[cuts > 0] - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def codes_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every word as CODE letters of its hash, without blanks, and where each text's codes end."""
+    starts, ends = words_of(data, offsets)
+    hashes = mix(_rolling.ranges(_rolling.sums(data), starts, ends))
+    letters = np.empty((len(starts), CODE), np.uint8)
+    for k in range(CODE):
+        letters[:, k] = 48 + ((hashes >> np.uint64(6 * k)) & np.uint64(63)).astype(np.uint8)
+    return letters.ravel(), CODE * np.searchsorted(starts, offsets[1:], side="left")
+
+
+def coded(texts: DataFrame) -> DataFrame:
+    """Each text as its words' codes, all of one width: a string of n words is one of n * CODE bytes."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in slices(text_column(batch)):
+                letters, ends = codes_of(data, offsets)
+                places = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(end - first, places, pa.py_buffer(letters.tobytes()))], ["text"])
+
+    return texts.mapInArrow(task, "text string")
+
+
+def without_passages(documents: DataFrame, words: int = 50, id_col: str = "doc_id", keep: tuple[str, ...] = (), crowd: int = CROWD) -> DataFrame:
+    """(id, the columns ``keep``, text, n_removed, n_passages) of every row: passages of ``words`` words or more that occur anywhere
+    else are cut, whatever their bytes and the white space between the words; n_removed counts words.
+
+    Words are coded by hashes of one width, so the same suffix array finds them as strings of ``words * CODE`` bytes. All
+    occurrences go: which one is first would hang on the order of the documents, and what many documents share is seldom of
+    one of them. A passage goes with the white space behind it. A null text is an empty one, and short texts stay as they are."""
+    span = words * CODE
+    if span < GRAM + 16:
+        raise ValueError(f"a passage must have {-(-(GRAM + 16) // CODE)} words at least")
+    small_batches(documents.sparkSession)
+    spans = repeated_spans(coded(documents.select(F.col("text").cast("string").alias("text"))), span, crowd)
+    rows = documents.select(
+        F.col(id_col).alias("__id"), *(F.col(c).alias(f"__{c}") for c in keep), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    width = len(keep) + 1
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:width])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys: list[bytes] = []
+            for _, _, data, offsets in slices(text_column(batch)):
+                letters, ends = codes_of(data, offsets)
+                whole, cuts = letters.tobytes(), [0, *ends.tolist()]
+                keys += [hashlib.sha256(whole[a:b]).digest() for a, b in zip(cuts, cuts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "key"])
+
+    joined = rows.mapInArrow(keyed, f"{own}, text string, key binary").join(spans, "key", "left").drop("key")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, removed, passages = [], [], []
+            for text, marks in zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist(), strict=True):
+                found: list[list[int]] = []
+                for s, e in sorted((-(-(a + m["first"]) // CODE), (a + m["last"] + span) // CODE) for m in marks or () for a in m["at"]):
+                    if e - s >= words and found and s <= found[-1][1]:
+                        found[-1][1] = max(found[-1][1], e)
+                    elif e - s >= words:
+                        found.append([s, e])
+                if found:
+                    data = text.encode()
+                    starts, _ = words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+                    edges = [*starts.tolist(), len(data)]
+                    at, rest = 0, []
+                    for s, e in found:
+                        rest.append(data[at : edges[s]])
+                        at = edges[e]
+                    text = b"".join([*rest, data[at:]]).decode()
+                texts.append(text)
+                removed.append(sum(e - s for s, e in found))
+                passages.append(len(found))
+            made = [pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(passages, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], [*batch.schema.names[:width], "text", "n_removed", "n_passages"])
+
+    done = joined.mapInArrow(cut, f"{own}, text string, n_removed bigint, n_passages bigint")
+    return done.select(F.col("__id").alias(id_col), *(F.col(f"__{c}").alias(c) for c in keep), "text", "n_removed", "n_passages")
