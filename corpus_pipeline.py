@@ -35,10 +35,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes and more that occur elsewhere out of every text; what is left of a character that is cut in two becomes U+FFFD."""
-    cut = suffix_dedup.without_repeats(docs, keep=("lang", "source"))
-    text = F.make_valid_utf8(F.col("kept").cast("string"))
-    return cut.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("bigint").alias("n_chars"))
+    """Cuts passages of 50 words and more that occur elsewhere out of every text, all their occurrences: which one is the
+    first would hang on the order of the documents. A text that is one such passage stays as an empty one. Columns
+    other than those of ``documents`` are dropped, here as in every stage."""
+    cut = suffix_dedup.without_passages(docs, keep=("lang", "source"))
+    return cut.select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
