@@ -246,6 +246,8 @@ def repair(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     piece = F.array_sort(F.collect_list(F.struct("place", "symbol"))).alias("rows")
     pieces = marked.groupBy("conv_id", F.shiftright("place", PIECE).alias("piece")).agg(piece)
     pieces = pieces.select("conv_id", F.struct("piece", F.col("rows.place").alias("places"), F.array_join("rows.symbol", "").alias("symbols")).alias("piece"))
+    # Symbols are few bytes for the time they take: dealt to a fixed number of tasks, which adaptive execution leaves as it is.
+    pieces = pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id")
     whole = pieces.groupBy("conv_id").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     kind = whole.schema["conv_id"].dataType.simpleString()
     solved = kept(whole.mapInArrow(_solve, f"conv_id {kind}, cost bigint, illegal bigint, audit string, places array<bigint>, edits array<string>"), "audits")
