@@ -10,7 +10,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from wayfold.operators import density, endpoints, placement, quality, sampling, spine
+from wayfold.operators import density, endpoints, placement, quality, rollup, sampling, spine
+from wayfold.plans import ranking
 from wayfold.plans.ranking import top_per_group
 from wayfold.plans.timing import as_delta, interval_count
 
@@ -139,3 +140,73 @@ def test_changes_replay_like_a_dictionary(spark):
     frame = spark.createDataFrame(changes, "id int, v string, op string, n int")
     found = endpoints.apply_changes(base, frame.repartition(9), ["id"], "op", ["n"])
     assert dict(tuple(r) for r in found.collect()) == table
+
+
+def _walked(points, reach):
+    cells, out = {}, []
+    for a, b in points:
+        cells[a, b] = cells.get((a, b), 0) + 1
+    for (a, b), n in sorted(cells.items()):
+        if out and (a - out[-1][0]) ** 2 + (b - out[-1][1]) ** 2 < reach * reach:
+            out[-1][2] += n
+        else:
+            out.append([a, b, n])
+    return sorted(map(tuple, out))
+
+
+AREA_SHAPES = {
+    "block": lambda r: [(r.randrange(120), r.randrange(-60, 60)) for _ in range(2500)],
+    "line that never meets itself": lambda r: [(k * 3, 0) for k in range(300)] + [(2500 + k, k % 7) for k in range(100)],
+    "thin road": lambda r: [(k + r.randrange(3), r.randrange(-3, 3)) for k in range(600)],
+    "far apart": lambda r: [(r.randrange(-5000, 5000), r.randrange(5000)) for _ in range(600)] * 2,
+    "one cell": lambda r: [(5, -5)] * 9,
+}
+
+
+@pytest.mark.parametrize("shape", AREA_SHAPES)
+@pytest.mark.parametrize("tol", [0.002, 0.00055])
+def test_all_areas_equal_a_sequential_walk(spark, shape, tol):
+    points = AREA_SHAPES[shape](random.Random(3))
+    frame = spark.createDataFrame([(a / 1e4, b / 1e4) for a, b in points] + [(None, 1.0)], "lat double, lon double").repartition(5)
+    found = density.all_areas(frame, tol=tol).collect()
+    assert sorted((round(r.lat * 1e4), round(r.lon * 1e4), r["count"]) for r in found) == _walked(points, tol * 1e4)
+
+
+def test_the_densest_areas_are_whole(spark):
+    points = AREA_SHAPES["block"](random.Random(4))
+    frame = spark.createDataFrame([(a / 1e4, b / 1e4) for a, b in points], "lat double, lon double")
+    want = sorted((-n, a, b) for a, b, n in _walked(points, 20))[:5]
+    assert [(-r["count"], round(r.lat * 1e4), round(r.lon * 1e4)) for r in density.dense_areas_exact(frame, n=5).collect()] == want
+    assert density.all_areas(frame.where("false")).count() == 0
+    with pytest.raises(ValueError):
+        density.all_areas(frame, tol=0)
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_positions_in_an_order(spark, equal):
+    """Also where a third of all rows are the same."""
+    rng = random.Random(6)
+    rows = [(rng.randrange(40), rng.choice([None, "a", "b"]), n) for n in range(900)]
+    rows = [(7, "a", 0) if equal and n % 3 == 0 else r for n, r in enumerate(rows)]
+    frame = spark.createDataFrame(rows, "k int, s string, n int").repartition(6)
+    order = [F.desc("k"), F.asc_nulls_last("s")]
+    key = lambda r: (-r[0], r[1] is None, r[1] or "")
+    want = sorted(rows, key=key)
+    found = sorted(map(tuple, ranking.numbered(frame, order, "at").collect()), key=lambda r: r[3])
+    assert [r[3] for r in found] == list(range(900))
+    assert [key(r) for r in found] == [key(r) for r in want] and sorted(map(repr, (r[:3] for r in found))) == sorted(map(repr, rows))
+    for n in (0, 450, 899, 900):
+        near, far = (rollup.nth_row(frame, order, n, far=f).collect() for f in (1000, 0))
+        assert near == far and len(far) == (n < 900)
+    near, far = (rollup.cap_rows(frame, order, 450, far=f).collect() for f in (1000, 0))
+    assert near == far and [key(r) for r in far] == [key(r) for r in want[:450]]
+
+
+def test_a_far_row_needs_no_single_task(spark):
+    """The only plan node of one partition counts rows of partitions."""
+    frame = spark.range(5000).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("m"))
+    plan = rollup.cap_rows(frame, ["m"], 2500, far=0)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(single) == 1 and "rangepartitioning" in plan
+    assert "HashAggregate" in plan[plan.index("SinglePartition") : plan.index("SinglePartition") + 400]

@@ -8,10 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.plans.joins import join_dim
+from wayfold.plans.ranking import numbered, tie_break
 from wayfold.sources.readers import scan_range
 
 # Fixed value: bars in a summary chart.
 TOP = 10
+#: Up to so many rows are kept by every task and met in one; further rows are found by their position.
+FAR = 10_000
 
 
 def display_name(station_id: Column, name: Column) -> Column:
@@ -73,14 +76,20 @@ def distinct_ids(df: DataFrame, cols: Sequence[str] = ("vehicle_id",)) -> DataFr
     return df.select(*cols).distinct()
 
 
-def nth_row(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """The row at position ``n``, counted from 0."""
-    return df.orderBy(*order).offset(n).limit(1)
+def nth_row(df: DataFrame, order: Sequence[str | Column], n: int, far: int = FAR) -> DataFrame:
+    """The row at position ``n``, counted from 0; of rows equal in ``order``, by a hash of the row."""
+    if n < far:
+        return df.orderBy(*order, tie_break(df)).offset(n).limit(1)
+    return numbered(df, order, "__at").where(F.col("__at") == n).drop("__at")
 
 
-def cap_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """At most ``n`` rows of the whole result; 0 means no cap."""
-    return df.orderBy(*order).limit(n) if n else df.orderBy(*order)
+def cap_rows(df: DataFrame, order: Sequence[str | Column], n: int, far: int = FAR) -> DataFrame:
+    """At most ``n`` rows of the whole result; 0 means no cap. Rows equal in ``order`` are ordered by a hash of the row."""
+    if not n:
+        return df.orderBy(*order)
+    if n <= far:
+        return df.orderBy(*order, tie_break(df)).limit(n)
+    return numbered(df, order, "__at").where(F.col("__at") < n).orderBy("__at").drop("__at")
 
 
 def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -25,6 +25,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: what reads it starts there, also after executors are lost."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def days_of(start: Time, end: Time) -> list[date]:
     """The days of [start, end); an error unless both are midnights, as a cut day has rows outside the range."""
     first, last = as_datetime(start), as_datetime(end)

@@ -76,6 +76,45 @@ def _(spark, sf):
     return density.dense_areas(snap(spark, sf), tol=0.0012)
 
 
+def _exact_areas(rows: str, tol: int, limit: str) -> str:
+    """The walk over all cells, one after the other."""
+    near = f"((t.a - w.a) * (t.a - w.a) + (t.b - w.b) * (t.b - w.b)) < {tol * tol}"
+    walk = f"""
+        SELECT i, a, b, n FROM top WHERE i = 1
+        UNION ALL
+        SELECT t.i, CASE WHEN {near} THEN w.a ELSE t.a END, CASE WHEN {near} THEN w.b ELSE t.b END, t.n
+        FROM walk w JOIN top t ON t.i = w.i + 1"""
+    select = f"""
+        SELECT a / 10000::DOUBLE AS lat, b / 10000::DOUBLE AS lon, CAST(sum(n) AS BIGINT) AS count
+        FROM walk GROUP BY a, b ORDER BY count DESC, lat, lon {limit}"""
+    text = sql(select, "snap", rows=rows, cells=CELLS_SQL, top="SELECT *, row_number() OVER (ORDER BY a, b) AS i FROM cells", walk=walk)
+    return text.replace("WITH snap", "WITH RECURSIVE snap", 1)
+
+
+#: The snapshots, each moved a little by its number: many cells, some of them in rows far apart.
+SCATTER = (("lat", "(event_id * 7919) % 3001"), ("lon", "(event_id * 104729) % 4001"))
+
+
+def _scattered(spark, sf):
+    moved = {c: F.col(c) + F.expr(f"cast({e} AS double) / 1e5D + if(event_id % 3 = 0, 0.5D, 0D)") for c, e in SCATTER}
+    return snap(spark, sf).withColumns(moved)
+
+
+_SCATTERED_SQL = "SELECT " + ", ".join(
+    f"{c} + (CAST({e} AS DOUBLE) / 1e5::DOUBLE + CASE WHEN event_id % 3 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END) AS {c}" for c, e in SCATTER
+) + " FROM snap"
+
+
+@case("dense_areas_exact", _exact_areas("SELECT * FROM snap", 20, "LIMIT 20"))
+def _(spark, sf):
+    return density.dense_areas_exact(snap(spark, sf))
+
+
+@case("all_areas", _exact_areas(_SCATTERED_SQL, 20, ""))
+def _(spark, sf):
+    return density.all_areas(_scattered(spark, sf))
+
+
 SAMPLE = "substr(md5('{}' || event_id), 1, 8) < '80000000'"
 
 

@@ -123,6 +123,30 @@ def _(spark, sf):
     return rollup.cap_rows(orders, [F.desc("o_totalprice"), "o_orderkey"], 500)
 
 
+ITEMS = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+_HALF = "(SELECT count(*) // 2 FROM lineitem)"
+
+
+@case("nth_row_far", f"SELECT {', '.join(ITEMS)} FROM lineitem ORDER BY {', '.join(ITEMS)} LIMIT 1 OFFSET {_HALF}")
+def _(spark, sf):
+    """The line item in the middle."""
+    items = table(spark, sf, "lineitem").select(*ITEMS)
+    return rollup.nth_row(items, ITEMS, items.count() // 2, far=0)
+
+
+@case(
+    "cap_rows_far",
+    f"""SELECT l_shipdate, count(*) AS items, CAST(sum(l_orderkey) AS BIGINT) AS keys
+        FROM (SELECT {', '.join(ITEMS)} FROM lineitem ORDER BY l_shipdate DESC, {', '.join(ITEMS[1:])} LIMIT {_HALF})
+        GROUP BY l_shipdate""",
+)
+def _(spark, sf):
+    """The newer half of all line items, by day."""
+    items = table(spark, sf, "lineitem").select(*ITEMS)
+    half = rollup.cap_rows(items, [F.desc("l_shipdate"), *ITEMS[1:]], items.count() // 2, far=0)
+    return half.groupBy("l_shipdate").agg(F.count("*").alias("items"), F.sum("l_orderkey").alias("keys"))
+
+
 ENDPOINTS_SQL = """
     SELECT station_id, s.stop_lat AS start_lat, CAST(s.stop_lon AS DOUBLE) AS start_lon,
            e.stop_lat AS end_lat, CAST(e.stop_lon AS DOUBLE) AS end_lon
