@@ -55,21 +55,19 @@ def apply_changes(
 ) -> DataFrame:
     """``base`` after keyed changes; ``op_col`` says ``insert``, ``update`` or ``delete``.
 
-    The last change of a key in ``order`` wins. It is found with an aggregate, so many changes of
-    one key are folded before the shuffle. Keys are unique on both sides of the join then, so it
-    has no hot key; a base that is bucketed by its key is not shuffled.
+    The last change of a key in ``order`` wins. It is found with an aggregate, so many changes of one key are folded before
+    the shuffle. Rows whose key is not changed pass an anti join, and the last changes are added to them: where
+    the changed keys are few enough to be broadcast, the base is not shuffled at all, nor is one bucketed by its key.
     """
     missing = [k for k in keys if k not in base.columns or k not in changes.columns]
     if not keys or missing:
         raise ValueError(f"changes need the full primary key, missing: {missing or 'all'}")
     values = [c for c in base.columns if c not in keys]
-    newest = F.max_by(F.struct(op_col, *values), F.struct(*order))
+    newest = F.max_by(F.struct(op_col, *[F.col(v).alias(f"__{v}") for v in values]), F.struct(*order))
     last = changes.groupBy(*keys).agg(newest.alias("__new"))
-    kept = (
-        base.select(*keys, F.struct(*values).alias("__old"))
-        .join(last, list(keys), "full")
-        .where(F.col("__new").isNull() | (F.col(f"__new.{op_col}") != "delete"))
+    same = base.join(last.select(*keys), list(keys), "left_anti")
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+    made = last.where(F.col(f"__new.{op_col}") != "delete").select(
+        *[F.col(k).cast(kinds[k]).alias(k) for k in keys], *[F.col(f"__new.__{v}").cast(kinds[v]).alias(v) for v in values]
     )
-    changed = F.col("__new").isNotNull()
-    merged = [F.when(changed, F.col("__new")[v]).otherwise(F.col("__old")[v]).alias(v) for v in values]
-    return kept.select(*keys, *merged).select(*base.columns)
+    return same.select(*base.columns).unionAll(made.select(*base.columns))
