@@ -82,4 +82,16 @@ def test_stop_times_are_read_once(spark):
 
 def test_a_histogram_shuffles_no_values(spark):
     text = plan(spark, "histogram")
-    assert text.count("hashpartitioning(") == 1 and "hashpartitioning(_groupingexpression" in text
+    assert "hashpartitioning(" not in text and "Window" not in text
+    text = plan(spark, "histogram_by_type")
+    keys = [line.split("hashpartitioning(")[1] for line in text.splitlines() if "hashpartitioning(" in line]
+    assert keys and all(k.startswith("event_type") and "value" not in k for k in keys)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_final_runs_are_shuffled_once(spark):
+    """Each branch of the union ends in the one shuffle of records; only edge runs have one more."""
+    text = plan(spark, "direction_runs")
+    by_slice = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "__slice" in line]
+    others = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "__slice" not in line]
+    assert len(by_slice) == 2 and len(others) == 1

@@ -210,3 +210,32 @@ def test_a_far_row_needs_no_single_task(spark):
     single = [line for line in plan.splitlines() if "SinglePartition" in line]
     assert len(single) == 1 and "rangepartitioning" in plan
     assert "HashAggregate" in plan[plan.index("SinglePartition") : plan.index("SinglePartition") + 400]
+
+
+@pytest.mark.parametrize(("stretches", "together"), [(1024, 1_000_000), (7, 50), (1, 10)])
+def test_placement_by_a_table_equals_that_by_a_list(spark, stretches, together):
+    """Hot keys, keys under the lowest bound, null keys, keys that are bounds; bounds few and many."""
+    rng = random.Random(9)
+    keys = [None, -5, 0] + [rng.randrange(-100, 5000) for _ in range(500)] + [1234] * 300
+    frame = spark.createDataFrame([(k, n, "clash") for n, k in enumerate(keys)], "key long, n int, bound string").repartition(4)
+    for count in (1, 5, 300):
+        own = [(b, f"g{b % 11}") for b in rng.sample(range(0, 4000), count)]
+        table = spark.createDataFrame([*own, (None, "none")], "bound long, `group` string")
+        got = placement.place_range_by(frame, "key", table, stretches=stretches, together=together)
+        assert got.columns == ["key", "n", "bound", "group"]
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, placement.place_range(frame, "key", own).collect()))
+        hashed = [(hashlib.md5(str(n).encode()).hexdigest().upper(), f"h{n % 7}") for n in range(count)]
+        table = spark.createDataFrame(hashed, "bound string, `group` string")
+        got = placement.place_hash_by(frame, "key", table, "home", stretches, together)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, placement.place_hash(frame, "key", hashed, "home").collect()))
+    with pytest.raises(ValueError):
+        placement.place_range_by(frame, "key", table.where("false"))
+
+
+def test_a_million_bounds_stay_in_tasks(spark):
+    bounds = spark.range(1_000_000).select((F.col("id") * 7).alias("bound"), F.concat(F.lit("g"), F.col("id")).alias("group"))
+    rows = spark.range(200_000).select((F.col("id") * 37 - 50).alias("key"))
+    got = placement.place_range_by(rows, "key", bounds)
+    want = F.when(F.col("key") >= 0, F.concat(F.lit("g"), F.least(F.floor(F.col("key") / 7), F.lit(999_999))))
+    assert got.where(~F.col("group").eqNullSafe(want)).count() == 0 and got.count() == 200_000
+    assert got.select("group").distinct().count() > 180_000

@@ -48,53 +48,66 @@ def duration_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
     )
 
 
-def _fill_buckets(every: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join on group and bucket; null is a group like any other."""
-    key = "__key"
-    right = counts.select(F.struct(*by, "bucket").alias(key), "count")
-    return every.withColumn(key, F.struct(*by, "bucket")).join(right, key, "left").drop(key)
+def moments(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Partial statistics per group, one row each, that :func:`merge_moments` adds up: ``n``, ``mean``, ``m2`` (squared distances
+    from the mean), ``lowest`` and ``highest``. Kept per day, they let a long range read days and not rows."""
+    v = F.col(value).cast("double")
+    found = df.groupBy(*by).agg(
+        F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_pop(v).alias("__var"), F.min(v).alias("lowest"), F.max(v).alias("highest")
+    )
+    m2 = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.col("__var") * F.col("n"))
+    return found.where("n > 0").select(*by, "n", "mean", m2.alias("m2"), "lowest", "highest")
+
+
+def merge_moments(partials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same columns for coarser groups. All sums are of distances from one partial mean of the group, so that large values
+    lose no digits; that mean comes from a first aggregate, and both fold map side."""
+    by = list(by)
+    centres = partials.groupBy(*by).agg(F.min("mean").alias("__c"))
+    if by:
+        beside = join_stats(partials, centres, by)
+    else:
+        beside = partials.withColumn("__c", centres.scalar())
+    off = F.col("mean") - F.col("__c")
+    sums = beside.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.min("__c").alias("__c"), F.sum(F.col("n") * off).alias("__s"),
+        F.sum(F.col("m2") + F.col("n") * off * off).alias("__q"), F.min("lowest").alias("lowest"), F.max("highest").alias("highest"),
+    ).where("n > 0")
+    apart = F.col("__s") / F.col("n")
+    m2 = F.greatest(F.col("__q") - F.col("__s") * apart, F.lit(0.0))
+    return sums.select(*by, "n", (F.col("__c") + apart).alias("mean"), m2.alias("m2"), "lowest", "highest")
+
+
+def summary_of(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`duration_summary` from moments."""
+    return found.select(*by, F.col("highest").alias("longest"), F.col("lowest").alias("shortest"), F.col("mean").alias("average"), F.col("n").alias("count"))
 
 
 def histogram20(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact histogram: ``bucket``, its ``breakpoint``, the ``count``, and a star ``bar``.
 
     Breakpoints begin at the minimum, 1.25/20 of the range apart but at least 1; a value falls in
-    the first bucket whose breakpoint is not below it. Of a whole table the bounds are one row, a
-    scalar subquery, and each task counts its own values per bucket: only 20 rows a task are shuffled.
-    With groups, whose number is not known, equal values are counted before the join with the bounds,
-    and both passes share that work.
+    the first bucket whose breakpoint is not below it. The bounds are a first aggregate: of a whole table one row, a
+    scalar subquery; with groups a row each, joined as any dimension. Each task then counts into a vector of 20 per
+    group, so neither aggregate shuffles values, and empty buckets need no join.
     """
-    by = list(by)
-    v = F.col("__v")
-    values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"), F.lit(1).cast("bigint").alias("__n"))
-    if by:
-        values = values.groupBy(*by, "__v").agg(F.sum("__n").alias("__n"))
+    by, v = list(by), F.col("__v")
+    values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
     width = F.greatest(F.lit(1.0), (F.max(v) - F.min(v)) / F.lit(BUCKETS) * F.lit(STRETCH))
-    # The row count keeps the bounds reading the same shuffled values as the counts.
-    bounds = (
-        values.groupBy(*by)
-        .agg(F.min(v).alias("__lo"), width.alias("__w"), F.sum("__n").alias("__rows"))
-        .where(F.col("__rows") > 0)
-        .drop("__rows")
-    )
+    bounds = values.groupBy(*by).agg(F.min(v).alias("__lo"), width.alias("__w"))
     if by:
         placed = join_stats(values, bounds, by)
     else:
-        only = bounds.select(F.struct("__lo", "__w")).scalar()
-        placed = values.withColumn("__b", only).select("*", "__b.*").drop("__b")
-    step = F.ceil((v - F.col("__lo")) / F.col("__w"))
-    bucket = F.least(step, F.lit(BUCKETS - 1)).cast("int")
-    counts = placed.groupBy(*by, bucket.alias("bucket")).agg(F.sum("__n").alias("count"))
-
-    every = bounds.select("*", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket"))
-    count = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
-    filled = _fill_buckets(every, counts, by).withColumn("count", count)
-    highest = F.max("count").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
-    stars = F.floor(F.lit(float(BAR)) * (F.col("count") / F.greatest(highest, F.lit(1)))).cast("int")
+        placed = values.withColumn("__b", bounds.select(F.struct("__lo", "__w")).scalar()).select("*", "__b.*").drop("__b")
+    step = F.least(F.ceil((v - F.col("__lo")) / F.col("__w")), F.lit(BUCKETS - 1)).cast("int")
+    placed = placed.withColumn("__step", step)
+    vector = F.array(*[F.count_if(F.col("__step") == n) for n in range(BUCKETS)])
+    counts = placed.groupBy(*by).agg(F.min("__lo").alias("__lo"), F.min("__w").alias("__w"), vector.alias("__counts")).where("__lo IS NOT NULL")
+    filled = counts.select("*", F.posexplode("__counts").alias("bucket", "count"))
+    highest = F.greatest(F.array_max("__counts"), F.lit(1))
+    stars = F.floor(F.lit(float(BAR)) * (F.col("count") / highest)).cast("int")
     breakpoint_ = F.col("__lo") + F.col("bucket") * F.col("__w")
-    return filled.select(
-        *by, "bucket", breakpoint_.alias("breakpoint"), "count", F.repeat(F.lit("*"), stars).alias("bar")
-    )
+    return filled.select(*by, "bucket", breakpoint_.alias("breakpoint"), "count", F.repeat(F.lit("*"), stars).alias("bar"))
 
 
 def margin_of_error(
@@ -105,6 +118,18 @@ def margin_of_error(
 
     Beyond the table, which ends at 30 runs, the quantile is its expansion round the normal one.
     """
+    stats = df.groupBy(*by).agg(
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("stdevp")
+    )
+    return _margins(stats, by, level, interval_width)
+
+
+def margin_of(found: DataFrame, by: Sequence[str] = (), level: int = 95, interval_width: float = INTERVAL_WIDTH) -> DataFrame:
+    """:func:`margin_of_error` from moments."""
+    return _margins(found.withColumn("stdevp", F.sqrt(F.col("m2") / F.col("n"))), by, level, interval_width)
+
+
+def _margins(stats: DataFrame, by: Sequence[str], level: int, interval_width: float) -> DataFrame:
     if level not in T_TABLE:
         raise ValueError("level must be 95 or 99")
     table = F.array(*[F.lit(t) for t in T_TABLE[level]])
@@ -113,9 +138,6 @@ def margin_of_error(
     beyond = F.lit(z) + F.lit((z**3 + z) / 4) / free + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / (free * free)
     size = F.lit(len(T_TABLE[level]))
     t = F.when(n <= size, F.element_at(table, F.least(n, size).cast("int"))).otherwise(beyond)
-    stats = df.groupBy(*by).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("stdevp")
-    )
     doubt = F.lit(2.0) * t * F.col("stdevp") / F.sqrt(n - F.lit(1.0)) / F.nullif(F.col("mean"), F.lit(0.0))
     return stats.where(n > 0).select(
         *by, "n", "mean", "stdevp",

@@ -36,7 +36,7 @@ def direction_runs(
 
     Runs are found inside time slices of a key first, so that a key with a third of all records is
     spread over many tasks. Only the first and last run of a slice can go on in a neighbour slice;
-    the others are final. At most two runs per slice and key are then stitched in time order.
+    the others are final and not shuffled again. At most two runs per slice and key are stitched in time order.
     """
     keys = list(keys)
     rows = snap.select(*keys, F.col(ts).alias("__t"), F.col(tag).alias("__tag"), F.col(tie).alias("__tie"))
@@ -55,24 +55,31 @@ def direction_runs(
         .agg(F.min("__t").alias("__start"), F.max("__t").alias("__end"), F.count("*").alias("__n"))
     )
     at_edge = (F.col("__run") == 0) | (F.col("__run") == F.max("__run").over(in_slice))
-    runs = runs.withColumn("__home", F.when(~at_edge, F.col("__slice")))
+    runs = runs.withColumn("__edge", at_edge)
+    own = [k for k in keys if k != "__part"]
+    final = runs.where("NOT __edge").select(
+        *own, F.col("__tag").alias("tag"), F.col("__start").alias("run_start"), F.col("__end").alias("run_end"),
+        F.col("__n").alias("records"),
+    )
 
-    homes = Window.partitionBy(*keys, "__home").orderBy("__slice", "__run")
+    in_time = Window.partitionBy(*keys).orderBy("__slice", "__run")
     opens = (
         (F.col("__run") > 0)
-        | (F.row_number().over(homes) == 1)
-        | ~F.col("__tag").eqNullSafe(F.lag("__tag").over(homes))
+        | (F.row_number().over(in_time) == 1)
+        | ~F.col("__tag").eqNullSafe(F.lag("__tag").over(in_time))
     )
-    return (
-        runs.withColumn("__opens", opens.cast("int"))
-        .withColumn("__id", F.sum("__opens").over(homes.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "__home", "__id", F.col("__tag").alias("tag"))
+    stitched = (
+        runs.where("__edge")
+        .withColumn("__opens", opens.cast("int"))
+        .withColumn("__id", F.sum("__opens").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "__id", F.col("__tag").alias("tag"))
         .agg(
             F.min("__start").alias("run_start"), F.max("__end").alias("run_end"),
             F.sum("__n").alias("records"),
         )
-        .drop("__home", "__id", "__part")
+        .select(*own, "tag", "run_start", "run_end", "records")
     )
+    return final.unionAll(stitched)
 
 
 def long_runs(runs: DataFrame, min_minutes: float = MIN_MINUTES) -> DataFrame:
