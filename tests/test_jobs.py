@@ -1,11 +1,12 @@
 """Batch jobs and streams."""
 
+import random
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, routes, rows, snapshots
+from helpers import DAY0, at, routes, rows, snapshots
 from wayfold.operators import geo, visits
 from wayfold.plans import jobs
 from wayfold.sources import writers
@@ -131,3 +132,37 @@ def test_late_records_are_left_out(spark, tmp_path):
     counts.run_available(out, str(tmp_path / "out"), str(tmp_path / "check"))
     found = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
     assert [r.freq for r in found.orderBy("startTime").collect()] == [1, 1, 1]
+
+
+def test_stream_counts_visits_per_day(spark, tmp_path):
+    """Equal to the batch for closed days: visits over midnight, gaps equal to the threshold, rows late within the delay, a loop route,
+    and a restart from the checkpoint before every file."""
+    from helpers import LOOP, ROUTE
+
+    rng = random.Random(5)
+    moves = sorted((rng.randrange(0, 6 * 1440), rng.choice([1, 1, 2]), rng.choice([1, 2])) for _ in range(900))
+    moves += [(1435, 1, 1), (1450, 1, 1), (1465, 1, 1), (2870, 2, 2), (2885, 2, 2)]
+    moves.sort()
+    rows_ = [(DAY0 + timedelta(minutes=m), {"station_id": s, "vehicle_id": v}) for m, s, v in moves]
+    end = [(DAY0 + timedelta(days=7, hours=2), {"station_id": 9})]
+    whole = snapshots(spark, rows_ + end)
+    source, stops = str(tmp_path / "in"), routes(spark, ROUTE, LOOP)
+    # Each file ends with some rows that are up to half an hour older than its newest.
+    size, found = 150, {}
+    for at_ in range(0, len(rows_) + 1, size):
+        part = rows_[at_ : at_ + size] + (end if at_ + size > len(rows_) else [])
+        newest = max(t for t, _ in part)
+        late = [r for r in part if newest - r[0] < timedelta(minutes=30)]
+        part = [r for r in part if r not in late] + late[::-1]
+        frame = snapshots(spark, part)
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        days = counts.stream_daily_visits(stream, stops)
+        counts.run_available(days, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        out = spark.read.schema(days.schema).parquet(str(tmp_path / "out")).collect()
+        assert len({(r.station_id, r.startTime) for r in out}) == len(out)
+        assert set(found) <= {tuple(r) for r in out}
+        found = {tuple(r) for r in out}
+    want = visits.daily_frequency(whole, stops, "2024-01-01", "2024-01-09").where("station_id < 9")
+    assert {(r[0], r[1].replace(tzinfo=None), r[2]) for r in found} == {tuple(r) for r in want.collect()}
+    assert len(found) == 12

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from wayfold.operators import density, endpoints, placement, quality, rollup, sampling, spine
+from wayfold.operators import density, endpoints, metrics, placement, quality, rollup, sampling, spine
 from wayfold.plans import ranking
 from wayfold.plans.ranking import top_per_group
 from wayfold.plans.timing import as_delta, interval_count
@@ -239,3 +239,27 @@ def test_a_million_bounds_stay_in_tasks(spark):
     want = F.when(F.col("key") >= 0, F.concat(F.lit("g"), F.least(F.floor(F.col("key") / 7), F.lit(999_999))))
     assert got.where(~F.col("group").eqNullSafe(want)).count() == 0 and got.count() == 200_000
     assert got.select("group").distinct().count() > 180_000
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e9])
+def test_merged_moments_equal_direct_ones(spark, offset):
+    """Days of one row, of none and of many, groups without a name, values far from zero."""
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(40), offset + rng.random()) for _ in range(3000)]
+    rows += [("c", 1, offset + 2.5), ("d", 1, None), ("a", 99, None)]
+    frame = spark.createDataFrame(rows, "kind string, day int, v double").repartition(5)
+    days = metrics.moments(frame, "v", ["kind", "day"])
+    direct = {r.kind: r for r in metrics.moments(frame, "v", ["kind"]).collect()}
+    merged = {r.kind: r for r in metrics.merge_moments(days, ["kind"]).collect()}
+    assert set(merged) == set(direct) == {"a", "b", "c", None}
+    for kind, r in merged.items():
+        values = [v for k, _, v in rows if k == kind and v is not None]
+        mean = offset + sum(v - offset for v in values) / len(values)
+        m2 = sum((v - mean) ** 2 for v in values)
+        assert (r.n, r.lowest, r.highest) == (len(values), min(values), max(values))
+        assert abs(r.mean - mean) <= 1e-9 * max(1.0, abs(mean)) and abs(r.m2 - m2) <= 1e-6 * max(1.0, m2)
+        assert abs(r.mean - direct[kind].mean) <= 1e-9 * max(1.0, abs(mean))
+    whole = metrics.merge_moments(days).collect()
+    assert [r.n for r in whole] == [sum(r.n for r in direct.values())]
+    assert metrics.merge_moments(days.where("false")).count() == 0
+    assert not [r for r in metrics.margin_of(metrics.merge_moments(days, ["kind"]), ["kind"]).collect() if r.n > 1 and not r.margin > 0]

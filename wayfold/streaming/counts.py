@@ -11,7 +11,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wayfold.operators.geo import PREC, TOL, snap_in_box
+from wayfold.operators.geo import PREC, TOL, scaled, snap_in_box
+from wayfold.operators.spine import DAY
 from wayfold.operators.visits import HOUR, VISIT_GAP
 from wayfold.plans.timing import MICRO, as_delta
 
@@ -60,6 +61,28 @@ def stream_visits(
     return sessions.select("station_id", "vehicle_id", "visit_start", "visit_end", "records")
 
 
+def stream_daily_visits(
+    stream: DataFrame, routes: DataFrame, gap: str | timedelta = VISIT_GAP,
+    delay: str | timedelta = HOUR, prec: int = PREC, tol: float = TOL, scale: bool = True,
+) -> DataFrame:
+    """Visits in the start box per route and day, divided by the loop factor: the stream's ``daily_frequency``.
+
+    Two chained states under one watermark: sessions, cut at midnight as in the batch, and the count of the sessions that
+    have closed. A day's last session may close up to ``gap`` after midnight, so the days of the second state are
+    windows that begin that much later: every session of a day, and no other, closes inside its window. A day is appended
+    once, when the watermark has passed its end and the gap.
+    """
+    stream.sparkSession.conf.set(MERGE_EARLY, "true")
+    hits = _start_hits(stream, routes, delay, prec, tol).withColumn("day", F.date_trunc("day", "dateTime"))
+    sessions = hits.groupBy(F.session_window("dateTime", _text(gap)), "station_id", "vehicle_id", "factor", "day").agg(F.count("*").alias("records"))
+    # The time of a closed session is its last record and the gap, less a microsecond.
+    late = (as_delta(gap) - MICRO) % DAY
+    closed = F.window(F.window_time("session_window"), _text(DAY), _text(DAY), _text(late))
+    days = sessions.groupBy(closed, "station_id", "factor", "day").agg(F.count("*").alias("visits"))
+    freq = scaled(F.col("visits"), F.col("factor")) if scale else F.col("visits")
+    return days.select("station_id", F.col("day").alias("startTime"), freq.alias("freq"))
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what has arrived, append it to Parquet files under ``path``, and stop."""
     query = (

@@ -37,6 +37,34 @@ def place_hash(spark, sf):
     return placed.select("c_custkey", "c_name", "group")
 
 
+@case(
+    "place_range_by",
+    """WITH bounds AS (SELECT o_orderkey AS bound, 'g' || o_custkey AS "group" FROM orders WHERE o_orderkey % 3 = 1)
+       SELECT l_orderkey, count(*) AS items, "group" FROM (
+           SELECT l_orderkey, b."group" FROM lineitem l ASOF LEFT JOIN bounds b ON l.l_orderkey >= b.bound)
+       GROUP BY ALL""",
+)
+def _(spark, sf):
+    """A third of all order keys are bounds, so their number grows with the table."""
+    bounds = table(spark, sf, "orders").where("o_orderkey % 3 = 1")
+    bounds = bounds.select(F.col("o_orderkey").alias("bound"), F.concat(F.lit("g"), "o_custkey").alias("group"))
+    placed = placement.place_range_by(table(spark, sf, "lineitem").select("l_orderkey"), "l_orderkey", bounds)
+    return placed.groupBy("l_orderkey", "group").agg(F.count("*").alias("items"))
+
+
+@case(
+    "place_hash_by",
+    """WITH bounds AS (SELECT upper(md5(s_suppkey::VARCHAR)) AS bound, 's' || s_suppkey AS "group" FROM supplier)
+       SELECT c_custkey, c_name, coalesce(b."group", (SELECT arg_max("group", bound) FROM bounds)) AS "group"
+       FROM (SELECT *, upper(md5(c_name)) AS h FROM customer) c ASOF LEFT JOIN bounds b ON c.h >= b.bound""",
+)
+def _(spark, sf):
+    """A ring with a place for every supplier."""
+    key = F.col("s_suppkey").cast("string")
+    bounds = table(spark, sf, "supplier").select(F.upper(F.md5(key)).alias("bound"), F.concat(F.lit("s"), key).alias("group"))
+    return placement.place_hash_by(table(spark, sf, "customer").select("c_custkey", "c_name"), "c_name", bounds)
+
+
 @case(
     "write_placed",
     f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'global'

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from wayfold.operators import metrics
+from wayfold.sources import ledger
+from wayfold.sources.writers import shared_dir
 from wayfold.suite.registry import case
-from wayfold.suite.views import snap, sql, table
+from wayfold.suite.views import END, START, snap, sql, table
 
 
 def _rounded(df, *names):
@@ -109,6 +111,38 @@ def _(spark, sf):
     return _rounded(found, "mean", "stdevp", "margin").drop("confidence")
 
 
+MONTH = ("2024-01-05", "2024-01-25")
+_MONTH_SQL = "FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY event_type"
+
+
+def _daily_moments(spark, sf):
+    """Moments of the event types kept by day, and the days of the range merged."""
+    events = table(spark, sf, "events").withColumn("startTime", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    path = shared_dir(spark, "moments")
+    ledger.publish_days(metrics.moments(events, "value", ["event_type", "startTime"]), path, START, END)
+    return metrics.merge_moments(ledger.read_published(spark, path, *MONTH), ["event_type"])
+
+
+@case(
+    "summary_of_days",
+    f"""SELECT event_type, max(value) AS longest, min(value) AS shortest, round(avg(value), 6) AS average,
+               count(value) AS count {_MONTH_SQL}""",
+)
+def _(spark, sf):
+    return _rounded(metrics.summary_of(_daily_moments(spark, sf), ["event_type"]), "average")
+
+
+@case(
+    "margin_of_days",
+    f"""SELECT event_type, n, round(mean, 6) AS mean, round(sd, 6) AS stdevp,
+               round(({_Z} + ({_Z}::DOUBLE ** 3 + {_Z}) / (4 * n) + (5 * {_Z}::DOUBLE ** 5 + 16 * {_Z}::DOUBLE ** 3 + 3 * {_Z}) / (96.0 * n * n)) * sd / sqrt(n), 6) AS margin
+        FROM (SELECT event_type, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS sd {_MONTH_SQL}) WHERE n > 30""",
+)
+def _(spark, sf):
+    found = metrics.margin_of(_daily_moments(spark, sf), ["event_type"]).where("n > 30")
+    return _rounded(found, "mean", "stdevp", "margin").drop("confidence")
+
+
 @case(
     "throughput",
     """SELECT event_type, count(*) AS queries, CAST(sum(k) AS BIGINT) AS rows,

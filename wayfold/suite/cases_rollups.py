@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from wayfold.operators import endpoints, metrics, rollup, visits
 from wayfold.operators.trips import travel_by_bucket
 from wayfold.plans import charts
+from wayfold.sources import ledger
+from wayfold.sources.writers import shared_dir
 from wayfold.suite import cases_trips as ct
 from wayfold.suite.registry import case
 from wayfold.suite.views import (
@@ -187,9 +189,7 @@ def _(spark, sf):
     return endpoints.update_endpoints(old, _endpoints(spark, sf))
 
 
-@case(
-    "apply_changes",
-    """WITH changes AS (
+CHANGES_SQL = """WITH changes AS (
            SELECT l_orderkey + CASE WHEN l_returnflag = 'A' THEN 1000000 ELSE 0 END AS o_orderkey, l_extendedprice,
                   CASE WHEN l_returnflag = 'R' THEN 'delete' ELSE 'update' END AS op, l_shipdate, l_partkey, l_suppkey,
                   l_linenumber
@@ -199,9 +199,10 @@ def _(spark, sf):
                                            l_suppkey DESC, l_linenumber DESC, l_extendedprice DESC) = 1)
        SELECT coalesce(o.o_orderkey, c.o_orderkey) AS o_orderkey,
               CASE WHEN c.op IS NULL THEN o_totalprice ELSE l_extendedprice END AS o_totalprice
-       FROM orders o FULL JOIN last c ON c.o_orderkey = o.o_orderkey WHERE op IS DISTINCT FROM 'delete'""",
-)
-def apply_changes(spark, sf):
+       FROM orders o FULL JOIN last c ON c.o_orderkey = o.o_orderkey WHERE op IS DISTINCT FROM 'delete'"""
+
+
+def _item_changes(spark, sf):
     """Line items as changes of their order: updates, deletes, and inserts under new keys."""
     shift = F.when(F.col("l_returnflag") == "A", 1000000).otherwise(0)
     changes = table(spark, sf, "lineitem").select(
@@ -210,11 +211,32 @@ def apply_changes(spark, sf):
         F.when(F.col("l_returnflag") == "R", "delete").otherwise("update").alias("op"),
         "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber",
     )
+    return changes, ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", "o_totalprice"]
+
+
+@case(
+    "apply_changes",
+    CHANGES_SQL,
+)
+def apply_changes(spark, sf):
     base = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", "o_totalprice"]
+    changes, order = _item_changes(spark, sf)
     return endpoints.apply_changes(base, changes, ["o_orderkey"], "op", order)
 
 
+@case("merge_published", CHANGES_SQL)
+def _(spark, sf):
+    """The same changes merged into a stored table in parts, of which some hold no changed key."""
+    base = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    path = shared_dir(spark, "orders")
+    part = F.concat(F.lit("p"), F.floor(F.col("o_orderkey") / 4000))
+    ledger.publish(base, path, part, [r[0] for r in base.select(part).distinct().collect()])
+    changes, order = _item_changes(spark, sf)
+    ledger.merge(spark, path, changes.where("o_orderkey < 8000"), ["o_orderkey"], "op", order, part)
+    ledger.merge(spark, path, changes.where("o_orderkey >= 8000"), ["o_orderkey"], "op", order, part)
+    return ledger.read_parts(spark, path).drop("part")
+
+
 def _exists(spark, sf, statement):
     names = ("orders", "customer", "nation", "lineitem")
     return spark.sql(statement, **{name: table(spark, sf, name) for name in names})

@@ -7,7 +7,7 @@ from wayfold.functions.time import hour_bucket, hour_start, interval_label, padd
 from wayfold.operators import spine, visits
 from wayfold.operators.rollup import count_rows, distinct_ids
 from wayfold.plans.jobs import frequency_job
-from wayfold.sources import readers, writers
+from wayfold.sources import ledger, readers, writers
 from wayfold.suite.registry import case
 from wayfold.suite.views import (
     END, START, routes, snap, sql, sql_daily, sql_hits, sql_spine, table,
@@ -75,6 +75,34 @@ def _(spark, sf):
     return spark.read.parquet(path).select("station_id", "startTime", "freq")
 
 
+@case("publish_days", sql(sql_daily(), "snap routes", hits=sql_hits()))
+def _(spark, sf):
+    """Some days are published with wrong values and then again, and the days still open are filled by the week."""
+    path = writers.shared_dir(spark, "published")
+    facts = visits.daily_frequency(snap(spark, sf), routes(spark, sf), START, END)
+
+    def compute(start, end):
+        return readers.scan_range(facts, "startTime", start, end)
+
+    ledger.publish_days(compute(START, "2024-01-20").withColumn("freq", -F.col("freq")), path, START, "2024-01-20")
+    ledger.publish_days(compute(START, "2024-01-20"), path, START, "2024-01-20")
+    ledger.fill_days(spark, path, START, END, compute, longest=7)
+    return ledger.read_published(spark, path, START, END)
+
+
+@case(
+    "run_states",
+    """SELECT o_orderdate::DATE AS day, arg_max(o_orderstatus, o_orderkey) AS state, max(o_orderkey) AS run
+       FROM orders GROUP BY ALL""",
+)
+def _(spark, sf):
+    """Orders as a log of runs: the newest state of each day."""
+    log = table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderkey").alias("run"), F.col("o_orderstatus").alias("state")
+    )
+    return ledger.fold_states(log, "day", ["run"], ["state", "run"])
+
+
 @case("read_days", sql(f"SELECT * FROM snap WHERE {RANGE_SQL}", "snap"))
 def _(spark, sf):
     """Snapshots kept by day, and a range of them read back."""

@@ -214,3 +214,17 @@ def _(spark, sf):
     """Only the sessions the watermark has closed."""
     rows = streams.stream_visits(_stream(spark, sf), routes(spark, sf), tol=0.006)
     return _drained(spark, rows, ["visit_start", "visit_end"])
+
+
+@case(
+    "stream_daily_visits",
+    sql(
+        """SELECT * FROM daily
+           WHERE startTime + INTERVAL 1 DAY + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        "snap routes", hits=sql_hits("start", "0.006"), daily=sql_daily("0.006"),
+    ),
+)
+def _(spark, sf):
+    """Only the days the watermark has closed."""
+    rows = streams.stream_daily_visits(_stream(spark, sf), routes(spark, sf), tol=0.006)
+    return _drained(spark, rows, ["startTime"])
