@@ -1,6 +1,6 @@
 """Value cleaning, guards, conversions, named functions."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +223,33 @@ def test_plain_number_texts_hold_the_value(spark):
     assert [float(r[0]) for r in found] == numbers
     assert [r[0] for r in found][:7] == ["1.0E-20", "-1.0E-20", "1.2345E-15", "1.2345678901234567E-4", "0.00000000015", "-25000000.0", "10000000000000000000.0"]
     assert spark.createDataFrame([(1.0e-20,)], "v float").select(quality.convert(F.col("v"), "VARCHAR")).first()[0] == "1.0E-20"
+
+
+def test_week_modes(spark):
+    """Published examples, and a count by hand over the turns of many years."""
+    def by_hand(day, mode):
+        start = 0 if mode % 2 else 6  # weekday() of a week's first day
+        opening = lambda d: d - timedelta(days=(d.weekday() - start) % 7)
+
+        def first_week(year):
+            first = opening(date(year, 1, 1))
+            inside = 7 - (date(year, 1, 1) - first).days
+            begins = inside >= 4 if mode in (1, 3, 4, 6) else inside == 7
+            return first if begins else first + timedelta(days=7)
+
+        weeks = (opening(day) - first_week(day.year)).days // 7 + 1
+        if mode in (0, 1, 4, 5):
+            return max(weeks, 0)
+        if weeks < 1:
+            return (opening(day) - first_week(day.year - 1)).days // 7 + 1
+        return 1 if opening(day) >= first_week(day.year + 1) else weeks
+
+    days = [date(y, m, d) for y in range(1996, 2030) for m, d in [(1, k) for k in range(1, 12)] + [(12, k) for k in range(20, 32)] + [(2, 29 if y % 4 == 0 else 28)]]
+    frame = spark.createDataFrame([(d,) for d in days], "day date")
+    for row in frame.select("day", *[named.week(F.col("day"), m).alias(f"m{m}") for m in range(8)]).collect():
+        assert tuple(row)[1:] == tuple(by_hand(row.day, m) for m in range(8)), row
+    known = {(date(2008, 2, 20), 0): 7, (date(2008, 2, 20), 1): 8, (date(2008, 12, 31), 1): 53, (date(2000, 1, 1), 0): 0, (date(2000, 1, 1), 2): 52}
+    for (day, mode), want in known.items():
+        assert spark.createDataFrame([(day,)], "day date").select(named.week(F.col("day"), mode)).first()[0] == want
+    with pytest.raises(ValueError):
+        named.week(F.col("day"), 8)

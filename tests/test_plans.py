@@ -16,13 +16,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-LAZY = [
-    name for name in queries()
-    if name not in {
-        "write_placed", "travel_job", "load_routes", "read_json_records", "load_delimited", "append_fact",
-        "frequency_job", "read_days", "stream_hourly_records", "stream_visits",
-    }
-]
+LAZY = list(queries())
 
 
 @pytest.mark.parametrize("name", LAZY)

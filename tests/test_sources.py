@@ -1,11 +1,12 @@
 """Sources and sinks."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from helpers import at, routes, rows
+from helpers import at, routes, rows, snapshots
 from wayfold import schemas
 from wayfold.sources import readers, types, writers
 
@@ -94,3 +95,65 @@ def test_source_types(spark):
         types.source_type("VECTOR")
     sets = spark.createDataFrame([("a,b",), ("",), (None,)], "s string").select(types.set_to_array(F.col("s")))
     assert [r[0] for r in sets.collect()] == [["a", "b"], [], None]
+
+
+def test_the_envelope_skips_row_groups(spark, tmp_path):
+    """The same rows, fewer of the file's row groups; bounds are pushed to the scan."""
+    import pyarrow.parquet as pq
+
+    from wayfold.operators import geo
+    from wayfold.sources import ledger
+
+    rng = random.Random(3)
+    moved = [(f"{m // 1440} {m // 60 % 24:02d}:{m % 60:02d}", {"lat": 43 + rng.random(), "lon": -80 + rng.random()}) for m in range(0, 2880, 1)]
+    near = [(f"{m // 1440} {m // 60 % 24:02d}:{m % 60:02d}", {}) for m in range(0, 2880, 48)]
+    snap = snapshots(spark, moved + near)
+    stops = routes(spark)
+    groups = {}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "3000")
+    try:
+        for name, order in (("plain", None), ("near", geo.morton(F.col("lat"), F.col("lon")))):
+            path = str(tmp_path / name)
+            spark._jsc.hadoopConfiguration().set("parquet.block.size", "4096")
+            spark._jsc.hadoopConfiguration().set("parquet.block.size.row.check.min", "50")
+            ledger.publish_days(snap, path, "2024-01-01", "2024-01-03", "dateTime", near=order)
+            envelope = geo.box_envelope(stops)
+            rows = geo.in_envelope(ledger.read_published(spark, path, "2024-01-01", "2024-01-03", "dateTime"), envelope)
+            assert geo.snap_in_box(rows, stops).count() == geo.snap_in_box(snap, stops).count() >= 60
+            pushed = rows._jdf.queryExecution().executedPlan().toString()
+            assert "GreaterThanOrEqual(lat," in pushed and "LessThanOrEqual(lon," in pushed
+            read = whole = 0
+            for file in rows.inputFiles():
+                meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+                for g in range(meta.num_row_groups):
+                    stats = {c.path_in_schema: c.statistics for c in (meta.row_group(g).column(k) for k in range(meta.num_columns))}
+                    whole += 1
+                    read += stats["lat"].max >= envelope[0] and stats["lat"].min <= envelope[1] and stats["lon"].max >= envelope[2] and stats["lon"].min <= envelope[3]
+            groups[name] = read, whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        for key in ("parquet.block.size", "parquet.block.size.row.check.min"):
+            spark._jsc.hadoopConfiguration().unset(key)
+    assert groups["near"][0] < 0.5 * groups["near"][1] and groups["near"][1] >= 4
+    assert groups["near"][0] / groups["near"][1] < 0.7 * groups["plain"][0] / groups["plain"][1], groups
+    assert geo.box_envelope(stops.where("false")) is None and geo.in_envelope(snap, None).count() == 0
+
+
+def test_morton_interleaves(spark):
+    from wayfold.operators import geo
+
+    points = [(-90.0, -180.0), (90.0, 180.0), (0.0, 0.0), (-95.0, 200.0), (43.6, -79.4), (None, 1.0)]
+    frame = spark.createDataFrame(points, "lat double, lon double")
+
+    def by_hand(lat, lon):
+        if lat is None:
+            return None
+        cell = lambda v, span: max(0, min(65535, int((v + span) / (2 * span) * 65536 // 1)))
+        a, b = cell(lat, 90), cell(lon, 180)
+        return sum(((a >> k & 1) << (2 * k + 1)) | ((b >> k & 1) << (2 * k)) for k in range(16))
+
+    got = frame.select("lat", "lon", geo.morton(F.col("lat"), F.col("lon")).alias("m")).collect()
+    assert [r.m for r in got] == [by_hand(r.lat, r.lon) for r in got]

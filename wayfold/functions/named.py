@@ -89,13 +89,21 @@ def strcmp(left: Column, right: Column) -> Column:
 
 
 def week(day: Column, mode: int = 0) -> Column:
-    """Week of year. Mode 0 counts from the first Sunday, 5 from the first Monday, 3 is ISO."""
-    if mode == 3:
-        return F.weekofyear(day)
-    if mode not in (0, 5):
-        raise ValueError("mode must be 0, 3 or 5")
-    since_first = F.dayofweek(day) - F.lit(1) if mode == 0 else F.weekday(day)
-    return F.floor((F.dayofyear(day) - F.lit(1) + F.lit(7) - since_first) / F.lit(7)).cast("int")
+    """Week of year. Weeks begin on Sunday (modes 0, 2, 4, 6) or Monday (1, 3, 5, 7; 3 is ISO). The first week is the one that begins
+    in the year (0, 2, 5, 7), or the first with four days in it (1, 3, 4, 6). Days before it are in week 0 (0, 1, 4, 5), or in
+    the last week of the year before, as may days at the end be in the first week of the next (2, 3, 6, 7)."""
+    if mode not in range(8):
+        raise ValueError("mode must be from 0 to 7")
+    since_first = F.weekday(day) if mode % 2 else F.dayofweek(day) - F.lit(1)
+    middle = mode in (1, 3, 4, 6)
+    if mode in (2, 3, 6, 7):
+        # The week is of the year that its first day, or its fourth, is in.
+        decides = F.date_add(day, (F.lit(3 if middle else 0) - since_first).cast("int"))
+        return (F.floor((F.dayofyear(decides) - F.lit(1)) / F.lit(7)) + F.lit(1)).cast("int")
+    if not middle:
+        return F.floor((F.dayofyear(day) - F.lit(1) + F.lit(7) - since_first) / F.lit(7)).cast("int")
+    new_year = F.pmod(since_first - F.dayofyear(day) + F.lit(1), F.lit(7))
+    return (F.floor((F.dayofyear(day) - F.lit(1) + new_year) / F.lit(7)) + F.when(new_year <= 3, 1).otherwise(0)).cast("int")
 
 
 def _months(period: Column) -> Column:

@@ -45,6 +45,38 @@ def grid_cell(value: Column, prec: int = 4) -> Column:
     return grid_units(value, prec) / F.lit(float(10**prec))
 
 
+def _spread(bits: Column) -> Column:
+    """The low 16 bits, each followed by an empty one."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+    return bits
+
+
+def morton(lat: Column, lon: Column) -> Column:
+    """Place of a point on a curve that fills the globe in 2**16 rows and columns: points near each other are mostly
+    near on it, so files sorted by it hold small rectangles. Points off the globe count as on its edge."""
+    def cell(value: Column, span: float) -> Column:
+        scaled_ = F.floor((value + F.lit(span)) / F.lit(2 * span) * F.lit(65536.0))
+        return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(65535), scaled_))).cast("bigint")
+
+    return F.shiftleft(_spread(cell(lat, 90.0)), 1).bitwiseOR(_spread(cell(lon, 180.0)))
+
+
+def box_envelope(routes: DataFrame, end: str = "start", prec: int = PREC, tol: float = TOL) -> tuple[float, float, float, float] | None:
+    """(least and greatest latitude, least and greatest longitude) of all boxes; None without routes. One row is collected."""
+    edges = [f(F.round(f"{end}_{axis}", prec) + F.lit(side * tol)) for axis in ("lat", "lon") for f, side in ((F.min, -1), (F.max, 1))]
+    found = routes.agg(*edges).first()
+    return None if found[0] is None else tuple(found)
+
+
+def in_envelope(snap: DataFrame, envelope: tuple[float, float, float, float] | None) -> DataFrame:
+    """Snapshots inside the envelope: plain bounds, which reach the file, so that row groups outside are skipped."""
+    if envelope is None:
+        return snap.where(F.lit(False))
+    lat_lo, lat_hi, lon_lo, lon_hi = envelope
+    return snap.where(F.col("lat").between(lat_lo, lat_hi) & F.col("lon").between(lon_lo, lon_hi))
+
+
 def snap_in_box(
     snap: DataFrame, routes: DataFrame, end: str = "start", prec: int = PREC, tol: float = TOL
 ) -> DataFrame:

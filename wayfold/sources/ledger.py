@@ -83,10 +83,11 @@ def read_parts(spark: SparkSession, path: str, parts: Iterable[str] | None = Non
     return spark.read.schema(whole).option("basePath", f"{path}/runs").parquet(*folders).drop("run")
 
 
-def publish(df: DataFrame, path: str, part: Column, parts: Sequence[str]) -> str:
+def publish(df: DataFrame, path: str, part: Column, parts: Sequence[str], near: Column | None = None) -> str:
     """Replaces ``parts`` by the rows of ``df`` in one step, and returns the run's id. A part without rows becomes empty.
 
-    A row of another part is an error. Parts are names of folders: letters, digits, ``-``, ``_`` and ``.``.
+    A row of another part is an error. Parts are names of folders: letters, digits, ``-``, ``_`` and ``.``. With ``near`` the
+    files of a part are ranges of that value and sorted by it, so that a scan can skip most of them.
     """
     if bad := [p for p in parts if not p or not all(c.isalnum() or c in "-_." for c in p)]:
         raise ValueError(f"names of parts: {bad}")
@@ -99,7 +100,12 @@ def publish(df: DataFrame, path: str, part: Column, parts: Sequence[str]) -> str
         asked = F.array(*map(F.lit, parts)) if len(parts) < 64 else F.from_json(F.lit("[" + ",".join(f'"{p}"' for p in parts) + "]"), "array<string>")
         inside = F.when(F.array_contains(asked, F.col(PART)), F.col(PART)).otherwise(other.cast("string"))
         staged = f"{path}/runs/run={run}"
-        df.withColumn(PART, part).withColumn(PART, inside).hint("rebalance", PART).write.partitionBy(PART).parquet(staged)
+        rows = df.withColumn(PART, part).withColumn(PART, inside)
+        if near is None:
+            rows = rows.hint("rebalance", PART)
+        else:
+            rows = rows.withColumn("__near", near).repartitionByRange(PART, "__near").sortWithinPartitions(PART, "__near").drop("__near")
+        rows.write.partitionBy(PART).parquet(staged)
         written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])).parquet(staged)
         counts = dict(written.groupBy(PART).agg(F.count("*")).collect())  # one row per part
         columns = df.schema.json()
@@ -114,9 +120,9 @@ def day_of(ts: str) -> Column:
     return F.date_format(F.col(ts), "yyyy-MM-dd")
 
 
-def publish_days(df: DataFrame, path: str, start: Time, end: Time, ts: str = "startTime") -> str:
+def publish_days(df: DataFrame, path: str, start: Time, end: Time, ts: str = "startTime", near: Column | None = None) -> str:
     """Replaces the days of [start, end), from midnight to midnight, in one step."""
-    return publish(df, path, day_of(ts), [d.isoformat() for d in days_of(start, end)])
+    return publish(df, path, day_of(ts), [d.isoformat() for d in days_of(start, end)], near)
 
 
 def read_published(spark: SparkSession, path: str, start: Time, end: Time, ts: str = "startTime") -> DataFrame:

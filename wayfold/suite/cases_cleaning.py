@@ -398,3 +398,30 @@ def _(spark, sf):
         "time_to_sec": named.time_to_sec(F.date_format(ts, "HH:mm:ss")),
     }
     return table(spark, sf, "events").select("event_id", *[v.alias(n) for n, v in fields.items()])
+
+
+# The first day of each day's week, counted from Sunday and from Monday.
+_FIRSTS = {0: "d - CAST(dayofweek(d) AS INT)", 1: "d - CAST(isodow(d) - 1 AS INT)"}
+
+
+def _week_sql(mode: int) -> str:
+    first, year = _FIRSTS[mode % 2], "date_trunc('year', d)::DATE"
+    if mode in (0, 5):
+        return f"CAST(strftime(d, '{'%W' if mode else '%U'}') AS INT)"
+    if mode in (2, 3, 6, 7):
+        decides = f"({first} + {3 if mode in (3, 6) else 0})"
+        return f"CAST((dayofyear({decides}) - 1) // 7 + 1 AS INT)"
+    opening = first.replace("(d)", f"({year})").replace("d -", f"{year} -", 1)
+    return f"CAST(({first} - ({opening})) // 7 + CASE WHEN {year} - ({opening}) <= 3 THEN 1 ELSE 0 END AS INT)"
+
+
+@case(
+    "week_modes",
+    f"""SELECT DISTINCT d AS day, {', '.join(f'{_week_sql(m)} AS week_{m}' for m in range(8))}
+        FROM (SELECT (o_orderdate + INTERVAL 1 DAY * (o_orderkey % 4000))::DATE AS d FROM orders)""",
+)
+def _(spark, sf):
+    """Days of some eleven years."""
+    day = F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 4000).cast("int"))
+    days = table(spark, sf, "orders").select(day.alias("day")).distinct()
+    return days.select("day", *[named.week(F.col("day"), m).alias(f"week_{m}") for m in range(8)])

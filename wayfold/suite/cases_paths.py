@@ -213,6 +213,12 @@ def path_sample(spark, sf):
     return sampling.path_sample(snap(spark, sf), START, END, rate=0.5)
 
 
+@case("path_sample_full", path_sql("SELECT * FROM snap"))
+def _(spark, sf):
+    """Every station at the full rate."""
+    return sampling.path_sample(snap(spark, sf), START, END)
+
+
 @case("path_sample_station", path_sql("SELECT * FROM snap WHERE station_id = 3"))
 def _(spark, sf):
     """One route: its bounds come from a scalar subquery instead of a join."""

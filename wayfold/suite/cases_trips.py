@@ -174,6 +174,41 @@ def _(spark, sf):
     return t.travel_by_bucket(rows, START, END, ids=t.first_ids(rows, START, END, n=1))
 
 
+# Every user is a vehicle here, so a station has more than the three that are taken.
+MANY = "SELECT * REPLACE (CAST(user_id AS INT) AS vehicle_id) FROM (SELECT s.*, e.user_id FROM snap s JOIN events e USING (event_id))"
+FIRST_THREE_SQL = _sampled_ids_sql("7 DAY", "vehicle_id").replace("FROM snap", "FROM many") + "3"
+HASHED_THREE_SQL = _sampled_ids_sql("1 DAY", "md5('ids' || vehicle_id)").replace("FROM snap", "FROM many") + "3"
+
+
+def _many(spark, sf):
+    users = table(spark, sf, "events").select("event_id", F.col("user_id").cast("int").alias("vehicle_id"))
+    return snap(spark, sf).drop("vehicle_id").join(users, "event_id")
+
+
+@case("first_ids_three", sql(FIRST_THREE_SQL, "snap", many=MANY))
+def _(spark, sf):
+    return t.first_ids(_many(spark, sf), START, END, width="7 days")
+
+
+@case("sample_ids_three", sql(HASHED_THREE_SQL, "snap", many=MANY))
+def _(spark, sf):
+    return t.sample_ids(_many(spark, sf), START, END, width="1 day")
+
+
+@case(
+    "keep_ids_three",
+    sql(
+        """SELECT event_id, station_id, vehicle_id FROM many
+           SEMI JOIN (SELECT station_id, vehicle_id FROM a WHERE day(startTime) = 8) USING (station_id, vehicle_id)""",
+        "snap", many=MANY, a=HASHED_THREE_SQL,
+    ),
+)
+def _(spark, sf):
+    rows = _many(spark, sf)
+    ids = t.sample_ids(rows, START, END, width="1 day").where(F.dayofmonth("startTime") == 8)
+    return t.keep_ids(rows, ids).select("event_id", "station_id", "vehicle_id")
+
+
 @case(
     "first_arrival",
     sql(

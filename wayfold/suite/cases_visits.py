@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from wayfold.operators import geo, visits
 from wayfold.plans import charts
+from wayfold.sources import ledger
 from wayfold.sources.writers import shared_dir
 from wayfold.streaming import counts as streams
 from wayfold.suite.registry import case
@@ -228,3 +229,16 @@ def _(spark, sf):
     """Only the days the watermark has closed."""
     rows = streams.stream_daily_visits(_stream(spark, sf), routes(spark, sf), tol=0.006)
     return _drained(spark, rows, ["startTime"])
+
+
+@case(
+    "snap_near_routes",
+    sql("SELECT event_id, station_id, vehicle_id, dateTime, lat, lon FROM hits", "snap routes", hits=sql_hits()),
+)
+def _(spark, sf):
+    """Snapshots kept by day along a space-filling curve; the envelope of all boxes skips what is far from them."""
+    path, kept = shared_dir(spark, "near"), snap(spark, sf).select("event_id", "station_id", "vehicle_id", "dateTime", "lat", "lon")
+    ledger.publish_days(kept, path, START, END, "dateTime", near=geo.morton(F.col("lat"), F.col("lon")))
+    stops = routes(spark, sf)
+    rows = geo.in_envelope(ledger.read_published(spark, path, START, END, "dateTime"), geo.box_envelope(stops))
+    return geo.snap_in_box(rows, stops).select(*kept.columns)
