@@ -144,6 +144,38 @@ def test_a_passage_goes_with_the_blank_behind_it(spark):
     assert suffix_dedup.without_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_a_full_sketch_still_tells_repeats(spark, monkeypatch):
+    """Ten hashes a slot: few that occur once pass, all that repeat do."""
+    from wayfold.llm import sketches
+
+    monkeypatch.setattr(sketches, "SLOT_BITS", 12)
+    monkeypatch.setattr(sketches, "RANGE_BITS", 8)
+    monkeypatch.setattr(sketches, "RANGES", 16)
+    monkeypatch.setattr(sketches, "FLUSH", 3000)
+    rng = np.random.default_rng(4)
+    once = rng.integers(0, 2**64, 41_000, np.uint64)
+    twice = rng.integers(0, 2**64, 150, np.uint64)
+    every = np.concatenate([once, twice, twice, np.repeat(twice[:3], 500)])
+    rng.shuffle(every)
+    frame = spark.createDataFrame([(part.tobytes(),) for part in np.array_split(every, 90)], "text binary").repartition(5)
+    bits = sketches.repeated_slots(frame, lambda b: (np.frombuffer(x, np.uint64) for x in b.column(0).to_pylist()))
+    assert sketches.hit(bits, twice).all()
+    assert sketches.hit(bits, once).mean() < 0.1
+    assert not sketches.repeated_slots(frame.limit(0), lambda b: iter(())).any()
+
+
+@pytest.mark.parametrize("slot_bits", [10, 26])
+def test_repeats_do_not_depend_on_the_sketch(docs, monkeypatch, slot_bits):
+    from wayfold.llm import sketches
+
+    monkeypatch.setattr(sketches, "SLOT_BITS", slot_bits)
+    monkeypatch.setattr(sketches, "RANGE_BITS", 8 if slot_bits == 10 else 18)
+    rows = corpus()
+    want = Counter((r[0], *c) for r, c in zip(rows, cut_out([r[1] for r in rows], 90), strict=True))
+    got = suffix_dedup.without_repeats(docs, span=90).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == want
+
+
 def test_multikey_groups():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 2, 3000).astype(np.uint8)

@@ -4,7 +4,8 @@ A sparse suffix array: only suffixes that start at anchors are sorted. The ancho
 ``span`` bytes is its gram of GRAM bytes with the least hash (leftmost on ties). It depends on the
 window's bytes alone, so equal windows have their anchors at the same place, and no repeat is missed.
 
-1. Anchors are counted in a sketch over all documents; windows whose anchor occurs once are done.
+1. Anchors are counted over all documents, and a sketch of those that repeat goes to all tasks; windows whose anchor
+   occurs once are done.
 2. For the rest, neighbouring windows with one anchor form a run: the bytes that they cover (the
    context) and its digest. Equal runs of one task are sent once, with a row per text that holds
    them: a text of one repeated line has one row with many places.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wayfold.llm.common import Rolling, kept, mix, slices, small_batches, text_column
-from wayfold.llm.sketches import frequent_slots, hit
+from wayfold.llm.sketches import hit, repeated_slots
 
 GRAM = 64
 PLACE = np.uint64((1 << 24) - 1)  # low bits of a packed minimum: the place; above: the hash
@@ -281,7 +282,7 @@ def repeated_ranges(found: DataFrame, span: int, crowd: int) -> DataFrame:
 def repeated_spans(texts: DataFrame, span: int, crowd: int = CROWD) -> DataFrame:
     """(key, spans): by the SHA-256 of each text that has repeats, its runs {at, first, last}; a repeated range goes from
     ``at + first`` to ``at + last + span``."""
-    bits = texts.sparkSession.sparkContext.broadcast(frequent_slots(texts, lambda b: _anchor_hashes(b, span), 2))
+    bits = texts.sparkSession.sparkContext.broadcast(repeated_slots(texts, lambda b: _anchor_hashes(b, span)))
     found = kept(runs(texts, span, bits), "runs")
     ranges = kept(repeated_ranges(found, span, crowd), "ranges")
     return (
