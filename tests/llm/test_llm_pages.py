@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 from datetime import date
 
@@ -93,6 +95,70 @@ def test_warc_returns_a_record_without_its_first_segment(spark):
     assert Counter((r.id, r.intact) for r in warc.read_archives(spark, path).collect()) == Counter({(None, False): 1, (2, True): 1})
 
 
+def archive(path, name, data):
+    import pathlib
+
+    folder = pathlib.Path(path.removeprefix("file://"))
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(data)
+
+
+def outcomes(spark, path):
+    return Counter((r.id, r.url, r.record_type, r.intact) for r in warc.read_archives(spark, path).collect())
+
+
+def test_damaged_archives_do_not_end_the_job(spark):
+    """A cut record, a cut and a broken gzip file, odd headers, wrong lengths, no archive at all: all others come back."""
+    one, two, three = (next(warc.records(n, f"http://h/{n}", f"text {n} " * 40, None, None)).encode() + b"\r\n\r\n" for n in (1, 2, 3))
+    fine = {n: (n, f"http://h/{n}", "response", True) for n in (1, 2, 3)}
+    lost = {n: (n, f"http://h/{n}", "response", False) for n in (1, 2, 3)}
+    unknown = (None, None, "response", False)
+    packed = gzip.compress(one) + gzip.compress(two)
+    flipped = bytearray(gzip.compress(one) + gzip.compress(two + three))
+    flipped[-12] ^= 255
+    for name, data, want in [
+        ("cut.warc", one + two[:-60], [fine[1], lost[2]]),
+        ("head.warc", one + two[:40], [fine[1], unknown]),
+        ("cut.warc.gz", packed[:-30], [fine[1]]),
+        ("broken.warc.gz", bytes(flipped), [fine[1]]),
+        ("colon.warc", one.replace(b"WARC-Date: ", b"WARC-Date ") + two, [lost[1], fine[2]]),
+        ("length.warc", one.replace(b"Content-Length: ", b"Content-Length: x") + two, [lost[1], fine[2]]),
+        ("short.warc", re.sub(rb"Content-Length: \d+", b"Content-Length: 99", one) + two + three, [lost[1], fine[2], fine[3]]),
+        ("other.warc.gz", gzip.compress(b"no archive"), [unknown]),
+        ("empty.warc", b"", []),
+        ("two.warc.gz", packed, [fine[1], fine[2]]),
+    ]:
+        path = fresh(spark, "warc-damaged")
+        archive(path, name, data)
+        got = outcomes(spark, path)
+        if name in ("cut.warc.gz", "broken.warc.gz"):
+            assert got[fine[1]] == 1 and sum(n for r, n in got.items() if not r[3]) == 1, name
+        else:
+            assert got == Counter(want), name
+
+
+def test_archives_of_others(spark):
+    """Lower-case headers, a member per record, no digest or one of another kind, no own id, other types, plain bodies."""
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n\xff\xfe bytes"
+    sha = base64.b32encode(hashlib.sha1(b"\xff\xfe bytes").digest()).decode()
+
+    def record(kind, n, block, *more):
+        lines = ["WARC/1.0", f"warc-type: {kind}", f"WARC-RECORD-ID: <urn:{n}>", f"content-length: {len(block)}", f"WARC-Target-URI: http://x/{n}", *more]
+        return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    data = [
+        record("warcinfo", 0, b"software: x"), record("request", 1, b"GET / HTTP/1.1\r\n\r\n"), record("response", 2, body),
+        record("response", 3, body, f"WARC-Payload-Digest: SHA1:{sha.lower()}"), record("response", 4, body, "WARC-Payload-Digest: sha256:00"),
+        record("response", 5, body, f"WARC-Payload-Digest: sha1:{'A' * 32}"), record("revisit", 6, b"", "WARC-Refers-To: <urn:3>", f"WARC-Payload-Digest: sha1:{sha}"),
+        record("revisit", 7, b"", "WARC-Refers-To: <urn:99>"), record("response", 8, body, "WARC-Segment-Number: no"),
+    ]
+    path = fresh(spark, "warc-others")
+    archive(path, "a.warc.gz", b"".join(data))
+    got = {r.url[-1]: (r.record_type, r.payload_bytes, r.payload_digest, r.intact) for r in warc.read_archives(spark, path).collect()}
+    whole = ("response", 8, sha, True)
+    assert got == {"2": whole, "3": whole, "4": whole, "5": ("response", 8, "A" * 32, False), "6": ("revisit", 8, sha, True), "7": ("revisit", None, None, False), "8": whole}
+
+
 def test_chunks():
     for text in ("", "a", "é漢\U0001f600" * 999):
         framed = warc.chunked(text.encode(), 100)

@@ -16,13 +16,19 @@ responses; a null id never makes a response of a group that has an id, and paylo
 id are responses; control and non-ASCII characters of URLs are percent-encoded in the header; a record with
 missing segments or a wrong length or digest comes back with ``intact`` false, and once with a null id where its first
 segment is missing; extra columns are ignored.
+
+Archives of others are read too: names of headers in any case, files of one or of many gzip members or of none, responses without
+a digest (of which one is worked out) or with one of another kind, records of other types, which are passed over. Nothing that is
+wrong with a file ends the job. A record that is cut, or whose header cannot be read, comes back as a response with
+``intact`` false and what is known of it, and reading goes on at the next record; a compressed file that is cut or broken
+gives its records up to there, and one such row.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -138,18 +144,59 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     out.write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
-def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive."""
+def unpacked(content: bytes) -> tuple[bytes, bool]:
+    """(text of all gzip members, or the content itself if it is not compressed; whether it is whole)."""
+    if content[:2] != b"\x1f\x8b":
+        return content, True
+    out, rest = [], content
+    while rest[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            # in pieces, so that what comes before a broken place is not lost
+            for at in range(0, len(rest), CHUNK):
+                out.append(member.decompress(rest[at : at + CHUNK]))
+                if member.eof:
+                    rest = member.unused_data + rest[at + CHUNK :]
+                    break
+            else:
+                return b"".join(out), False
+        except zlib.error:
+            return b"".join(out), False
+    return b"".join(out), not rest.strip(b"\0")
+
+
+def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """(headers by lower-case name, block, whether the record could be read) of each record of an archive."""
     at = 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in content[at:end].decode().split("\r\n")[1:])
-        size = int(head["Content-Length"])
-        block = content[end + 4 : end + 4 + size]
-        if len(block) < size:
-            raise ValueError("archive ends inside a record")
-        yield head, block
-        at = end + 4 + size + 4
+    while True:
+        while content[at : at + 2] == b"\r\n":
+            at += 2
+        if at >= len(content):
+            return
+        end = content.find(b"\r\n\r\n", at)
+        lines = content[at : end if end >= 0 else len(content)].decode("utf-8", "replace").split("\r\n")
+        pairs = [line.partition(":") for line in lines[1:]]
+        head = {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
+        fine = lines[0].startswith("WARC/") and all(colon and " " not in name.strip() for name, colon, _ in pairs)
+        size = head.get("content-length", "")
+        if end < 0 or not (size.isascii() and size.isdigit()) or not lines[0].startswith("WARC/"):
+            yield head, b"", False
+            at = content.find(b"\r\nWARC/1.", at + 1)
+            if at < 0:
+                return
+            continue
+        stop = end + 4 + int(size)
+        block = content[end + 4 : stop]
+        if stop > len(content):
+            yield head, block, False
+            return
+        follows = content[stop : stop + 4] in (END.encode(), b"") or content[stop:].strip(b"\r\n") == b""
+        yield head, block, fine and follows
+        at = stop
+        if not follows:  # the length is wrong
+            at = content.find(b"\r\nWARC/1.", end)
+            if at < 0:
+                return
 
 
 _PARSED = "id bigint, url string, type string, record string, refers string, origin string, number int, total bigint, digest string, size bigint, intact boolean, block binary"
@@ -162,13 +209,43 @@ def _payload(block: bytes) -> bytes:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-def checked(block: bytes, digest: str) -> tuple[int, bool]:
-    """(payload size, whether framing and digest are right)."""
+def checked(block: bytes, digest: str | None) -> tuple[int, bool, str | None]:
+    """(payload size, whether framing and digest are right, the digest)."""
     try:
         payload = _payload(block)
     except ValueError:
-        return 0, False
-    return len(payload), digest_of(payload) == digest
+        return 0, False, digest
+    found = digest_of(payload)
+    return len(payload), digest in (None, found), digest or found
+
+
+def sha1_named(value: str | None) -> str | None:
+    """The digest of a header in upper-case base32, if it is a SHA-1."""
+    kind, colon, text = (value or "").partition(":")
+    return text.upper() if colon and kind.lower() == "sha1" and len(text) == 32 else None
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.removeprefix("-").isdigit() and abs(int(text)) < 1 << 62 else None
+
+
+def _row(head: dict[str, str], block: bytes, fine: bool) -> tuple | None:
+    """A record as a row of ``_PARSED``; None for records of other types. What can't be read is a response that is not intact."""
+    digest, number = sha1_named(head.get("warc-payload-digest")), _number(head.get("warc-segment-number"))
+    kind, own = head.get("warc-type", "").lower(), head.get("warc-record-id")
+    ident, url, total = _number(head.get("wayfold-id")), head.get("warc-target-uri"), _number(head.get("warc-segment-total-length"))
+    origin = head.get("warc-segment-origin-id") or (own if number else None)
+    cut = kind in ("response", "continuation") and number is not None and 0 < number < 1 << 31 and origin is not None
+    if cut:  # putting it together tells whether it is whole
+        return ident, url, kind, own, None, origin, number, total, digest, None, None, block
+    if not fine or (kind in ("response", "revisit") and own is None) or kind in ("", "continuation"):
+        return ident, url, "response", own, None, None, None, None, digest, 0, False, None
+    if kind == "response":
+        size, intact, digest = checked(block, digest)
+        return ident, url, kind, own, None, None, None, None, digest, size, intact, None
+    if kind == "revisit":
+        return ident, url, kind, own, head.get("warc-refers-to"), None, None, None, digest, None, None, None
+    return None
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -182,41 +259,35 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 def out() -> pa.RecordBatch:
                     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
 
-                for head, block in parse(gzip.decompress(content.as_py())):
-                    digest = head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
-                    number = int(head["WARC-Segment-Number"]) if "WARC-Segment-Number" in head else None
-                    kind, own = head["WARC-Type"], head["WARC-Record-ID"]
-                    size = intact = None
-                    if kind == "response" and number is None:
-                        size, intact = checked(block, digest)
-                    origin = head.get("WARC-Segment-Origin-ID") or (own if number else None)
-                    ident = head.get("Wayfold-Id")
-                    total = head.get("WARC-Segment-Total-Length")
-                    rows.append(
-                        (int(ident) if ident else None, head.get("WARC-Target-URI"), kind, own, head.get("WARC-Refers-To"), origin, number,
-                         int(total) if total else None, digest, size, intact, block if number else None)
-                    )
-                    held += len(block) if number else 0
+                text, whole = unpacked(content.as_py())
+                last = True
+                for head, block, last in parse(text):
+                    if (row := _row(head, block, last)) is not None:
+                        rows.append(row)
+                        held += len(row[-1] or b"")
                     if held >= 8_000_000:
                         yield out()
                         rows, held = [], 0
+                if not whole and last:  # else the record that was cut tells it
+                    rows.append(_row({}, b"", False))
                 if rows:
                     yield out()
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, fine = [], []
+            sizes, fine, digests = [], [], []
             for total, digest, parts in zip(*(batch.column(i) for i in (4, 5, 6)), strict=True):
                 total, parts = total.as_py(), parts.as_py()
                 block = b"".join(p["block"] for p in parts)
-                size, ok = checked(block, digest.as_py())
+                size, ok, found_digest = checked(block, digest.as_py())
+                digests.append(found_digest)
                 whole = [p["number"] for p in parts] == list(range(1, len(parts) + 1)) and total == len(block)
                 sizes.append(size)
                 fine.append(ok and whole)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array(sizes, pa.int64()), pa.array(fine, pa.bool_())], ["id", "url", "record", "times", "digest", "size", "intact"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(digests, pa.string()), pa.array(sizes, pa.int64()), pa.array(fine, pa.bool_())], ["id", "url", "record", "times", "digest", "size", "intact"])
 
     # Written once, since the parts below read it several times; it has no payloads but those of segments.
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "{*.txt.gz,*.warc.gz,*.warc}").load(path).select("content")
     found = kept(files.mapInArrow(run, _PARSED), "records")
     # Repeated rows have equal segments: one of each number is taken, and the first's count gives the rows back.
     # Without its first segment a record comes back once, with neither id nor URL.
