@@ -166,3 +166,15 @@ def test_stream_counts_visits_per_day(spark, tmp_path):
     want = visits.daily_frequency(whole, stops, "2024-01-01", "2024-01-09").where("station_id < 9")
     assert {(r[0], r[1].replace(tzinfo=None), r[2]) for r in found} == {tuple(r) for r in want.collect()}
     assert len(found) == 12
+
+
+def test_a_stream_leaves_the_session_as_it_was(spark, tmp_path):
+    snap = snapshots(spark, [("10:00", {}), ("10:05", {}), ("5 10:00", {})])
+    snap.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(snap.schema).parquet(str(tmp_path / "in"))
+    before = spark.conf.get(counts.MERGE_EARLY)
+    query = counts.run_available(counts.stream_visits(stream, routes(spark)), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert spark.conf.get(counts.MERGE_EARLY) == before == "false"
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "MergingSessions" in plan.split("Exchange", 1)[1]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1

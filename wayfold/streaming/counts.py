@@ -46,10 +46,9 @@ def stream_visits(
 ) -> DataFrame:
     """Visits in the start box per route and vehicle.
 
-    Records are merged into sessions in the task that read them, before the shuffle, so a hot
-    vehicle costs a few rows per task. The setting for that is off by default and turned on here.
+    With the setting that :func:`run_available` starts its query with, records are merged into sessions in
+    the task that read them, before the shuffle, so a hot vehicle costs a few rows per task.
     """
-    stream.sparkSession.conf.set(MERGE_EARLY, "true")
     hits = _start_hits(stream, routes, delay, prec, tol)
     sessions = hits.groupBy(
         F.session_window("dateTime", _text(gap)), "station_id", "vehicle_id"
@@ -72,7 +71,6 @@ def stream_daily_visits(
     windows that begin that much later: every session of a day, and no other, closes inside its window. A day is appended
     once, when the watermark has passed its end and the gap.
     """
-    stream.sparkSession.conf.set(MERGE_EARLY, "true")
     hits = _start_hits(stream, routes, delay, prec, tol).withColumn("day", F.date_trunc("day", "dateTime"))
     sessions = hits.groupBy(F.session_window("dateTime", _text(gap)), "station_id", "vehicle_id", "factor", "day").agg(F.count("*").alias("records"))
     # The time of a closed session is its last record and the gap, less a microsecond.
@@ -84,14 +82,24 @@ def stream_daily_visits(
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, append it to Parquet files under ``path``, and stop."""
-    query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process what has arrived, append it to Parquet files under ``path``, and stop.
+
+    A query keeps the settings it was started with, so early merging of sessions is on for it alone; the caller's session
+    has its own setting back at once.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(MERGE_EARLY)
+    conf.set(MERGE_EARLY, "true")
+    try:
+        query = (
+            stream.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(MERGE_EARLY, before)
     query.awaitTermination()
     return query
