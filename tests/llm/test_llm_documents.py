@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wayfold.llm import cases, classifier, mixing, ngram_jaccard, quality_rules, sentencepiece_codec, suffix_dedup
 from wayfold.llm.components import components
@@ -288,6 +289,35 @@ def test_mixing_meets_its_targets(spark):
         assert np.allclose(drawn, target, rtol=0.15)
 
 
+def test_mixing_meets_all_targets_of_the_table(spark):
+    """Also those of small values, which are kept whole; the rest of their share goes to the others."""
+    from oracle import sf_dir
+
+    docs = cases.table(spark, sf_dir("0.1"), "documents")
+    mixed = mixing.mix(docs).cache()
+    rows = mixing.report(mixed).collect()
+    assert {r.marginal for r in rows} == {"source", "lang", "topic"}
+    assert all(abs(r.expected - r.target) <= 0.02 * r.target for r in rows)
+    for m in ("source", "lang", "topic"):
+        own = [r for r in rows if r.marginal == m]
+        total = sum(r.tokens for r in own)
+        assert abs(sum(r.target for r in own) - 0.8 * total) <= 1e-6 * total and all(r.target <= r.tokens + 1e-6 for r in own)
+    assert any(r.target == r.tokens for r in rows)
+    drawn = mixed.agg(F.sum(F.when(F.col("sampled"), F.col("n_tokens"))) / F.sum("n_tokens")).first()[0]
+    assert abs(drawn - 0.8) < 0.03
+
+
+def test_mixing_stops_by_tolerance_and_takes_a_topic_column(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, words_of(rng, rng.randrange(5, 60)), rng.choice(["en", "en", "de"]), rng.choice("aaab"), 0, "", rng.choice("xyyz")) for i in range(800)]
+    frame, steps = spark.createDataFrame(rows, DOCS), []
+    counted = mixing.raked_by
+    monkeypatch.setattr(mixing, "raked_by", lambda *a: steps.append(1) or counted(*a))
+    mixed = mixing.mix(frame, budget=0.5, tolerance=0.01, rounds=30, topic_col="key")
+    assert 3 <= len(steps) < 60 and {r.topic for r in mixed.select("topic").distinct().collect()} == {"x", "y", "z"}
+    assert all(abs(r.expected - r.target) <= 0.011 * r.target for r in mixing.report(mixed, budget=0.5).collect())
+
+
 def test_classifier(spark, docs):
     rng = random.Random(6)
     rows = [(i, words_of(rng, 60) if i % 3 else "!!! ".join(words_of(rng, 60).upper().split()), "en", "a", 0, "", "") for i in range(900)]
