@@ -3,13 +3,17 @@
 A page becomes a light element tree (implied end tags and missing ends included). Parts that are never main
 text are left out: by element (menus, headers and footers, sidebars, forms, scripts, ...), by the attribute hidden
 and the like, or by a class, id or role that is as a whole the name of such a part (adverts, notices, comments, ...) or
-a known compound; class and id never mark headings or paragraphs, an id no section, cell, item or part that begins with
-a heading of that text, and no name marks what holds over half of the page's points, unless an article outside has any. Every block that holds text of its own
+a known compound, written apart or as one word; class and id never mark headings, and paragraphs only as adverts; an id marks no section, cell, item or part
+that begins with a heading of that text, unless it names reader comments. A name alone does not decide, the points of the part are held against those of the page:
+names of adverts, notices and the like mark nothing that holds over half of the points, unless an article outside has any;
+names of reader comments mark whatever leaves a paragraph's worth outside (LEFT); names of a place (left column, bottom) mark what holds under a quarter.
+Of a table row one of whose cells holds over half of the points in blocks, cells with less than a fifth of that cell's text go. Every block that holds text of its own
 then passes points to its ancestors: one, one per comma, and up to three for its length, whole to its parent
 (a container to itself), half to the next, less beyond, each discounted by the share of its text that
 stands in links; headings pass none. The container with the most points wins; if it lies in
 an article or main element, the outermost such element is the container. Beside it, whatever its tag,
-and however far out, every block or run of bare text with few links (LINKED) is kept, short or long.
+every block or run of bare text with few links (LINKED) is kept, short or long, but for a copyright line. Further out, a part with few links
+is kept if it has a fifth of the container's points (SHARE), is a heading in front of it, or holds a sentence of some length.
 
 The text is that of the container and the kept siblings in page order: character references decoded,
 white space in a block turned into one space, blocks joined by one space. Nothing is capped.
@@ -25,6 +29,7 @@ import html as entities
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -54,16 +59,30 @@ BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsbygoogle banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb"
     " breadcrumbs sidebar footer header masthead cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup social share"
     " sharing comment comments disqus replies respond related recommended pager pagination toolbar widget widgets search login contentinfo complementary"
-    " alert disclaimer outbrain taboola".split()
+    " alert disclaimer outbrain taboola copyright commenters commenting reaction reactions responses".split()
 )
 #: Words that make a known compound with those above, as in share-bar or site-footer, and other known names.
 COMPOUND = frozenset(
     "area bar block box bottom btn button buttons center column container form group icon icons inner item items js left link links list main"
-    " mobile outer overlay panel primary right row secondary section site slot thread top unit user wrap wrapper zone".split()
+    " mobile outer overlay panel primary right row secondary section site slot thread top unit user window wrap wrapper zone google".split()
 )
-COMPOUNDS = frozenset("related-posts related-articles related-stories recommended-posts recommended-articles post-comments post-navigation".split())
-#: What class and id never mark, and where an id tells a place in the text.
-UNMARKED = HEADINGS | {"p"}
+COMPOUNDS = frozenset("related-posts related-articles related-stories recommended-posts recommended-articles post-comments post-navigation cc-window".split())
+#: Names of reader comments, of adverts, and whose part they may be, as in entry-comments.
+READERS = frozenset("comment comments commenters commenting disqus reaction reactions replies respond responses".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored copyright outbrain taboola".split())
+OWNERS = frozenset("article blog entry post reader readers story".split())
+OWNED = READERS | ADVERTS | frozenset("footer nav navigation newsletter pager pagination promo related share sharing sidebar social".split())
+#: Words that name a place beside the text, and those that may stand with them.
+PLACES = frozenset("left right side rail bottom".split())
+BESIDE = PLACES | frozenset("area bar block box col column content inner outer panel wrap wrapper".split())
+#: Points that must be left outside of reader comments, and the share of the container's points that parts further out have.
+LEFT = 1.5
+SHARE = 0.2
+#: A sentence of some length, and a copyright line.
+SENTENCE = re.compile(r"[.!?\u3002\uff01\uff1f][\"')\]\u201d\u2019]?(?:\s|\Z)")
+LONG = 80
+OWNERSHIP = re.compile(r"\s*(?:copyright\s*)?(?:\u00a9|\(c\)\s*\d{4}|copyright\s+\d{4})", re.I)
+#: Where an id tells a place in the text.
 ANCHORED = frozenset("section dt dd li td th tr pre blockquote figure span a code".split())
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
@@ -78,32 +97,51 @@ class Element:
         self.tag, self.parent, self.skipped = tag, parent, skipped
         self.children: list[Element | str] = []
         self.score = 0.0
-        #: Marked as boilerplate by its names, or by this id.
-        self.marked, self.anchor = False, ""
-
-
-def _named(name: str) -> bool:
-    """Whether a whole name is one of the words or a known compound of them."""
-    words = [w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))]
-    if "-".join(words) in COMPOUNDS:
-        return True
-    return not BOILERPLATE.isdisjoint(words) and all(w in BOILERPLATE or w in COMPOUND or len(w) == 1 for w in words)
-
-
-def _attributes(tag: str, written: str) -> tuple[bool, bool, str]:
-    """(whether the element is hidden, whether its role or class mark it as boilerplate, its id if that does)."""
+        #: What its names mark it as, and its id, if that does.
+        self.marked, self.anchor = "", ""
+
+
+@lru_cache(1 << 14)
+def _parted(word: str) -> tuple[str, ...]:
+    """A word as it is known, or cut in a boilerplate word and a word that may stand with one, as in commentlist."""
+    if word in BOILERPLATE or word in COMPOUND or word in BESIDE or word in OWNERS:
+        return (word,)
+    for at in range(2, len(word) - 1):
+        front, back = word[:at], word[at:]
+        if front in BOILERPLATE and back in COMPOUND or front in COMPOUND and back in BOILERPLATE:
+            return front, back
+    return (word,)
+
+
+def _named(name: str) -> str:
+    """What a whole name is, by its words or as a known compound of them: readers, advert, frame, place or nothing."""
+    written = [w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))]
+    words = [part for w in written for part in _parted(w)]
+    known = not BOILERPLATE.isdisjoint(words) and all(w in BOILERPLATE or w in COMPOUND or len(w) == 1 for w in words)
+    owned = not OWNED.isdisjoint(words) and all(w in OWNED or w in OWNERS or w in COMPOUND for w in words)
+    if known or owned or "-".join(written) in COMPOUNDS:
+        return "readers" if not READERS.isdisjoint(words) else "advert" if not ADVERTS.isdisjoint(words) else "frame"
+    return "place" if not PLACES.isdisjoint(words) and all(w in BESIDE for w in words) else ""
+
+
+def _attributes(tag: str, written: str) -> tuple[bool, str, str]:
+    """(whether the element is hidden, what its role or class mark it as, its id if only that does)."""
     if not written or written.isspace():
-        return False, False, ""
+        return False, "", ""
     given: dict[str, str] = {}
     for name, *value in ATTRIBUTE.findall(written):
         given.setdefault(name.lower(), "".join(value))
     hidden = "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true" or bool(NO_DISPLAY.search(given.get("style", "")))
-    named = any(r.lower() in BOILERPLATE for r in given.get("role", "").split())
-    if tag in UNMARKED:
-        return hidden, named, ""
-    named = named or any(map(_named, given.get("class", "").split()))
-    own = given.get("id", "") if tag not in ANCHORED else ""
-    return hidden, named, own if own and _named(own) else ""
+    named = {"frame"} if any(r.lower() in BOILERPLATE for r in given.get("role", "").split()) else set()
+    if tag in HEADINGS:
+        return hidden, max(named, default=""), ""
+    named |= {kind for kind in map(_named, given.get("class", "").split()) if kind and (tag != "p" or kind == "advert")}
+    if named:
+        return hidden, next(kind for kind in ("readers", "advert", "frame", "place") if kind in named), ""
+    own = _named(given.get("id", "")) if tag != "p" else ""
+    if tag in ANCHORED and not (tag == "section" and own == "readers"):
+        own = ""
+    return hidden, own, given["id"] if own else ""
 
 
 def tree(page: str) -> Element:
@@ -148,9 +186,9 @@ def tree(page: str) -> Element:
         if top.tag == "head" and tag not in ("meta", "title", "link", "script", "style", "base", "noscript", "template"):
             top = top.parent or root
         # A header or footer inside an article is part of the page's frame all the same.
-        hidden, named, own = _attributes(tag, found[3]) if tag not in ("article", "main") else (False, False, "")
+        hidden, named, own = _attributes(tag, found[3]) if tag not in ("article", "main") else (False, "", "")
         made = Element(tag, top, top.skipped or tag in SKIPPED or hidden)
-        made.marked, made.anchor = named or bool(own), "" if named else own
+        made.marked, made.anchor = named, own
         top.children.append(made)
         if tag in VOID or found[3].endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
@@ -211,14 +249,43 @@ def _heading(element: Element) -> str:
 
 
 def _skip_marked(root: Element) -> None:
-    """Skips what class, id or role mark, but for parts whose id was made from their heading, and for a
-    container that holds over half of the page's points, if no article or main element outside of it has any."""
-    marked = [e for e, text, opens in _walk(root) if opens and text is None and e.marked]
-    marked = [e for e in marked if not e.anchor or "-".join(w.lower() for w in WORDS.findall(e.anchor)) != _heading(e)]
-    if not marked:
+    """Skips what class, id or role mark, by the points that it holds, but for parts whose id was made from their heading."""
+    elements = [e for e, text, opens in _walk(root) if opens and text is None]
+    marked = [e for e in elements if e.marked]
+    marked = [e for e in marked if e.marked == "readers" or not e.anchor or "-".join(w.lower() for w in WORDS.findall(e.anchor)) != _heading(e)]
+    cells = [e for e in elements if e.tag in ("td", "th")]
+    if not marked and not cells:
         return
-    points = {id(e): own for e, own in _measure(root)[0]}
-    # Articles with points in an element, and those around it.
+    points, inside, around = _held(root)
+    every = points.get(id(root), 0.0)
+    for e in marked:
+        own = points.get(id(e), 0.0)
+        if e.marked == "readers":
+            e.skipped = every - own >= LEFT
+        elif e.marked == "place":
+            e.skipped = own < every / 4
+        if e.marked in ("advert", "frame") or not e.skipped and e.marked == "readers":
+            e.skipped = own <= every / 2 or inside[id(root)] > inside[id(e)] + around[id(e)]
+    if cells:
+        _skip_cells(root, cells)
+
+
+def _skip_cells(root: Element, cells: list[Element]) -> None:
+    """Skips the small cells beside one that holds over half of the page's points in blocks: that row lays out the page."""
+    given, sums = _measure(root)
+    points = _held(root, given)[0]
+    for e in cells:
+        own = points.get(id(e), 0.0)
+        inner = sum(not isinstance(c, str) and c.tag in BLOCK and not c.skipped for c in e.children)
+        if not e.skipped and inner > 1 and e.parent is not None and own > points.get(id(root), 0.0) / 2:
+            for beside in e.parent.children:
+                if not isinstance(beside, str) and not beside.skipped and beside.tag in ("td", "th") and sums[id(beside)][0] < SHARE * sums[id(e)][0]:
+                    beside.skipped = True
+
+
+def _held(root: Element, given: list[tuple[Element, float]] | None = None) -> tuple[dict[int, float], dict[int, int], dict[int, int]]:
+    """By element: the points that it holds, the articles with points in it, and the articles around it."""
+    points = {id(e): own for e, own in (_measure(root)[0] if given is None else given)}
     inside: dict[int, int] = {}
     around: dict[int, int] = {}
     for element, text, opens in _walk(root):
@@ -230,9 +297,7 @@ def _skip_marked(root: Element) -> None:
             if element.parent is not None:
                 points[up] = points.get(up, 0.0) + points.get(here, 0.0)
                 inside[up] = inside.get(up, 0) + inside[here]
-    most = points.get(id(root), 0.0) / 2
-    for e in marked:
-        e.skipped = points.get(id(e), 0.0) <= most or inside[id(root)] > inside[id(e)] + around[id(e)]
+    return points, inside, around
 
 
 def _measure(root: Element) -> tuple[list[tuple[Element, float]], dict[int, list[float]]]:
@@ -271,8 +336,8 @@ def _measure(root: Element) -> tuple[list[tuple[Element, float]], dict[int, list
     return [(e, (1 + commas + min(length / 100, 3)) * (1 - linked / length)) for e in filled for length, linked, commas in [own[id(e)]]], sums
 
 
-def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
-    """Elements with points, and the lengths of every element."""
+def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]], dict[int, float]]:
+    """Elements with points, the lengths of every element, and the points that it holds."""
     scored: dict[int, Element] = {}
     given, sums = _measure(root)
     for e, points in given:
@@ -282,7 +347,7 @@ def _scores(root: Element) -> tuple[list[Element], dict[int, list[float]]]:
             scored[id(parent)] = parent
             parent, level = parent.parent, level + 1
             share = 0.5 / level
-    return list(scored.values()), sums
+    return list(scored.values()), sums, _held(root, given)[0]
 
 
 def _runs(node: Element, here: Element) -> Iterator[Element]:
@@ -312,7 +377,7 @@ def main_text(page: str | None) -> str:
         return ""
     root = tree(page)
     _skip_marked(root)
-    candidates, sums = _scores(root)
+    candidates, sums, points = _scores(root)
     if not candidates:
         return ""
 
@@ -335,18 +400,33 @@ def main_text(page: str | None) -> str:
         if walk.tag in ("article", "main"):
             best = walk
         walk = walk.parent
+    def belongs(part: Element, level: int, seen: bool) -> bool:
+        if not lengths(part)[0] or density(part) >= LINKED:
+            return False
+        texts = blocks(part)
+        if all(map(OWNERSHIP.match, texts)):
+            return False
+        return (
+            level == 0
+            or points.get(id(part), 0.0) >= SHARE * points.get(id(best), 0.0)
+            or not seen and part.tag in HEADINGS
+            or any(len(t) >= LONG and SENTENCE.search(t) for t in texts)
+        )
+
     # From the container outwards, so that an article in several containers comes back whole.
-    parts, here = deque([best]), best
+    parts, here, level = deque([best]), best, 0
     while here.parent is not None:
         before, after, seen = [], [], False
         for s in _runs(here.parent, here):
             if s is here:
                 seen = True
                 continue
-            if lengths(s)[0] and density(s) < LINKED:
+            if belongs(s, level, seen):
                 (after if seen else before).append(s)
         parts.extendleft(reversed(before))
         parts.extend(after)
+        # A container of nothing else is no step outwards.
+        level += sum(not c.isspace() if isinstance(c, str) else not c.skipped for c in here.parent.children) > 1
         here = here.parent
     return " ".join(b for p in parts for b in blocks(p))
 
