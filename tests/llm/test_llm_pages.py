@@ -43,6 +43,33 @@ def test_top_k(spark, monkeypatch, size):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_reads_few_vectors(spark, monkeypatch):
+    """The file has a byte a component, and under a tenth of the clustered vectors are read for a query."""
+    monkeypatch.setattr(topk, "CANDIDATES", 400)
+    rng = random.Random(9)
+    centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(12)]
+    rows = [(i, [x + rng.gauss(0, 0.2) for x in rng.choice(centres)]) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(map(tuple, topk.top_k(frame).collect())) == scores_of(rows, 50, 5)
+    usable = topk.kept(topk.usable(frame, "vec_id", "embedding", 256), "vectors")
+    near = topk.approximate(usable, 50, 5)
+    asked = 3000 // 50
+    assert near.count() < 0.1 * asked * 3000
+    assert near.groupBy("query_id").count().agg({"count": "max"}).first()[0] < 0.1 * 3000
+    scanned = topk._file_row((16, 0), usable.limit(400).toPandas())
+    assert len(scanned[4][0]) == 400 * 16
+
+
+def test_top_k_of_one_vector(spark):
+    """A vector that most rows hold, several lengths, fewer rows than results."""
+    rows = [(i, [1.0, 2.0]) for i in range(300)] + [(i, [0.5, 0.1 * i, 1.0]) for i in range(300, 304)] + [(50, [3.0, 1.0])] * 7
+    got = Counter(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    want = Counter()
+    for dim in (2, 3):
+        want += scores_of([r for r in rows if len(r[1]) == dim], 50, 5)
+    assert got == want
+
+
 def test_top_k_of_large_components(spark):
     rows = [(0, [1e14, 1.0]), (1, [3e13, 5.0]), (2, [-2e13, 1e13])]
     got = Counter(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))

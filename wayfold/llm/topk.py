@@ -1,13 +1,19 @@
 """Exact top-k by inner product with a vector-approximation file.
 
-Every component x becomes floor(scale * x). Vectors are dealt to blocks by a hash of their content,
-in numbers that follow the row counts, and each block of queries meets each block of candidates once.
-A block of candidates is first scanned as cells: CELLS equal steps per component between the block's
-least and largest value. The cell bounds of a vector bound its score from both sides. Exact vectors
-are then read in the order of their upper bounds, until no bound left can reach the kth exact score.
-The best k of all blocks are merged per query.
-
-Scores are exact whole numbers: sums that could leave 53 bits are computed with Python integers.
+Every component x becomes floor(scale * x). The file holds one row per block of vectors: each component as a
+byte, the number of one of CELLS equal steps between the block's least and largest value, and per component the
+middle of the first step, the step, and how far a value lies from the middle of its step at most. One product with the bytes
+gives a score, and these distances bound its error, for all vectors of the block at once; the vectors themselves are not touched.
+
+1. Each block of queries meets each block of the file. Candidates whose upper bound reaches the kth lower bound of
+   the block, or of a block that the task saw before, go on as ids with both bounds.
+2. The kth lower bound over all blocks rules out most of them. The rest are placed in the order of their upper bounds.
+3. Exact vectors are read in that order: the first 2k per query, and then those whose upper bound still reaches
+   the kth exact score. Beyond these the result is certain.
+
+Of equal vectors the file holds the k + 1 with the smallest ids: no other can be among k results, so that one very
+common vector costs no more than any other. Scores are exact whole numbers: sums that could leave 53 bits are computed with Python integers.
+
 Defined cases: a null vector or one with a null or non-finite component takes no part, neither as
 query nor as candidate, and so does a row without id; equal rows (id and vector) are one query, and as
 candidates as many results as there are rows; vectors of different lengths do not meet; ties go to
@@ -16,107 +22,141 @@ the smaller id; scores beyond a long are cut to its range; extra columns are ign
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-CELLS = 64
+from wayfold.llm.common import kept
+
+CELLS = 256  # one byte
 QUERIES = 1024  # in a block
 CANDIDATES = 8192
-SHARE = 128  # queries of a block whose bounds are held at a time
+COMPONENTS = 1 << 22  # in a block of either kind, about
+SHARE = 128  # queries of a block whose scores are held at a time
+QUERY = ["query_id", "query_key"]
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 def whole(column, scale: int):
     return F.transform(column, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
 
 
-def best(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best candidates of each query in this block."""
-    c, q = np.stack(candidates["v"].to_numpy()), np.stack(queries["v"].to_numpy())
-    times = candidates["times"].to_numpy(np.int64)
-    order = np.argsort(candidates["id"].to_numpy(), kind="stable")
-    c, times, ids = c[order], times[order], candidates["id"].to_numpy()[order]
-    largest = float(np.abs(c).max(initial=0.0)) * float(np.abs(q).max(initial=0.0)) * max(1, c.shape[1])
-    if largest >= 2**52:
-        return _by_integers(queries, q, c, ids, times, k)
+def _file_row(at: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """A block of vectors as a row of the file."""
+    c = np.stack(rows["v"].to_numpy())
     low, high = c.min(axis=0), c.max(axis=0)
     step = np.maximum((high - low) / CELLS, 1e-300)
-    cell = np.clip(((c - low) / step).astype(np.int64), 0, CELLS - 1).astype(np.uint8)
-    # The cells' own edges, taken outward to whole numbers, so that rounding can't cut a value off.
-    floor_ = np.minimum(np.floor(low + cell * step), c)
-    ceil_ = np.maximum(np.ceil(low + (cell + 1) * step), c)
-    out = []
-    for at in range(0, len(q), SHARE):
-        part = q[at : at + SHARE]
-        plus, minus = np.maximum(part, 0), np.minimum(part, 0)
-        upper = plus @ ceil_.T + minus @ floor_.T
-        lower = plus @ floor_.T + minus @ ceil_.T
-        own = queries["id"].to_numpy()[at : at + SHARE, None] == ids[None, :]
-        upper[own], lower[own] = -np.inf, -np.inf
-        n = min(k, len(ids))
-        sure = -np.partition(-lower, n - 1, axis=1)[:, n - 1]  # k candidates reach this at least
-        for r in range(len(part)):
-            near = np.flatnonzero((upper[r] >= sure[r]) & ~own[r])
-            near = near[np.argsort(-upper[r][near], kind="stable")]
-            scores: np.ndarray = np.empty(0)
-            read = 0
-            while read < len(near):
-                if read >= k and -np.partition(-scores, k - 1)[k - 1] > upper[r][near[read]]:
-                    break
-                more = near[read : read + max(4 * k, 32)]
-                scores = np.concatenate([scores, c[more] @ part[r]])
-                read += len(more)
-            seen = near[: len(scores)]
-            top = np.lexsort((seen, -scores))[:k]
-            out.append((at + r, seen[top], scores[top].astype(np.int64)))
-    return _rows(queries, out, ids, times, k)
-
-
-def _by_integers(queries: pd.DataFrame, q: np.ndarray, c: np.ndarray, ids: np.ndarray, times: np.ndarray, k: int) -> pd.DataFrame:
-    exact = [[int(x) for x in v] for v in c]
-    out = []
-    for r, own in enumerate(queries["id"].to_numpy()):
-        v = [int(x) for x in q[r]]
-        scores = [min(max(sum(x * y for x, y in zip(v, w, strict=True)), -(2**63)), 2**63 - 1) for w in exact]
-        top = [i for i in sorted(range(len(ids)), key=lambda i: (-scores[i], i)) if ids[i] != own][:k]
-        out.append((r, np.array(top, np.int64), np.array([scores[i] for i in top], np.int64)))
-    return _rows(queries, out, ids, times, k)
-
-
-def _rows(queries: pd.DataFrame, out: list, ids: np.ndarray, times: np.ndarray, k: int) -> pd.DataFrame:
-    rows = []
-    for r, places, scores in out:
-        copies = np.minimum(times[places], k)
-        rows.append((np.full(copies.sum(), r), np.repeat(ids[places], copies), np.repeat(scores, copies)))
-    r, vec, score = (np.concatenate([x[i] for x in rows]) for i in range(3))
-    return pd.DataFrame({"query_id": queries["id"].to_numpy()[r], "query_key": queries["key"].to_numpy()[r], "vec_id": vec, "score": score})
+    cell = np.clip((c - low) / step, 0, CELLS - 1).astype(np.uint8)
+    middle = low + step / 2
+    off, size = np.abs(c - (middle + cell * step)).max(axis=0), np.abs(c).max(axis=0)
+    numbers = (rows["id"].to_numpy(np.int64), rows["key"].to_numpy(np.int64), cell, middle, step, off, size)
+    return pd.DataFrame([(*at, *(x.tobytes() for x in numbers))])
+
+
+def _query_row(at: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    numbers = (rows["id"].to_numpy(np.int64), rows["key"].to_numpy(np.int64), np.stack(rows["v"].to_numpy()))
+    return pd.DataFrame([(*at, *(x.tobytes() for x in numbers))])
+
+
+def _bounds(pairs: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """(query, candidate, bounds of its score) of the candidates of each pair of blocks that can be among the best k."""
+    met, floor = None, np.empty(0)
+    for batch in pairs:
+        for row in batch.itertuples(index=False):
+            query_id, query_key, ids, keys = (np.frombuffer(x, np.int64) for x in (row.query_ids, row.query_keys, row.ids, row.keys))
+            q, cell = np.frombuffer(row.q).reshape(-1, row.dim), np.frombuffer(row.cell, np.uint8).reshape(-1, row.dim).astype(float)
+            middle, step, off, size = (np.frombuffer(x) for x in (row.middle, row.step, row.off, row.size))
+            if met != (row.dim, row.part):
+                met, floor = (row.dim, row.part), np.full(len(q), -np.inf)
+            for first in range(0, len(q), SHARE):
+                part = slice(first, first + SHARE)
+                score = (q[part] * step) @ cell.T + (q[part] @ middle)[:, None]
+                # The second term is beyond the rounding of sums of up to a million components.
+                error = np.abs(q[part]) @ off + 1e-9 * (np.abs(q[part]) @ size)
+                own = query_id[part, None] == ids[None, :]
+                score[own] = -np.inf
+                if len(ids) >= k:
+                    floor[part] = np.maximum(floor[part], -np.partition(-score, k - 1, axis=1)[:, k - 1] - error)
+                r, place = np.nonzero((np.clip(score + error[:, None], LEAST, MOST) >= np.clip(floor[part], LEAST, MOST)[:, None]) & ~own)
+                near, error = score[r, place], error[r]
+                yield pd.DataFrame({
+                    "query_id": query_id[first + r], "query_key": query_key[first + r], "vec_id": ids[place], "vec_key": keys[place],
+                    "upper": np.clip(near + error, LEAST, MOST), "lower": np.clip(near - error, LEAST, MOST),
+                })
+
+
+def _scores(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in pairs:
+        made = np.empty(len(batch), np.int64)
+        for i, (q, c) in enumerate(zip(batch["q"], batch["v"], strict=True)):
+            if float(np.abs(q).max()) * float(np.abs(c).max()) * len(q) < 2**52:
+                made[i] = int(q @ c)
+            else:
+                made[i] = min(max(sum(int(x) * int(y) for x, y in zip(q, c, strict=True)), LEAST), MOST)
+        yield batch[[*QUERY, "vec_id", "times"]].assign(score=made)
+
+
+def _kth(rows: DataFrame, value: str, k: int) -> DataFrame:
+    """The kth largest value of each query that has as many, as ``least``."""
+    order = Window.partitionBy(*QUERY).orderBy(F.desc(value))
+    best = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.groupBy(*QUERY).agg(F.min(value).alias("least"), F.count("*").alias("n")).where(F.col("n") == k).drop("n")
+
+
+def _can_win(rows: DataFrame, least: DataFrame) -> DataFrame:
+    return rows.join(least, QUERY, "left").where(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).drop("least")
+
+
+def approximate(rows: DataFrame, every: int, k: int) -> DataFrame:
+    """Steps 1 and 2: (query, candidate, upper, lower, place) of the candidates that can win, from the file alone."""
+    counted = rows.agg(F.count("*").alias("n"), F.sum(F.size("v")).alias("c"), F.count_if(F.col("id") % every == 0).alias("q")).first()
+    share = max(1, (counted["c"] or 0) // max(1, counted["n"]) // (COMPONENTS // CANDIDATES))
+    blocks, parts = max(1, -(-counted["n"] * share // CANDIDATES)), max(1, -(-counted["q"] * share // QUERIES))
+    dim, spread = F.size("v").alias("dim"), lambda n, name: F.pmod("key", F.lit(n)).cast("int").alias(name)
+    least_ids = Window.partitionBy("v").orderBy("id")
+    filed = rows.withColumn("nth", F.row_number().over(least_ids)).where(F.col("nth") <= k + 1).select("id", "key", "v", dim, spread(blocks, "block"))
+    held = "ids binary, keys binary, cell binary, middle binary, step binary, off binary, size binary"
+    file = kept(filed.groupBy("dim", "block").applyInPandas(_file_row, f"dim int, block int, {held}"), "approximation")
+    asked = rows.where(F.col("id") % every == 0).select("id", "key", "v", dim, spread(parts, "part"))
+    asked = asked.groupBy("dim", "part").applyInPandas(_query_row, "dim int, part int, query_ids binary, query_keys binary, q binary")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    pairs = asked.withColumn("block", each(blocks)).join(file.withColumn("part", each(parts)), ["dim", "part", "block"])
+    made = "query_id bigint, query_key bigint, vec_id bigint, vec_key bigint, upper double, lower double"
+    found = kept(pairs.mapInPandas(lambda batches: _bounds(batches, k), made), "bounds")
+    order = Window.partitionBy(*QUERY).orderBy(F.desc("upper"), "vec_id")
+    return _can_win(found, _kth(found, "lower", k)).withColumn("place", F.row_number().over(order))
 
 
-def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, scale: int = 256, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the rows whose id is divisible by ``every`` against all rows."""
+def read(near: DataFrame, rows: DataFrame) -> DataFrame:
+    """(query, vec_id, times, score) with the exact vectors of both sides."""
+    queries = rows.select(F.col("id").alias("query_id"), F.col("key").alias("query_key"), F.col("v").alias("q"))
+    vectors = rows.select(F.col("id").alias("vec_id"), F.col("key").alias("vec_key"), "v", "times")
+    met = near.select(*QUERY, "vec_id", "vec_key").join(vectors, ["vec_id", "vec_key"]).join(queries, QUERY)
+    return met.select(*QUERY, "vec_id", "times", "q", "v").mapInPandas(_scores, "query_id bigint, query_key bigint, vec_id bigint, times bigint, score bigint")
+
+
+def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
+    """(id, v, times, key) of the distinct rows that take part."""
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).where(
         "id IS NOT NULL AND v IS NOT NULL AND size(v) > 0"
     )
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = rows.where(F.coalesce(fine, F.lit(False))).select("id", whole(v, scale).alias("v"))
-    rows = rows.groupBy("id", "v").agg(F.count("*").alias("times")).withColumn("key", F.xxhash64("id", "v"))
-    queries = rows.where(F.col("id") % every == 0)
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
-    blocks, parts = max(1, -(-counts["n"] // CANDIDATES)), max(1, -(-counts["q"] // QUERIES))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dim = F.size("v").alias("dim")
-    candidates = rows.select("id", "v", "times", "key", dim, F.pmod("key", F.lit(blocks)).cast("int").alias("block"), each(parts).alias("part"))
-    asked = queries.select("id", "v", "key", dim, F.pmod("key", F.lit(parts)).cast("int").alias("part"), each(blocks).alias("block"))
-    by = ["dim", "block", "part"]
-    schema = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
-    empty = pd.DataFrame({n: pd.Series(dtype="int64") for n in ("query_id", "query_key", "vec_id", "score")})
-
-    def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        return best(q, c, k) if len(q) and len(c) else empty
-
-    found = asked.groupBy(*by).cogroup(candidates.groupBy(*by)).applyInPandas(search, schema)
-    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    return rows.groupBy("id", "v").agg(F.count("*").alias("times")).withColumn("key", F.xxhash64("id", "v"))
+
+
+def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, scale: int = 256, k: int = 5) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the rows whose id is divisible by ``every`` against all rows."""
+    rows = kept(usable(vectors, id_col, vec_col, scale), "vectors")
+    near = kept(approximate(rows, every, k), "near")
+    first = kept(read(near.where(F.col("place") <= 2 * k), rows), "read")
+    rest = read(_can_win(near.where(F.col("place") > 2 * k), _kth(first, "score", k)), rows)
+    copies = F.explode(F.array_repeat(F.lit(1), F.least("times", F.lit(k)).cast("int")))
+    found = first.union(rest).withColumn("copy", copies)
+    order = Window.partitionBy(*QUERY).orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
