@@ -7,9 +7,10 @@ gives a score, and these distances bound its error, for all vectors of the block
 
 1. Each block of queries meets each block of the file. Candidates whose upper bound reaches the kth lower bound of
    the block, or of a block that the task saw before, go on as ids with both bounds.
-2. The kth lower bound over all blocks rules out most of them. The rest are placed in the order of their upper bounds.
-3. Exact vectors are read in that order: the first 2k per query, and then those whose upper bound still reaches
-   the kth exact score. Beyond these the result is certain.
+2. The kth lower bound over all blocks rules out most of them.
+3. Exact vectors are read in the order of the upper bounds of the rest: the first 2k per query (and those as high), and then
+   those whose upper bound still reaches the kth exact score. Beyond these the result is certain. The places in that order that
+   matter come from ranks that Spark limits before the shuffle, so a query with many near vectors is no task of its own.
 
 Of equal vectors the file holds the k + 1 with the smallest ids: no other can be among k results, so that one very
 common vector costs no more than any other. Scores are exact whole numbers: sums that could leave 53 bits are computed with Python integers.
@@ -111,7 +112,7 @@ def _can_win(rows: DataFrame, least: DataFrame) -> DataFrame:
 
 
 def approximate(rows: DataFrame, every: int, k: int) -> DataFrame:
-    """Steps 1 and 2: (query, candidate, upper, lower, place) of the candidates that can win, from the file alone."""
+    """Steps 1 and 2: (query, candidate, upper, lower) of the candidates that can win, from the file alone."""
     counted = rows.agg(F.count("*").alias("n"), F.sum(F.size("v")).alias("c"), F.count_if(F.col("id") % every == 0).alias("q")).first()
     share = max(1, (counted["c"] or 0) // max(1, counted["n"]) // (COMPONENTS // CANDIDATES))
     blocks, parts = max(1, -(-counted["n"] * share // CANDIDATES)), max(1, -(-counted["q"] * share // QUERIES))
@@ -126,8 +127,7 @@ def approximate(rows: DataFrame, every: int, k: int) -> DataFrame:
     pairs = asked.withColumn("block", each(blocks)).join(file.withColumn("part", each(parts)), ["dim", "part", "block"])
     made = "query_id bigint, query_key bigint, vec_id bigint, vec_key bigint, upper double, lower double"
     found = kept(pairs.mapInPandas(lambda batches: _bounds(batches, k), made), "bounds")
-    order = Window.partitionBy(*QUERY).orderBy(F.desc("upper"), "vec_id")
-    return _can_win(found, _kth(found, "lower", k)).withColumn("place", F.row_number().over(order))
+    return _can_win(found, _kth(found, "lower", k))
 
 
 def read(near: DataFrame, rows: DataFrame) -> DataFrame:
@@ -153,8 +153,10 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     """(query_id, rank, vec_id, score) of the rows whose id is divisible by ``every`` against all rows."""
     rows = kept(usable(vectors, id_col, vec_col, scale), "vectors")
     near = kept(approximate(rows, every, k), "near")
-    first = kept(read(near.where(F.col("place") <= 2 * k), rows), "read")
-    rest = read(_can_win(near.where(F.col("place") > 2 * k), _kth(first, "score", k)), rows)
+    early = kept(_kth(near, "upper", 2 * k), "early")
+    first = kept(read(_can_win(near, early), rows), "read")
+    later = near.join(early, QUERY).where(F.col("upper") < F.col("least")).drop("least")
+    rest = read(_can_win(later, _kth(first, "score", k)), rows)
     copies = F.explode(F.array_repeat(F.lit(1), F.least("times", F.lit(k)).cast("int")))
     found = first.union(rest).withColumn("copy", copies)
     order = Window.partitionBy(*QUERY).orderBy(F.desc("score"), "vec_id")
