@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -145,6 +146,55 @@ def test_a_passage_goes_with_the_blank_behind_it(spark):
     assert suffix_dedup.without_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_a_step_of_passages_has_one_python_worker(docs, monkeypatch):
+    """Of the steps over all texts none is a second worker that makes the codes beside the one that uses them."""
+    plans = {}
+    kept, counted = suffix_dedup.kept, suffix_dedup.repeated_slots
+
+    def keep(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    def count(texts, hashes):
+        plans["texts"] = texts._jdf.queryExecution().executedPlan().toString()
+        return counted(texts, hashes)
+
+    monkeypatch.setattr(suffix_dedup, "kept", keep)
+    monkeypatch.setattr(suffix_dedup, "repeated_slots", count)
+    suffix_dedup.without_passages(docs)
+    assert "MapInArrow" not in plans["texts"]
+    assert plans["runs"].count("MapInArrow") == 1
+
+
+def test_long_texts_are_handled_piece_by_piece(monkeypatch):
+    """One text of 6 MB of words of two bytes: 24 MB of codes. Anchors and codes do not depend on the pieces."""
+    rng = np.random.default_rng(8)
+    text = np.full(6_000_000, 32, np.uint8)
+    text[::2] = rng.integers(97, 123, 3_000_000)
+    offsets = np.array([0, len(text)])
+    tracemalloc.start()
+    letters, ends = suffix_dedup.codes_of(text, offsets)
+    for _ in suffix_dedup.anchored(letters, np.append([0, ends[0]], len(letters) + 400), 400):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6
+
+    text = rng.choice(np.frombuffer(b"abc \n", np.uint8), 30_000)
+    text[4_000:7_500] = 100  # a word that is longer than a piece
+    offsets = np.array([0, 0, 2_500, 2_500, 2_501, 9_000, 26_000, 30_000])
+
+    def found():
+        letters, ends = suffix_dedup.codes_of(text, offsets)
+        places = np.append(np.concatenate([[0], ends]), len(letters) + 90)
+        windows = [(w + at, a + at) for at, w, a, _ in suffix_dedup.anchored(letters, places, 90)]
+        return letters.tobytes(), ends.tolist(), *(np.concatenate(x).tolist() for x in zip(*windows, strict=True))
+
+    want = found()
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1_000)
+    assert found() == want
+
+
 def test_a_full_sketch_still_tells_repeats(spark, monkeypatch):
     """Ten hashes a slot: few that occur once pass, all that repeat do."""
     from wayfold.llm import sketches
