@@ -8,10 +8,13 @@ import hashlib
 import math
 import random
 import re
+import uuid
 from collections import Counter
 from datetime import date
 from html.parser import HTMLParser
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from wayfold.llm import extraction, topk, url_filters, warc
@@ -60,6 +63,62 @@ def test_top_k_reads_few_vectors(spark, monkeypatch):
     assert len(scanned[4][0]) == 400 * 16
 
 
+def test_top_k_hands_blocks_to_few_tasks(spark, monkeypatch, tmp_path):
+    """Tasks get a block of the file once for each part of the queries, and one of the queries once for each group, not once for each pair."""
+    bounds = topk._bounds
+
+    def counted(batches, k):
+        def seen():
+            for batch in batches:
+                size = batch.nbytes if hasattr(batch, "nbytes") else int(batch.memory_usage(deep=True).sum())
+                (tmp_path / uuid.uuid4().hex).write_text(str(size))
+                yield batch
+
+        return bounds(seen(), k)
+
+    monkeypatch.setattr(topk, "_bounds", counted)
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    rng = random.Random(10)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(map(tuple, topk.top_k(frame, every=5).collect())) == scores_of(rows, 5, 5)
+    handed = [int(x.read_text()) for x in tmp_path.iterdir()]
+    assert 0 < sum(handed) < 3_000_000
+
+
+@pytest.mark.parametrize(("single", "held"), [(4096, 1 << 19), (0, 1 << 19), (4096, 40)])
+def test_top_k_bounds_hold(monkeypatch, single, held):
+    """Bounds hold the exact score in both precisions, and no candidate that can win is lost where candidates are given out early."""
+    monkeypatch.setattr(topk, "SINGLE", single)
+    monkeypatch.setattr(topk, "HELD", held)
+    rng = np.random.default_rng(11)
+    vectors = np.concatenate([np.floor(256 * rng.standard_normal((300, 24))), np.repeat(np.floor(256 * rng.standard_normal((1, 24))), 120, axis=0)])
+    vectors[300:] += rng.integers(0, 2, (120, 24))
+    ids, k = np.arange(len(vectors)), 5
+    blocks = []
+    for first in range(0, len(vectors), 50):
+        part = slice(first, first + 50)
+        made = topk._file_row((24, 0), pd.DataFrame({"id": ids[part], "key": ids[part] + 7, "v": list(vectors[part])})).iloc[0, 2:]
+        kinds = [np.int64, np.int64, np.uint8, *[float] * 4]
+        block = [np.frombuffer(x, kind) for x, kind in zip(made, kinds, strict=True)]
+        blocks.append((*block[:2], block[2].reshape(-1, 24), *block[3:]))
+    asked = ids[::20]
+    got = {}
+    for r, vec_id, vec_key, upper, lower in topk._near(asked, vectors[asked], blocks, k):
+        assert (vec_key == vec_id + 7).all()
+        for q, c, *ends in zip(asked[r].tolist(), vec_id.tolist(), lower.tolist(), upper.tolist(), strict=True):
+            assert (q, c) not in got
+            got[q, c] = ends
+    score = vectors @ vectors.T
+    assert all(low <= score[pair] <= high for pair, (low, high) in got.items())
+    for q in asked.tolist():
+        others = np.delete(score[q], q)
+        kth = np.sort(others)[-k]
+        assert all((q, c) in got for c in ids.tolist() if c != q and score[q, c] >= kth)
+    assert len(got) < 0.5 * len(asked) * len(ids)
+
+
 def test_top_k_of_one_vector(spark):
     """A vector that most rows hold, several lengths, fewer rows than results."""
     rows = [(i, [1.0, 2.0]) for i in range(300)] + [(i, [0.5, 0.1 * i, 1.0]) for i in range(300, 304)] + [(50, [3.0, 1.0])] * 7
