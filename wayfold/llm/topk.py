@@ -26,11 +26,12 @@ the smaller id; scores beyond a long are cut to its range; extra columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from wayfold.llm.common import kept
@@ -43,6 +44,7 @@ GROUP = 1 << 26  # components of the file that a task holds, about
 PART = 1 << 24  # components of the queries that a task reads, about
 LEAST_GROUPS, LEAST_PARTS = 32, 2  # or as many as there are blocks, even if groups and parts are smaller
 SINGLE = 4096  # components up to which products are of single precision
+BATCH = "8m"  # blocks handed to Python at a time
 HELD = 1 << 19  # candidates of a block of queries that wait for a higher floor
 QUERY = ["query_id", "query_key"]
 TASK = ["dim", "part", "grp"]
@@ -159,6 +161,18 @@ def _can_win(rows: DataFrame, least: DataFrame) -> DataFrame:
     return rows.join(least, QUERY, "left").where(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).drop("least")
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """What runs inside hands at most about ``size`` to Python at a time; then the setting is as before."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def approximate(rows: DataFrame, every: int, k: int) -> DataFrame:
     """Steps 1 and 2: (query, candidate, upper) of the candidates that can win, from the file alone."""
     counted = rows.agg(F.count("*").alias("n"), F.sum(F.size("v")).alias("c"), F.count_if(F.col("id") % every == 0).alias("q")).first()
@@ -182,7 +196,8 @@ def approximate(rows: DataFrame, every: int, k: int) -> DataFrame:
     dealt = both.repartitionById(tasks, F.pmod(F.col("dim") + F.col("part") * groups + F.col("grp"), F.lit(tasks)).cast("int"))
     made = "query_id bigint, query_key bigint, vec_id bigint, vec_key bigint, upper double, lower double"
     near = dealt.sortWithinPartitions(*TASK, "asks").mapInArrow(lambda batches: _bounds(batches, k), made)
-    found = kept(near, "bounds")
+    with _batches_of(rows.sparkSession, BATCH):
+        found = kept(near, "bounds")
     return _can_win(found.drop("lower"), _kth(found, "lower", k))
 
 
